@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The attribution job is a daily batch with an incremental high-water mark
+(see ``creditflow.sources.ledger``); there is no watermark, window or state
+operator to re-express with Structured Streaming.
+"""
