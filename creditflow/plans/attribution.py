@@ -1,11 +1,12 @@
 """Composition of the stages into the attribution fact and conversion rows.
 
 ``Attribution`` holds the lazily built stages of one run so that tests,
-the oracle queries and the daily job share one definition.  The two
-intermediates that are read more than once (eligible orders and the
-enhanced touches) are cut from their lineage with a reliable checkpoint
-when ``checkpoint=True`` (the daily job), so a lost executor re-reads them
-instead of recomputing the scans and joins above them.
+the oracle queries and the daily job share one definition.  The
+intermediates that are read more than once (eligible orders, install and
+session touches, enhanced touches, order-touch pairs) are cut from their
+lineage with a reliable checkpoint when ``checkpoint=True`` (the daily
+job), so later stages and a lost executor re-read them instead of
+recomputing the scans and joins above them.
 """
 
 from __future__ import annotations
@@ -52,13 +53,13 @@ class Attribution:
 
     @cached_property
     def install_touches(self) -> DataFrame:
-        return touches.install_touches(self.t["appsflyer_data_locker"], self.t["sessions"],
-                                       self.buyers, self.bounds)
+        return self._cut(touches.install_touches(self.t["appsflyer_data_locker"], self.t["sessions"],
+                                                 self.buyers, self.bounds))
 
     @cached_property
     def session_touches(self) -> DataFrame:
-        return touches.session_touches(self.t["sessions"], self.t["iso_2_mapping"], self.buyers,
-                                       self.bounds)
+        return self._cut(touches.session_touches(self.t["sessions"], self.t["iso_2_mapping"], self.buyers,
+                                                 self.bounds))
 
     @cached_property
     def touches(self) -> DataFrame:
@@ -66,7 +67,7 @@ class Attribution:
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return linear.touch_pairs(self.trades, self.touches, self.window_days)
+        return self._cut(linear.touch_pairs(self.trades, self.touches, self.window_days))
 
     @cached_property
     def touch_count(self) -> DataFrame:

@@ -31,7 +31,7 @@ def _t(spark: SparkSession, sf_dir: str) -> dict:
 
 
 def _run(spark, sf_dir, variant="all") -> Attribution:
-    return Attribution(_t(spark, sf_dir), variant=variant)
+    return Attribution(_t(spark, sf_dir), variant=variant, checkpoint=True)
 
 
 # -- C1 / C2 / C3 ----------------------------------------------------------
