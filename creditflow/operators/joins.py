@@ -34,16 +34,20 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
 
 
 def hot_keys(big: DataFrame, keys: list[str], threshold: int = HOT_KEY_ROWS,
-             max_hot_keys: int = MAX_HOT_KEYS) -> tuple[DataFrame, int]:
+             max_hot_keys: int = MAX_HOT_KEYS) -> tuple[DataFrame | None, int]:
     """Keys of ``big`` holding more than the effective threshold, with a salt count.
 
-    Returns ``(hot, threshold)`` where ``hot`` has ``keys + ['_salts']``.
-    The key counts are a partial (map-side combined) aggregate; only the
-    total is brought to the driver.
+    Returns ``(hot, threshold)`` where ``hot`` has ``keys + ['_salts']``, or
+    ``None`` when no key is hot.  One job computes the key counts (a
+    partial, map-side combined aggregate) and brings only two scalars to the
+    driver: the total and the largest key count.
     """
     counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = big.count()
+    stats = counts.agg(F.sum("_n").alias("total"), F.max("_n").alias("top")).first()
+    total, top = stats["total"] or 0, stats["top"] or 0
     eff = max(threshold, math.ceil(total / max_hot_keys)) if total else threshold
+    if top <= eff:
+        return None, eff
     hot = (counts.where(F.col("_n") > eff)
            .select(*keys, F.ceil(F.col("_n") / F.lit(eff)).cast("int").alias("_salts")))
     return hot, eff
@@ -61,18 +65,21 @@ def salted_bucket_join(big: DataFrame, small: DataFrame, keys: list[str], how: s
     """
     assert how in ("inner", "left")
     hot, _ = hot_keys(big, keys, threshold, max_hot_keys)
-    hot = F.broadcast(hot)  # at most max_hot_keys rows by construction
-    salt_cols = [F.col(c) for c in (salt_by or big.columns)]
-    b = (big.join(hot, keys, "left")
-         .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
-                     .otherwise(F.pmod(F.xxhash64(*salt_cols), F.col("_salts")).cast("int")))
-         .drop("_salts"))
-    s = (small.join(hot, keys, "left")
-         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
-         .drop("_salts"))
-    b, s = b.alias("big"), s.alias("small")
+    if hot is None:  # no hot key: plain equi-join
+        b, s, join_keys = big.alias("big"), small.alias("small"), list(keys)
+    else:
+        hot = F.broadcast(hot)  # at most max_hot_keys rows by construction
+        salt_cols = [F.col(c) for c in (salt_by or big.columns)]
+        b = (big.join(hot, keys, "left")
+             .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
+                         .otherwise(F.pmod(F.xxhash64(*salt_cols), F.col("_salts")).cast("int")))
+             .drop("_salts"))
+        s = (small.join(hot, keys, "left")
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
+             .drop("_salts"))
+        b, s, join_keys = b.alias("big"), s.alias("small"), keys + ["_salt"]
     cond: Column = None
-    for k in keys + ["_salt"]:
+    for k in join_keys:
         c = F.col(f"big.{k}") == F.col(f"small.{k}")
         cond = c if cond is None else cond & c
     if condition is not None:

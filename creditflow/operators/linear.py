@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from creditflow.functions import rules as R
 from creditflow.functions.timeutil import shift
-from creditflow.operators.joins import bounded_broadcast, salted_bucket_join
-from creditflow.operators.orders import TRADE_KEYS, WINDOW_DAYS
+from creditflow.operators.joins import salted_bucket_join
+from creditflow.operators.orders import WINDOW_DAYS
 
 ORDER_KEY = ["id", "uuid", "bid_date_time"]
 # Touch attributes that reach the fact (date_c only through its day).
@@ -79,22 +79,26 @@ def touch_pairs(trades: DataFrame, touches: DataFrame, window_days: int = WINDOW
     return p.groupBy(*ORDER_KEY, *PAIR_ATTRS).agg(F.count(F.lit(1)).alias("m"))
 
 
-def touch_count(trades: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``n`` = joined rows per order id (``max(row_number)`` of the left join)."""
+def order_key_stats(trades: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Per order key: ``r`` = eligible-order rows, ``t`` = touches in the window (NULL if none)."""
     rows = trades.groupBy(*ORDER_KEY).agg(F.count(F.lit(1)).alias("r"))
     hits = pairs.groupBy(*ORDER_KEY).agg(F.sum("m").alias("t"))
-    return (_ns_join(rows, hits, ORDER_KEY, "left")
-            .groupBy("id")
+    return _ns_join(rows, hits, ORDER_KEY, "left")
+
+
+def touch_count(trades: DataFrame, pairs: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """``n`` = joined rows per order id (``max(row_number)`` of the left join)."""
+    stats = order_key_stats(trades, pairs) if stats is None else stats
+    return (stats.groupBy("id")
             .agg(F.sum(F.col("r") * F.greatest(F.coalesce(F.col("t"), F.lit(0)), F.lit(1)))
                  .alias("max_touch_rank")))
 
 
-def _touch_side(trades: DataFrame, pairs: DataFrame) -> DataFrame:
+def _touch_side(pairs: DataFrame, stats: DataFrame) -> DataFrame:
     """Per order key: its touch groups, or one NULL group (m = 1) when it has none."""
-    keys = trades.select(*ORDER_KEY).distinct()
-    none = _ns_join(keys, pairs.select(*ORDER_KEY).distinct(), ORDER_KEY, "left_anti")
-    nulls = none.select(*ORDER_KEY, *[F.lit(None).cast(pairs.schema[c].dataType).alias(c) for c in PAIR_ATTRS],
-                        F.lit(1).cast("long").alias("m"))
+    nulls = stats.where(F.col("t").isNull()).select(
+        *ORDER_KEY, *[F.lit(None).cast(pairs.schema[c].dataType).alias(c) for c in PAIR_ATTRS],
+        F.lit(1).cast("long").alias("m"))
     return pairs.unionByName(nulls)
 
 
@@ -106,38 +110,54 @@ def linear_attribution(trades: DataFrame, touches: DataFrame, first_orders: Data
 
     ``new_buyers_only`` switches the first-order join from left to inner
     (the new-buyer variant); ``extra_keys`` carries trade columns such as
-    ``buyer_purchase_price`` into the grouping.
+    ``buyer_purchase_price`` into the grouping.  ``countries`` may already
+    carry a broadcast hint (it is used as given).  Every order-side join is
+    keyed on ``id`` alone, so one hash partitioning serves all of them; the
+    buyer and bid parts of the order key are compared NULL-safely after the
+    join.
     """
     extra = list(extra_keys or [])
     if pairs is None:
         pairs = touch_pairs(trades, touches, window_days)
-    n = touch_count(trades, pairs)
-    side = _touch_side(trades, pairs)
+    stats = order_key_stats(trades, pairs)
+    n = touch_count(trades, pairs, stats)
     fo = first_orders.select(F.col("order_id").alias("fo_id")).distinct()
-    dim = bounded_broadcast(countries.select(F.col("alpha2").alias("iso_alpha2"), "financial_regions"))
+    dim = countries.select(F.col("alpha2").alias("iso_alpha2"), "financial_regions")
 
-    rows = (_ns_join(trades, side, ORDER_KEY)
-            .join(n, "id")
-            .withColumn("w", F.col("m").cast("double") / F.col("max_touch_rank").cast("double")))
-    rows = rows.join(fo, F.col("id") == F.col("fo_id"), "inner" if new_buyers_only else "left")
+    # Touch side: channel rules depend on touch attributes only, so they are
+    # evaluated once per touch group, before the fan-out to order rows.
     env = R.cols("source_clean_c", source="source_c", medium="medium_c", campaign="campaign_c",
                  source_clean="source_clean_c")
-    rows = rows.withColumn("map", R.channel_map().spark(env))
+    side = _touch_side(pairs, stats).withColumn("map", R.channel_map().spark(env))
     env["map"] = F.col("map")
-    rows = (rows.withColumn("group_raw", R.channel_group().spark(env))
+    side = (side.withColumn("group_raw", R.channel_group().spark(env))
             .withColumn("group_raw_1", F.trim(F.split_part("group_raw", F.lit("-"), F.lit(1))))
-            .withColumn("group_raw_2", F.trim(F.split_part("group_raw", F.lit("-"), F.lit(2))))
-            .withColumn("country", F.coalesce("country_code_c", "country_id"))
+            .withColumn("group_raw_2", F.trim(F.split_part("group_raw", F.lit("-"), F.lit(2)))))
+
+    # Order side: rows of one order that differ only in columns the fact does
+    # not keep (fees, logic flag) are pre-aggregated, exactly:
+    # sum over rows of x / n == (sum of x) * m / n for each touch group.
+    order_keys = ORDER_KEY + ["subtotal", "order_date", "vertical", "product_uuid", "sale_ind",
+                              "country_id", "fo_id"] + extra
+    orders_n = (trades.join(fo, F.col("id") == F.col("fo_id"), "inner" if new_buyers_only else "left")
+                .groupBy(*order_keys)
+                .agg(F.count(F.lit(1)).alias("r_rows"), F.sum(F.col("fees").cast("double")).alias("fees_sum"))
+                .join(n, "id"))
+    rows = (_ns_join(orders_n, side, ORDER_KEY)
+            .withColumn("w", F.col("m").cast("double") / F.col("max_touch_rank").cast("double")))
+    rows = (rows.withColumn("country", F.coalesce("country_code_c", "country_id"))
             .withColumn("vertical_name", R.vertical_name().spark(R.cols("vertical")))
             .withColumn("type", F.when(F.col("id") == F.col("fo_id"), R.NEW_BUYER).otherwise(R.RETURN_BUYER))
             .withColumn("country_key", R.order_country_key().spark(R.cols("country"))))
     rows = rows.join(dim, F.col("iso_alpha2") == F.col("country_key"), "left")
     rows = rows.withColumn("financial_region", R.financial_region().spark(
         {"alpha2": F.col("iso_alpha2"), "financial_regions": F.col("financial_regions")}))
+    # The grouping combines map-side and shuffles once on all its keys, which
+    # also spreads the groups of a hot order over reducers.
     return (rows.groupBy(*FACT_KEYS, *extra)
-            .agg(F.sum("w").alias("source_attr"),
-                 F.sum(F.col("subtotal").cast("double") * F.col("w")).alias("gmv_source_attr"),
-                 F.sum(F.col("fees").cast("double") * F.col("w")).alias("fees_source_attr")))
+            .agg(F.sum(F.col("r_rows") * F.col("w")).alias("source_attr"),
+                 F.sum(F.col("subtotal").cast("double") * F.col("r_rows") * F.col("w")).alias("gmv_source_attr"),
+                 F.sum(F.col("fees_sum") * F.col("w")).alias("fees_source_attr")))
 
 
 def conversions_all_buyers(fact: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from creditflow.functions import rules as R
 from creditflow.functions.timeutil import shift, touch_time
-from creditflow.operators.joins import bounded_broadcast, salted_bucket_join
+from creditflow.operators.joins import salted_bucket_join
 from creditflow.operators.orders import Bounds, after_mark
 
 TOUCH_COLUMNS = ["d_source", "user_uuid", "medium", "source", "campaign", "adset", "keyword",
@@ -68,10 +68,14 @@ def install_touches(installs: DataFrame, sessions: DataFrame, buyers: DataFrame,
 
 def session_touches(sessions: DataFrame, countries: DataFrame, buyers: DataFrame,
                     bounds: Bounds) -> DataFrame:
-    """Sessions of the run's buyers inside the lookback, classified and deduplicated."""
+    """Sessions of the run's buyers inside the lookback, classified and deduplicated.
+
+    ``countries`` is the country dimension; pass it through
+    ``bounded_broadcast`` first to broadcast it after a size check.
+    """
     s = (sessions.where(after_mark(F.col("visit_start_time"), bounds.mark, bounds.lookback_days))
          .join(buyers.select(F.col("uuid").alias("stitching_user_uuid")), "stitching_user_uuid", "left_semi"))
-    dim = bounded_broadcast(countries.select(F.col("name").alias("iso_name"), "alpha2"))
+    dim = countries.select(F.col("name").alias("iso_name"), "alpha2")
     s = (s.withColumn("country_key", R.country_name().spark(R.cols("country")))
          .join(dim, F.col("iso_name") == F.col("country_key"), "left")
          .withColumn("path", R.session_path(F.col("source"), F.col("medium"))))

@@ -2,8 +2,8 @@
 
 ``Attribution`` holds the lazily built stages of one run so that tests,
 the oracle queries and the daily job share one definition.  The
-intermediates that are read more than once (eligible orders, install and
-session touches, enhanced touches, order-touch pairs) are cut from their
+intermediates that are read more than once (eligible orders, session
+touches, enhanced touches, order-touch pairs) are cut from their
 lineage with a reliable checkpoint when ``checkpoint=True`` (the daily
 job), so later stages and a lost executor re-read them instead of
 recomputing the scans and joins above them.
@@ -14,8 +14,10 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from creditflow.operators import linear, orders, touches
+from creditflow.operators.joins import bounded_broadcast
 from creditflow.operators.orders import Bounds, resolve_bounds
 from creditflow.session import cut_lineage
 
@@ -44,21 +46,33 @@ class Attribution:
 
     @cached_property
     def trades(self) -> DataFrame:
-        return self._cut(orders.eligible_orders(self.t, self.bounds,
-                                                with_purchase_price=self.variant == "new"))
+        """Eligible orders; the new-buyer variant keeps first orders only.
+
+        Restricting before the touch join is exact: an order's touches and
+        its count ``n`` do not depend on other orders.
+        """
+        t = orders.eligible_orders(self.t, self.bounds, with_purchase_price=self.variant == "new")
+        if self.variant == "new":
+            t = t.join(self.first_orders.select(F.col("order_id").alias("id")), "id", "left_semi")
+        return self._cut(t)
 
     @cached_property
     def buyers(self) -> DataFrame:
         return orders.buyers(self.trades)
 
+    @cached_property
+    def countries(self) -> DataFrame:
+        """Country dimension, broadcast after a row-count check (one small job)."""
+        return bounded_broadcast(self.t["iso_2_mapping"])
+
     @cached_property
     def install_touches(self) -> DataFrame:
-        return self._cut(touches.install_touches(self.t["appsflyer_data_locker"], self.t["sessions"],
-                                                 self.buyers, self.bounds))
+        return touches.install_touches(self.t["appsflyer_data_locker"], self.t["sessions"],
+                                       self.buyers, self.bounds)
 
     @cached_property
     def session_touches(self) -> DataFrame:
-        return self._cut(touches.session_touches(self.t["sessions"], self.t["iso_2_mapping"], self.buyers,
+        return self._cut(touches.session_touches(self.t["sessions"], self.countries, self.buyers,
                                                  self.bounds))
 
     @cached_property
@@ -81,7 +95,7 @@ class Attribution:
     def fact(self) -> DataFrame:
         new = self.variant == "new"
         return linear.linear_attribution(
-            self.trades, self.touches, self.first_orders, self.t["iso_2_mapping"],
+            self.trades, self.touches, self.first_orders, self.countries,
             self.window_days, new_buyers_only=new,
             extra_keys=["buyer_purchase_price"] if new else None, pairs=self.pairs)
 

@@ -2,8 +2,8 @@
 
 Each runs the library's own operators over the stand-in logical tables
 built from the driver's parquet files at ``sf_dir`` (whole tables, no
-sampling).  Doubles that are sums are rounded to 6 places so the results
-compare exactly with the DuckDB oracle (``creditflow.plans.oracle``).
+sampling).  Doubles that are sums are rounded to 6 places (``round6``) so the
+results compare exactly with the DuckDB oracle (``creditflow.plans.oracle``).
 """
 
 from __future__ import annotations
@@ -17,12 +17,19 @@ from creditflow.operators import linear, orders, touches
 from creditflow.plans.attribution import Attribution
 from creditflow.sources import export, ledger, standin
 
-ROUND = 6
+def round6(c):
+    """Half-up rounding to 6 decimals by plain IEEE arithmetic (after snapping to 8).
+
+    ``F.round`` decides ties on the shortest decimal form of the double,
+    other engines on its exact binary value; this form gives the same
+    double in any engine for the same input, so results compare exactly.
+    """
+    return F.floor(F.floor(c * F.lit(1e8) + F.lit(0.5)) / F.lit(100) + F.lit(0.5)) / F.lit(1e6)
 
 
 def _r(df: DataFrame, *cols: str) -> DataFrame:
     for c in cols:
-        df = df.withColumn(c, F.round(F.col(c), ROUND))
+        df = df.withColumn(c, round6(F.col(c)))
     return df
 
 

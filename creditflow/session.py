@@ -9,6 +9,7 @@ dimension scans are reduced by the few recent orders, and UTC session time
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,9 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join partition even when that costs one more shuffle (the
+    # grouping above the order join would otherwise pin a hot order to one task).
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
@@ -64,10 +68,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never localCheckpoint).
+    """Write ``df`` as a parquet table in the shared checkpoint folder and read it back.
 
-    Lost executors then re-read the checkpoint instead of recomputing the
-    whole upstream plan.
+    The plan above is computed exactly once (``DataFrame.checkpoint`` would
+    compute it twice: once to count, once to write), later stages and lost
+    executors re-read the written files instead of recomputing the scans
+    and joins, and the columnar copy keeps column pruning and filter
+    pushdown for its readers.  Never a machine-local folder on a cluster:
+    the folder is ``spark.checkpoint.dir``.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -8,8 +8,9 @@ user id, so every classification branch and NULL case occurs.  None of this
 does any of the job's work: the job only ever sees rows in the logical
 schemas (``creditflow.schemas``) and must be right for any such rows.
 
-Every table is defined twice, as Spark columns and as DuckDB SQL, side by
-side, so the correctness oracle reads exactly the same input.
+Every table is defined once as SQL expressions rendered for both Spark
+(``selectExpr``) and DuckDB, so the correctness oracle reads exactly the
+same input.
 
 Mapping:
   orders, order_addresses, portfolio_items_master  <- events (purchase)
@@ -25,8 +26,7 @@ Mapping:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from creditflow import schemas
 
@@ -81,34 +81,141 @@ DRIVER_TABLES = ["events", "customer", "lineitem", "part", "nation", "region"]
 
 
 # ---------------------------------------------------------------------------
-# Small helpers with a Spark and a SQL face.
+# One definition, two dialects.  Each logical table is a list of parts
+# ``(source, filter, [(column, expression), ...])`` whose expressions are SQL
+# text rendered for Spark (``selectExpr``) or DuckDB; parts are unioned.
 # ---------------------------------------------------------------------------
 
-def _sql_lit(v) -> str:
+def _lit(v, d) -> str:
     if v is None:
-        return "NULL"
+        return "CAST(NULL AS STRING)" if d == "spark" else "NULL::VARCHAR"
     return "'" + str(v).replace("'", "''") + "'"
 
 
-def _pick(values, idx: Column) -> Column:
-    arr = F.array(*[F.lit(v).cast("string") for v in values])
-    return F.element_at(arr, (F.pmod(idx, F.lit(len(values))) + 1).cast("int"))
+def _pick(values, idx: str, d: str) -> str:
+    n = len(values)
+    if d == "spark":
+        return f"element_at(array({', '.join(_lit(v, d) for v in values)}), CAST(pmod({idx}, {n}) + 1 AS INT))"
+    return f"([{', '.join(_lit(v, d) for v in values)}])[CAST((({idx}) % {n}) AS INTEGER) + 1]"
 
 
-def _pick_sql(values, idx: str) -> str:
-    arr = "[" + ", ".join(_sql_lit(v) if v is not None else "NULL::VARCHAR" for v in values) + "]"
-    return f"({arr})[CAST((({idx}) % {len(values)}) AS INTEGER) + 1]"
+def _str(x: str, d: str) -> str:
+    return f"CAST({x} AS {'STRING' if d == 'spark' else 'VARCHAR'})"
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+def _cat(d: str, *parts: str) -> str:
+    return "(" + " || ".join(parts) + ")"
 
 
-K_SQL = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
+def _shift(unit: str, n: str, ts: str, d: str) -> str:
+    if d == "spark":
+        return f"timestampadd({unit}, {n}, {ts})"
+    return f"({ts} + ({n}) * INTERVAL 1 {unit})"
+
 
+def _ts(v: str, d: str) -> str:
+    return f"TIMESTAMP_NTZ '{v}'" if d == "spark" else f"TIMESTAMP '{v}'"
 
-def _s(c) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("string")
+
+K_SPARK = "CAST(get_json_object(props, '$.k') AS INT)"
+K_SQL = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
+_TYPES = {"spark": {"bigint": "BIGINT", "int": "INT", "string": "STRING", "double": "DOUBLE",
+                    "timestamp_ntz": "TIMESTAMP_NTZ", "boolean": "BOOLEAN"},
+          "duck": {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                   "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}}
+
+
+def _spec(d: str) -> dict:
+    """Logical table -> list of (source, filter, [(column, expr)])."""
+    P = lambda vals, idx: _pick(vals, idx, d)
+    S = lambda x: _str(x, d)                    # noqa: E731
+    eid = S("event_id")
+    src = [x for x, _ in SESSION_TRAFFIC]
+    med = [m for _, m in SESSION_TRAFFIC]
+    isrc = [x for x, _ in INSTALL_TRAFFIC]
+    ich = [c for _, c in INSTALL_TRAFFIC]
+    purchase = "event_type = 'purchase'"
+    chain = _cat(d, "'bid-'", eid)
+
+    def install_cols(t):
+        return [("uuid", f"CASE WHEN (k + u) % 3 = 0 THEN NULL ELSE {_cat(d, "'user-'", S('u'))} END"),
+                ("customer_user_id", _cat(d, "'cid-'", S("u"), "'-'", S("(k + 1) % 3"))),
+                ("af_channel", P(ich, "k + u * 2")), ("media_source", P(isrc, "k + u * 2")),
+                ("campaign", P(INSTALL_CAMPAIGNS, "k + u")), ("af_adset", P(INSTALL_ADSETS, "k")),
+                ("af_ad", P(INSTALL_ADS, "k + u")), ("device_type", P(INSTALL_DEVICES, "k + u")),
+                ("country_code", P(INSTALL_COUNTRIES, "k + u * 2")), ("attributed_touch_time", t)]
+
+    share = "CAST(1 AS DOUBLE) / CAST(k % 4 + 1 AS DOUBLE)"
+    return {
+        "orders": [("ev", purchase, [
+            ("id", "event_id"), ("subtotal", "value"), ("created_at", "ts"), ("bid_user_id", "u"),
+            ("bid_chain_id", chain), ("ask_chain_id", _cat(d, "'ask-'", eid)),
+            ("status", P(ORDER_STATUSES, "k")),
+            ("bid_amount", "CASE WHEN k % 9 = 0 THEN NULL ELSE value * 0.75 END")])],
+        "order_addresses": [
+            ("ev", purchase, [("order_id", "event_id"), ("address_type", "'shipping'"),
+                              ("country_id", P(ORDER_COUNTRIES, "k + u"))]),
+            ("ev", purchase + " AND k % 3 = 0", [("order_id", "event_id"), ("address_type", "'billing'"),
+                                                 ("country_id", "'US'")]),
+            ("ev", purchase + " AND k % 25 = 1", [("order_id", "event_id"), ("address_type", "'shipping'"),
+                                                  ("country_id", "'DE'")])],
+        "users": [("customer", None, [("id", "c_custkey"), ("uuid", _cat(d, "'user-'", S("c_custkey")))])],
+        "portfolio_items_master": [
+            ("ev", purchase + " AND k % 20 <> 19", [
+                ("chain_id", chain), ("state", "300"),
+                ("created_at", _shift("HOUR", "-((k * 5 + u) % 48)", "ts", d))]),
+            ("ev", purchase + " AND k % 20 <> 19", [
+                ("chain_id", chain), ("state", "CASE WHEN k % 5 = 0 THEN 100 ELSE 300 END"),
+                ("created_at", _shift("MINUTE", "-(k % 7)", "ts", d))]),
+            ("ev", purchase, [("chain_id", chain), ("state", "400"), ("created_at", _shift("HOUR", "1", "ts", d))])],
+        "order_items": [("lineitem", None, [("order_id", "l_orderkey"),
+                                            ("sku_uuid_bin", _cat(d, "'sku-'", S("l_partkey")))])],
+        "product_market_cache": [("part", None, [
+            ("sku_uuid", _cat(d, "'sku-'", S("p_partkey"))), ("product_category", "p_size % 7"),
+            ("product_uuid", _cat(d, "'prod-'", "p_brand")),
+            ("release_date", f"CASE WHEN p_size % 10 = 0 THEN NULL ELSE "
+                             f"{_shift('DAY', 'p_partkey % 110', _ts(RELEASE_BASE, d), d)} END")])],
+        "order_adjustments": [("lineitem", None, [
+            ("order_id", "l_orderkey"),
+            ("chain_id", _cat(d, "CASE WHEN l_linenumber % 4 = 3 THEN 'bid-' ELSE 'ask-' END", S("l_orderkey"))),
+            ("type", "CASE WHEN l_returnflag = 'A' THEN 'transactional' WHEN l_returnflag = 'N' THEN 'shipping' "
+                     "ELSE 'shipping_original' END"),
+            ("code", "CASE WHEN l_linenumber % 3 = 0 THEN 'BUYFEE_ORIG' WHEN l_linenumber % 3 = 1 "
+                     "THEN 'BUYFEE_REV' ELSE 'PROMO' END"),
+            ("amount", "l_extendedprice / CAST(1000 AS DOUBLE)")])],
+        "sessions": [("ev", "event_type IN ('view', 'click', 'error')", [
+            ("client_id", _cat(d, "'cid-'", S("u"), "'-'", S("k % 3"))),
+            ("stitching_user_uuid", f"CASE WHEN (k + u) % 5 = 4 THEN NULL ELSE {_cat(d, "'user-'", S('u'))} END"),
+            ("datasource", P(SESSION_DATASOURCES, "k + u")),
+            ("medium", P(med, "k")), ("source", P(src, "k")),
+            ("campaign", P(SESSION_CAMPAIGNS, "k * 3 + u")), ("ad_content", P(SESSION_AD_CONTENT, "k + u * 2")),
+            ("keyword", P(SESSION_KEYWORDS, "k * 7 + u")), ("browser", P(SESSION_BROWSERS, "k + u")),
+            ("operating_system", P(SESSION_OS, "k * 2 + u")),
+            ("device_category", P(SESSION_DEVICES, "k * 11 + u")),
+            ("country", P(SESSION_COUNTRIES, "k + u * 3")),
+            ("visit_start_time", "ts"), ("visit_id", "event_id"),
+            ("gcl_id", f"CASE WHEN event_type = 'click' THEN {_cat(d, "'gclid-'", eid)} END")])],
+        "appsflyer_data_locker": [
+            ("ev", "event_type = 'signup'", install_cols("ts")),
+            ("ev", "event_type = 'view' AND k % 4 = 0", install_cols(_shift("SECOND", "(k * 7 + u) % 23 - 11", "ts", d)))],
+        "iso_2_mapping": [("natreg", None, [("name", P(NATION_NAMES, "n_nationkey")),
+                                            ("alpha2", P(NATION_ALPHA2, "n_nationkey")),
+                                            ("financial_regions", P(REGION_FINANCE, "r_regionkey"))])],
+        "first_order_bids": [("ev", purchase + " AND k % 4 = 0", [("order_id", "event_id")]),
+                             ("ev", purchase + " AND k % 8 = 0", [("order_id", "event_id")])],
+        "ledger": [("ev", f"{purchase} AND ts < {_ts(LEDGER_SEED_BEFORE, d)}", [
+            ("gcl_id", _cat(d, "'gclid-'", eid)),
+            ("conversion_name", "CASE WHEN k % 2 = 0 THEN 'GCLID New Buyer MTA Trades' "
+                                "ELSE 'GCLID Repeat Buyer MTA Trades' END"),
+            ("conversion_time", "ts"), ("attributed_credit", share),
+            ("conversion_value", f"({share}) * 30"), ("conversion_currency", "'USD'"),
+            ("sftp", "CASE WHEN k % 3 = 0 THEN NULL WHEN k % 3 = 1 THEN FALSE ELSE TRUE END")])],
+    }
+
+
+def _typed(name: str, cols, d: str) -> list[str]:
+    types = {f.name: f.dataType.simpleString() for f in schemas.LOGICAL_TABLES[name].fields}
+    return [f"CAST({e} AS {_TYPES[d][types[c]]}) AS {c}" for c, e in cols]
 
 
 # ---------------------------------------------------------------------------
@@ -119,112 +226,22 @@ def read_driver_tables(spark: SparkSession, sf_dir: str) -> dict:
     return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in DRIVER_TABLES}
 
 
-def _ev(d: dict) -> DataFrame:
-    return d["events"].withColumn("k", _k()).withColumnRenamed("user_id", "u")
-
-
-def _conform(df: DataFrame, name: str) -> DataFrame:
-    schema = schemas.LOGICAL_TABLES[name]
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-
-
 def logical_tables(d: dict) -> dict:
     """Spark stand-ins of the logical tables from the driver tables ``d``."""
-    ev = _ev(d)
-    k, u, e = F.col("k"), F.col("u"), F.col("event_id")
-    purchases = ev.where(F.col("event_type") == "purchase")
+    bases = {"ev": d["events"].selectExpr("*", f"{K_SPARK} AS k", "user_id AS u"),
+             "customer": d["customer"], "lineitem": d["lineitem"], "part": d["part"],
+             "natreg": d["nation"].join(d["region"], d["nation"].n_regionkey == d["region"].r_regionkey)}
     out = {}
-    out["orders"] = purchases.select(
-        e.alias("id"), F.col("value").alias("subtotal"), F.col("ts").alias("created_at"),
-        u.alias("bid_user_id"), F.concat(F.lit("bid-"), _s(e)).alias("bid_chain_id"),
-        F.concat(F.lit("ask-"), _s(e)).alias("ask_chain_id"),
-        _pick(ORDER_STATUSES, k).alias("status"),
-        F.when(k % 9 == 0, F.lit(None)).otherwise(F.col("value") * 0.75).alias("bid_amount"))
-    ship = purchases.select(e.alias("order_id"), F.lit("shipping").alias("address_type"),
-                            _pick(ORDER_COUNTRIES, k + u).alias("country_id"))
-    bill = purchases.where(k % 3 == 0).select(e.alias("order_id"), F.lit("billing").alias("address_type"),
-                                              F.lit("US").alias("country_id"))
-    ship2 = purchases.where(k % 25 == 1).select(e.alias("order_id"), F.lit("shipping").alias("address_type"),
-                                                F.lit("DE").alias("country_id"))
-    out["order_addresses"] = ship.unionByName(bill).unionByName(ship2)
-    out["users"] = d["customer"].select(F.col("c_custkey").alias("id"),
-                                        F.concat(F.lit("user-"), _s("c_custkey")).alias("uuid"))
-    chain = F.concat(F.lit("bid-"), _s(e)).alias("chain_id")
-    with_bids = purchases.where(k % 20 != 19)
-    out["portfolio_items_master"] = (
-        with_bids.select(chain, F.lit(300).alias("state"),
-                         F.timestamp_add("HOUR", -F.pmod(k * 5 + u, F.lit(48)), F.col("ts")).alias("created_at"))
-        .unionByName(with_bids.select(chain, F.when(k % 5 == 0, 100).otherwise(300).alias("state"),
-                                      F.timestamp_add("MINUTE", -(k % 7), F.col("ts")).alias("created_at")))
-        .unionByName(purchases.select(chain, F.lit(400).alias("state"),
-                                      F.timestamp_add("HOUR", F.lit(1), F.col("ts")).alias("created_at"))))
-    li = d["lineitem"]
-    out["order_items"] = li.select(F.col("l_orderkey").alias("order_id"),
-                                   F.concat(F.lit("sku-"), _s("l_partkey")).alias("sku_uuid_bin"))
-    part = d["part"]
-    out["product_market_cache"] = part.select(
-        F.concat(F.lit("sku-"), _s("p_partkey")).alias("sku_uuid"),
-        (F.col("p_size") % 7).alias("product_category"),
-        F.concat(F.lit("prod-"), F.col("p_brand")).alias("product_uuid"),
-        F.when(F.col("p_size") % 10 == 0, F.lit(None)).otherwise(
-            F.timestamp_add("DAY", F.pmod(F.col("p_partkey"), F.lit(110)),
-                            F.lit(RELEASE_BASE).cast("timestamp_ntz"))).alias("release_date"))
-    ln = F.col("l_linenumber")
-    out["order_adjustments"] = li.select(
-        F.col("l_orderkey").alias("order_id"),
-        F.when(ln % 4 == 3, F.concat(F.lit("bid-"), _s("l_orderkey")))
-        .otherwise(F.concat(F.lit("ask-"), _s("l_orderkey"))).alias("chain_id"),
-        F.when(F.col("l_returnflag") == "A", "transactional").when(F.col("l_returnflag") == "N", "shipping")
-        .otherwise("shipping_original").alias("type"),
-        F.when(ln % 3 == 0, "BUYFEE_ORIG").when(ln % 3 == 1, "BUYFEE_REV").otherwise("PROMO").alias("code"),
-        (F.col("l_extendedprice") / 1000.0).alias("amount"))
-    visits = ev.where(F.col("event_type").isin("view", "click", "error"))
-    src = [s for s, _ in SESSION_TRAFFIC]
-    med = [m for _, m in SESSION_TRAFFIC]
-    out["sessions"] = visits.select(
-        F.concat(F.lit("cid-"), _s(u), F.lit("-"), _s(k % 3)).alias("client_id"),
-        F.when((k + u) % 5 == 4, F.lit(None)).otherwise(F.concat(F.lit("user-"), _s(u))).alias("stitching_user_uuid"),
-        _pick(SESSION_DATASOURCES, k + u).alias("datasource"),
-        _pick(med, k).alias("medium"), _pick(src, k).alias("source"),
-        _pick(SESSION_CAMPAIGNS, k * 3 + u).alias("campaign"),
-        _pick(SESSION_AD_CONTENT, k + u * 2).alias("ad_content"),
-        _pick(SESSION_KEYWORDS, k * 7 + u).alias("keyword"),
-        _pick(SESSION_BROWSERS, k + u).alias("browser"),
-        _pick(SESSION_OS, k * 2 + u).alias("operating_system"),
-        _pick(SESSION_DEVICES, k * 11 + u).alias("device_category"),
-        _pick(SESSION_COUNTRIES, k + u * 3).alias("country"),
-        F.col("ts").alias("visit_start_time"), e.alias("visit_id"),
-        F.when(F.col("event_type") == "click", F.concat(F.lit("gclid-"), _s(e))).alias("gcl_id"))
-    signups = ev.where(F.col("event_type") == "signup").withColumn("t", F.col("ts"))
-    near = (ev.where((F.col("event_type") == "view") & (k % 4 == 0))
-            .withColumn("t", F.timestamp_add("SECOND", F.pmod(k * 7 + u, F.lit(23)) - 11, F.col("ts"))))
-    inst = signups.unionByName(near)
-    isrc = [s for s, _ in INSTALL_TRAFFIC]
-    ich = [c for _, c in INSTALL_TRAFFIC]
-    out["appsflyer_data_locker"] = inst.select(
-        F.when((k + u) % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("user-"), _s(u))).alias("uuid"),
-        F.concat(F.lit("cid-"), _s(u), F.lit("-"), _s((k + 1) % 3)).alias("customer_user_id"),
-        _pick(ich, k + u * 2).alias("af_channel"), _pick(isrc, k + u * 2).alias("media_source"),
-        _pick(INSTALL_CAMPAIGNS, k + u).alias("campaign"), _pick(INSTALL_ADSETS, k).alias("af_adset"),
-        _pick(INSTALL_ADS, k + u).alias("af_ad"), _pick(INSTALL_DEVICES, k + u).alias("device_type"),
-        _pick(INSTALL_COUNTRIES, k + u * 2).alias("country_code"),
-        F.col("t").alias("attributed_touch_time"))
-    nat = d["nation"].join(d["region"], F.col("n_regionkey") == F.col("r_regionkey"))
-    out["iso_2_mapping"] = nat.select(_pick(NATION_NAMES, F.col("n_nationkey")).alias("name"),
-                                      _pick(NATION_ALPHA2, F.col("n_nationkey")).alias("alpha2"),
-                                      _pick(REGION_FINANCE, F.col("r_regionkey")).alias("financial_regions"))
-    out["first_order_bids"] = (purchases.where(k % 4 == 0).select(e.alias("order_id"))
-                               .unionByName(purchases.where(k % 8 == 0).select(e.alias("order_id"))))
-    seed = purchases.where(F.col("ts") < F.lit(LEDGER_SEED_BEFORE).cast("timestamp_ntz"))
-    share = F.lit(1.0) / (k % 4 + 1).cast("double")
-    out["ledger"] = seed.select(
-        F.concat(F.lit("gclid-"), _s(e)).alias("gcl_id"),
-        F.when(k % 2 == 0, "GCLID New Buyer MTA Trades").otherwise("GCLID Repeat Buyer MTA Trades")
-        .alias("conversion_name"),
-        F.col("ts").alias("conversion_time"), share.alias("attributed_credit"),
-        (share * 30).alias("conversion_value"), F.lit("USD").alias("conversion_currency"),
-        F.when(k % 3 == 0, F.lit(None)).when(k % 3 == 1, F.lit(False)).otherwise(F.lit(True)).alias("sftp"))
-    return {n: _conform(df, n) for n, df in out.items()}
+    for name, parts in _spec("spark").items():
+        frames = []
+        for source, cond, cols in parts:
+            base = bases[source] if cond is None else bases[source].where(cond)
+            frames.append(base.selectExpr(*_typed(name, cols, "spark")))
+        df = frames[0]
+        for f in frames[1:]:
+            df = df.unionByName(f)
+        out[name] = df
+    return out
 
 
 def load(spark: SparkSession, sf_dir: str) -> dict:
@@ -232,87 +249,22 @@ def load(spark: SparkSession, sf_dir: str) -> dict:
 
 
 # ---------------------------------------------------------------------------
-# DuckDB side (same definitions as SQL; views ``events`` etc. are the driver's).
+# DuckDB side (views ``events`` etc. are the driver's tables).
 # ---------------------------------------------------------------------------
 
 def sql_views() -> dict:
     """Logical table name -> DuckDB SELECT over the driver views."""
-    k, u = "k", "u"
-    ev = f"(SELECT *, {K_SQL} AS k, user_id AS u FROM events)"
-    pur = f"(SELECT * FROM {ev} WHERE event_type = 'purchase')"
-    p = _pick_sql
-    src = [s for s, _ in SESSION_TRAFFIC]
-    med = [m for _, m in SESSION_TRAFFIC]
-    isrc = [s for s, _ in INSTALL_TRAFFIC]
-    ich = [c for _, c in INSTALL_TRAFFIC]
-    v = {}
-    v["orders"] = f"""SELECT event_id AS id, value AS subtotal, ts AS created_at, u AS bid_user_id,
-        'bid-' || CAST(event_id AS VARCHAR) AS bid_chain_id, 'ask-' || CAST(event_id AS VARCHAR) AS ask_chain_id,
-        {p(ORDER_STATUSES, k)} AS status,
-        CASE WHEN k % 9 = 0 THEN NULL ELSE value * 0.75 END AS bid_amount FROM {pur}"""
-    v["order_addresses"] = f"""SELECT event_id AS order_id, 'shipping' AS address_type,
-            {p(ORDER_COUNTRIES, f'{k} + {u}')} AS country_id FROM {pur}
-        UNION ALL SELECT event_id, 'billing', 'US' FROM {pur} WHERE k % 3 = 0
-        UNION ALL SELECT event_id, 'shipping', 'DE' FROM {pur} WHERE k % 25 = 1"""
-    v["users"] = "SELECT c_custkey AS id, 'user-' || CAST(c_custkey AS VARCHAR) AS uuid FROM customer"
-    v["portfolio_items_master"] = f"""
-        SELECT 'bid-' || CAST(event_id AS VARCHAR) AS chain_id, 300 AS state,
-               ts - ((k * 5 + u) % 48) * INTERVAL 1 HOUR AS created_at FROM {pur} WHERE k % 20 <> 19
-        UNION ALL SELECT 'bid-' || CAST(event_id AS VARCHAR), CASE WHEN k % 5 = 0 THEN 100 ELSE 300 END,
-               ts - (k % 7) * INTERVAL 1 MINUTE FROM {pur} WHERE k % 20 <> 19
-        UNION ALL SELECT 'bid-' || CAST(event_id AS VARCHAR), 400, ts + INTERVAL 1 HOUR FROM {pur}"""
-    v["order_items"] = ("SELECT l_orderkey AS order_id, 'sku-' || CAST(l_partkey AS VARCHAR) AS sku_uuid_bin "
-                        "FROM lineitem")
-    v["product_market_cache"] = f"""SELECT 'sku-' || CAST(p_partkey AS VARCHAR) AS sku_uuid,
-        p_size % 7 AS product_category, 'prod-' || p_brand AS product_uuid,
-        CASE WHEN p_size % 10 = 0 THEN NULL
-             ELSE TIMESTAMP '{RELEASE_BASE}' + (p_partkey % 110) * INTERVAL 1 DAY END AS release_date
-        FROM part"""
-    v["order_adjustments"] = """SELECT l_orderkey AS order_id,
-        CASE WHEN l_linenumber % 4 = 3 THEN 'bid-' ELSE 'ask-' END || CAST(l_orderkey AS VARCHAR) AS chain_id,
-        CASE WHEN l_returnflag = 'A' THEN 'transactional' WHEN l_returnflag = 'N' THEN 'shipping'
-             ELSE 'shipping_original' END AS type,
-        CASE WHEN l_linenumber % 3 = 0 THEN 'BUYFEE_ORIG' WHEN l_linenumber % 3 = 1 THEN 'BUYFEE_REV'
-             ELSE 'PROMO' END AS code,
-        l_extendedprice / 1000.0 AS amount FROM lineitem"""
-    v["sessions"] = f"""SELECT 'cid-' || CAST(u AS VARCHAR) || '-' || CAST(k % 3 AS VARCHAR) AS client_id,
-        CASE WHEN (k + u) % 5 = 4 THEN NULL ELSE 'user-' || CAST(u AS VARCHAR) END AS stitching_user_uuid,
-        {p(SESSION_DATASOURCES, 'k + u')} AS datasource,
-        {p(med, 'k')} AS medium, {p(src, 'k')} AS source,
-        {p(SESSION_CAMPAIGNS, 'k * 3 + u')} AS campaign,
-        {p(SESSION_AD_CONTENT, 'k + u * 2')} AS ad_content,
-        {p(SESSION_KEYWORDS, 'k * 7 + u')} AS keyword,
-        {p(SESSION_BROWSERS, 'k + u')} AS browser,
-        {p(SESSION_OS, 'k * 2 + u')} AS operating_system,
-        {p(SESSION_DEVICES, 'k * 11 + u')} AS device_category,
-        {p(SESSION_COUNTRIES, 'k + u * 3')} AS country,
-        ts AS visit_start_time, event_id AS visit_id,
-        CASE WHEN event_type = 'click' THEN 'gclid-' || CAST(event_id AS VARCHAR) END AS gcl_id
-        FROM {ev} WHERE event_type IN ('view', 'click', 'error')"""
-    inst = f"""(SELECT *, ts AS t FROM {ev} WHERE event_type = 'signup'
-        UNION ALL SELECT *, ts + ((k * 7 + u) % 23 - 11) * INTERVAL 1 SECOND AS t
-        FROM {ev} WHERE event_type = 'view' AND k % 4 = 0)"""
-    v["appsflyer_data_locker"] = f"""SELECT
-        CASE WHEN (k + u) % 3 = 0 THEN NULL ELSE 'user-' || CAST(u AS VARCHAR) END AS uuid,
-        'cid-' || CAST(u AS VARCHAR) || '-' || CAST((k + 1) % 3 AS VARCHAR) AS customer_user_id,
-        {p(ich, 'k + u * 2')} AS af_channel, {p(isrc, 'k + u * 2')} AS media_source,
-        {p(INSTALL_CAMPAIGNS, 'k + u')} AS campaign, {p(INSTALL_ADSETS, 'k')} AS af_adset,
-        {p(INSTALL_ADS, 'k + u')} AS af_ad, {p(INSTALL_DEVICES, 'k + u')} AS device_type,
-        {p(INSTALL_COUNTRIES, 'k + u * 2')} AS country_code, t AS attributed_touch_time
-        FROM {inst}"""
-    v["iso_2_mapping"] = f"""SELECT {p(NATION_NAMES, 'n_nationkey')} AS name,
-        {p(NATION_ALPHA2, 'n_nationkey')} AS alpha2, {p(REGION_FINANCE, 'r_regionkey')} AS financial_regions
-        FROM nation JOIN region ON n_regionkey = r_regionkey"""
-    v["first_order_bids"] = (f"SELECT event_id AS order_id FROM {pur} WHERE k % 4 = 0 "
-                             f"UNION ALL SELECT event_id FROM {pur} WHERE k % 8 = 0")
-    v["ledger"] = f"""SELECT 'gclid-' || CAST(event_id AS VARCHAR) AS gcl_id,
-        CASE WHEN k % 2 = 0 THEN 'GCLID New Buyer MTA Trades' ELSE 'GCLID Repeat Buyer MTA Trades' END
-            AS conversion_name,
-        ts AS conversion_time, 1.0::DOUBLE / CAST(k % 4 + 1 AS DOUBLE) AS attributed_credit,
-        (1.0::DOUBLE / CAST(k % 4 + 1 AS DOUBLE)) * 30 AS conversion_value, 'USD' AS conversion_currency,
-        CASE WHEN k % 3 = 0 THEN NULL WHEN k % 3 = 1 THEN FALSE ELSE TRUE END AS sftp
-        FROM {pur} WHERE ts < TIMESTAMP '{LEDGER_SEED_BEFORE}'"""
-    return v
+    bases = {"ev": f"(SELECT *, {K_SQL} AS k, user_id AS u FROM events) AS ev",
+             "customer": "customer", "lineitem": "lineitem", "part": "part",
+             "natreg": "(SELECT * FROM nation JOIN region ON n_regionkey = r_regionkey) AS natreg"}
+    out = {}
+    for name, parts in _spec("duck").items():
+        selects = []
+        for source, cond, cols in parts:
+            where = "" if cond is None else f" WHERE {cond}"
+            selects.append(f"SELECT {', '.join(_typed(name, cols, 'duck'))} FROM {bases[source]}{where}")
+        out[name] = "\nUNION ALL ".join(selects)
+    return out
 
 
 def sql_with() -> str:
