@@ -42,6 +42,8 @@ from creditflow.schemas import LEDGER, LEDGER_COLUMNS
 ROW_COLUMNS = [c for c in LEDGER_COLUMNS if c != "sftp"]
 EXPORT_COLUMNS = ["gcl_id", "conversion_name", "conversion_time", "attributed_credit",
                   "conversion_value", "conversion_currency"]
+ROWS = T.StructType([f for f in LEDGER.fields if f.name != "sftp"]
+                    + [T.StructField("batch", T.IntegerType())])
 STATES = T.StructType([T.StructField("batch", T.IntegerType()), T.StructField("sftp", T.BooleanType()),
                        T.StructField("n_rows", T.LongType()),
                        T.StructField("max_time", T.TimestampNTZType())])
@@ -111,9 +113,7 @@ class Ledger:
         st = self.states()
         if self._version() is None:
             return self.spark.createDataFrame([], LEDGER)
-        rows = (self.spark.read.schema(T.StructType(
-            [f for f in LEDGER.fields if f.name != "sftp"] + [T.StructField("batch", T.IntegerType())]))
-            .parquet(self.rows_path))
+        rows = self.spark.read.schema(ROWS).parquet(self.rows_path)
         return rows.join(bounded_broadcast(st.select("batch", "sftp")), "batch").select(*LEDGER_COLUMNS)
 
     def high_water_mark(self):
@@ -130,7 +130,7 @@ class Ledger:
         (rows.select(*ROW_COLUMNS).withColumn("batch", F.lit(batch))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch").parquet(self.rows_path))
-        written = (self.spark.read.parquet(self.rows_path).where(F.col("batch") == batch)
+        written = (self.spark.read.schema(ROWS).parquet(self.rows_path).where(F.col("batch") == batch)
                    .groupBy("batch").agg(F.count(F.lit(1)).alias("n_rows"),
                                          F.max("conversion_time").alias("max_time")))
         return written
