@@ -1,6 +1,8 @@
 """Join helpers that stay safe when one key holds a large share of rows.
 
 * ``bounded_broadcast``: broadcast a side only after checking its row count.
+* ``semi_reduce``: filter a big table by the run's key set, broadcast when
+  the key set is under a checked bound.
 * ``salted_bucket_join``: equi-join on ``keys`` where hot keys of the big
   side are split over several salts and the matching rows of the small side
   are replicated once per salt.  The set of hot keys is itself bounded:
@@ -18,6 +20,8 @@ from pyspark.sql import functions as F
 
 # Row bound under which a dimension may be broadcast.
 BROADCAST_MAX_ROWS = 1_000_000
+# Row bound under which a set of join keys (ids, uuids) may be broadcast.
+KEYS_BROADCAST_MAX_ROWS = 5_000_000
 # Rows per (key, salt) task slice that we are happy to process in one task.
 HOT_KEY_ROWS = 2_000_000
 # Upper bound on the number of hot keys (sizes the broadcast hot-key table).
@@ -33,6 +37,29 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     return F.broadcast(df) if n <= max_rows else df
 
 
+def key_set(keys: DataFrame, key_col: str, max_rows: int = KEYS_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Distinct non-NULL keys of a run (one column ``_semi_key``), broadcast when
+    their count is at most ``max_rows`` (one count job; reuse the result)."""
+    k = keys.select(F.col(key_col).alias("_semi_key")).where(F.col("_semi_key").isNotNull()).distinct()
+    return bounded_broadcast(k, max_rows)
+
+
+def semi_reduce(big: DataFrame, big_key, keys: DataFrame, key_col: str | None = None,
+                max_rows: int = KEYS_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Rows of ``big`` whose ``big_key`` (name or Column) occurs in the key set.
+
+    ``keys`` is either a ``key_set`` or a frame whose ``key_col`` holds the
+    keys.  The distinct keys of a run (a few days of orders, their buyers,
+    their chains) are counted; up to ``max_rows`` they are broadcast, so the
+    big, history-sized table is filtered map-side while it is scanned and
+    never shuffled whole.  Above the bound this is an ordinary shuffled semi
+    join.
+    """
+    k = keys if key_col is None else key_set(keys, key_col, max_rows)
+    col = F.col(big_key) if isinstance(big_key, str) else big_key
+    return big.join(k, col == k["_semi_key"], "left_semi")
+
+
 def hot_keys(big: DataFrame, keys: list[str], threshold: int = HOT_KEY_ROWS,
              max_hot_keys: int = MAX_HOT_KEYS) -> tuple[DataFrame | None, int]:
     """Keys of ``big`` holding more than the effective threshold, with a salt count.

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from creditflow.functions import rules as R
 from creditflow.functions.timeutil import local_order_time, shift, touch_time
+from creditflow.operators.joins import key_set, semi_reduce
 
 # Attribution window; touch lookback is two windows before the mark.
 WINDOW_DAYS = 14
@@ -119,12 +120,14 @@ def buyer_purchase_price(pivot_prefix: str = "", bid_amount: str = "bid_amount")
             + F.coalesce(F.col(bid_amount), F.lit(0.0)))
 
 
-def eligible_orders(t: dict, bounds: Bounds, with_purchase_price: bool = False) -> DataFrame:
+def eligible_orders(t: dict, bounds: Bounds, with_purchase_price: bool = False, cut=None) -> DataFrame:
     """Orders after the mark and before the newest visit, enriched and deduplicated.
 
     ``t`` maps logical table names to DataFrames.  One row per distinct
     ``TRADE_KEYS`` (+ ``buyer_purchase_price``) with ``bid_date_time`` = the
-    latest accepted bid of the order's bid chain in EST.
+    latest accepted bid of the order's bid chain in EST.  ``cut`` (e.g.
+    ``creditflow.session.cut_lineage``) materialises the run's orders once;
+    their key sets are then counted from that small table.
     """
     o = t["orders"].where(after_mark(F.col("created_at"), bounds.mark))
     if bounds.newest_visit is None:
@@ -133,18 +136,25 @@ def eligible_orders(t: dict, bounds: Bounds, with_purchase_price: bool = False)
         o = o.where(F.col("created_at") < ts_lit(bounds.newest_visit))
     cols = ["id", "subtotal", "created_at", "bid_user_id", "bid_chain_id", "ask_chain_id", "status"]
     o = o.select(*cols, *(["bid_amount"] if with_purchase_price else []))
+    if cut is not None:
+        o = cut(o)
 
-    # Latest accepted bid per chain, joined once (no fan-out from bid history).
-    bids = (t["portfolio_items_master"].where(F.col("state") == BID_STATE_ACCEPTED)
-            .join(o.select(F.col("bid_chain_id").alias("chain_id")).distinct(), "chain_id", "left_semi")
+    # Every history-sized table is first reduced to the run's keys (broadcast
+    # semi joins behind a size check), so none of them is shuffled whole.
+    bids = (semi_reduce(t["portfolio_items_master"].where(F.col("state") == BID_STATE_ACCEPTED),
+                        "chain_id", o, "bid_chain_id")
             .groupBy("chain_id").agg(F.max(touch_time("created_at")).alias("bid_date_time")))
-    addr = (t["order_addresses"].where(F.col("address_type") == SHIPPING_ADDRESS)
+    ids = key_set(o, "id")
+    addr = (semi_reduce(t["order_addresses"].where(F.col("address_type") == SHIPPING_ADDRESS), "order_id", ids)
             .select(F.col("order_id").alias("a_order_id"), "country_id"))
-    users = t["users"].select(F.col("id").alias("u_id"), "uuid")
-    items = t["order_items"].select(F.col("order_id").alias("i_order_id"), "sku_uuid_bin")
+    users = semi_reduce(t["users"], "id", o, "bid_user_id").select(F.col("id").alias("u_id"), "uuid")
+    items = (semi_reduce(t["order_items"], "order_id", ids)
+             .select(F.col("order_id").alias("i_order_id"), "sku_uuid_bin"))
+    # The product catalogue is a dimension (one row per SKU), joined as is.
     products = t["product_market_cache"].select(
         F.col("sku_uuid"), F.col("product_category").alias("vertical"), "product_uuid", "release_date")
-    fees = (t["order_adjustments"].where(F.col("type") == TRANSACTIONAL_FEE)
+    adjustments = semi_reduce(t["order_adjustments"], "order_id", ids)
+    fees = (adjustments.where(F.col("type") == TRANSACTIONAL_FEE)
             .select(F.col("order_id").alias("f_order_id"),
                     F.col("chain_id").cast("string").alias("f_chain_id"),
                     F.col("amount").alias("fees")))
@@ -158,7 +168,7 @@ def eligible_orders(t: dict, bounds: Bounds, with_purchase_price: bool = False)
                & (F.col("f_order_id") == F.col("id")), "left"))
     extra = []
     if with_purchase_price:
-        piv = adjustment_pivot(t["order_adjustments"])
+        piv = adjustment_pivot(adjustments)
         piv = piv.select(*[F.col(c).alias("g_" + c) for c in piv.columns])
         j = j.join(piv, (F.col("g_chain_id").cast("string") == F.col("ask_chain_id").cast("string"))
                    & (F.col("g_order_id") == F.col("id")), "left")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from creditflow.functions import rules as R
 from creditflow.functions.timeutil import shift, touch_time
-from creditflow.operators.joins import salted_bucket_join
+from creditflow.operators.joins import key_set, salted_bucket_join, semi_reduce
 from creditflow.operators.orders import Bounds, after_mark
 
 TOUCH_COLUMNS = ["d_source", "user_uuid", "medium", "source", "campaign", "adset", "keyword",
@@ -35,19 +35,26 @@ def identity_map(sessions: DataFrame, client_ids: DataFrame | None = None) -> Da
     m = (sessions.where(F.col("stitching_user_uuid").isNotNull())
          .select("client_id", F.col("stitching_user_uuid").alias("user_uuid")))
     if client_ids is not None:
-        m = m.join(client_ids, "client_id", "left_semi")
+        m = semi_reduce(m, "client_id", client_ids, "client_id")
     return m.distinct()
 
 
+def buyer_keys(buyers: DataFrame) -> DataFrame:
+    """The run's buyer uuids as a (size-checked, broadcast when small) key set."""
+    return key_set(buyers, "uuid")
+
+
 def install_touches(installs: DataFrame, sessions: DataFrame, buyers: DataFrame,
                     bounds: Bounds) -> DataFrame:
-    """App installs of the run's buyers inside the lookback, classified and deduplicated."""
+    """App installs of the run's buyers inside the lookback, classified and deduplicated.
+
+    ``buyers`` is a ``buyer_keys`` key set.
+    """
     a = installs.where(after_mark(F.col("attributed_touch_time"), bounds.mark, bounds.lookback_days))
-    ids = a.select(F.col("customer_user_id").alias("client_id")).where(F.col("client_id").isNotNull())
-    m = identity_map(sessions, ids.distinct())
+    m = identity_map(sessions, a.select(F.col("customer_user_id").alias("client_id")))
     a = (a.join(m, a.customer_user_id == m.client_id, "left")
          .withColumn("r_uuid", F.coalesce(F.col("uuid"), F.col("user_uuid"))))
-    a = a.join(buyers.select(F.col("uuid").alias("b_uuid")), F.col("r_uuid") == F.col("b_uuid"), "left_semi")
+    a = semi_reduce(a, "r_uuid", buyers)
     env = R.cols("campaign", "device_type", source="media_source", medium="af_channel")
     out = a.select(
         F.lit(R.INSTALL_SOURCE_LABEL).alias("d_source"),
@@ -70,11 +77,12 @@ def session_touches(sessions: DataFrame, countries: DataFrame, buyers: DataFrame
                     bounds: Bounds) -> DataFrame:
     """Sessions of the run's buyers inside the lookback, classified and deduplicated.
 
-    ``countries`` is the country dimension; pass it through
-    ``bounded_broadcast`` first to broadcast it after a size check.
+    ``buyers`` is a ``buyer_keys`` key set; ``countries`` is the country
+    dimension (pass it through ``bounded_broadcast`` to broadcast it after a
+    size check).
     """
-    s = (sessions.where(after_mark(F.col("visit_start_time"), bounds.mark, bounds.lookback_days))
-         .join(buyers.select(F.col("uuid").alias("stitching_user_uuid")), "stitching_user_uuid", "left_semi"))
+    s = semi_reduce(sessions.where(after_mark(F.col("visit_start_time"), bounds.mark, bounds.lookback_days)),
+                    "stitching_user_uuid", buyers)
     dim = countries.select(F.col("name").alias("iso_name"), "alpha2")
     s = (s.withColumn("country_key", R.country_name().spark(R.cols("country")))
          .join(dim, F.col("iso_name") == F.col("country_key"), "left")

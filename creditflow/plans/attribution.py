@@ -51,7 +51,8 @@ class Attribution:
         Restricting before the touch join is exact: an order's touches and
         its count ``n`` do not depend on other orders.
         """
-        t = orders.eligible_orders(self.t, self.bounds, with_purchase_price=self.variant == "new")
+        t = orders.eligible_orders(self.t, self.bounds, with_purchase_price=self.variant == "new",
+                                   cut=self._cut if self.checkpoint else None)
         if self.variant == "new":
             t = t.join(self.first_orders.select(F.col("order_id").alias("id")), "id", "left_semi")
         return self._cut(t)
@@ -60,6 +61,11 @@ class Attribution:
     def buyers(self) -> DataFrame:
         return orders.buyers(self.trades)
 
+    @cached_property
+    def buyer_keys(self) -> DataFrame:
+        """Buyer uuids as one size-checked key set shared by the touch scans."""
+        return touches.buyer_keys(self.buyers)
+
     @cached_property
     def countries(self) -> DataFrame:
         """Country dimension, broadcast after a row-count check (one small job)."""
@@ -68,11 +74,11 @@ class Attribution:
     @cached_property
     def install_touches(self) -> DataFrame:
         return touches.install_touches(self.t["appsflyer_data_locker"], self.t["sessions"],
-                                       self.buyers, self.bounds)
+                                       self.buyer_keys, self.bounds)
 
     @cached_property
     def session_touches(self) -> DataFrame:
-        return self._cut(touches.session_touches(self.t["sessions"], self.countries, self.buyers,
+        return self._cut(touches.session_touches(self.t["sessions"], self.countries, self.buyer_keys,
                                                  self.bounds))
 
     @cached_property

@@ -29,6 +29,9 @@ def test_lookback_and_mark_reach_parquet_scans(spark, scratch):
     assert "GreaterThan(attributed_touch_time" in inst_plan
     trades_plan = _plan(a.trades)
     assert "GreaterThan(created_at" in trades_plan and "LessThan(created_at" in trades_plan
+    # history-sized tables are reduced to the run's keys by broadcast semi joins
+    assert trades_plan.count("BroadcastHashJoin") and "LeftSemi" in trades_plan
+    assert "LeftSemi" in sess_plan and "LeftSemi" in inst_plan
 
 
 def test_fact_plan_has_no_cartesian_or_python(spark):
