@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditflow.operators import linear, orders, touches
-from creditflow.operators.joins import bounded_broadcast
+from creditflow.operators.joins import bounded_broadcast, semi_reduce
 from creditflow.operators.orders import Bounds, resolve_bounds
 from creditflow.session import cut_lineage
 
@@ -44,6 +44,17 @@ class Attribution:
             return self._bounds
         return resolve_bounds(self.t["ledger"], self.t["sessions"], self.window_days)
 
+    @cached_property
+    def eligible(self) -> DataFrame:
+        return self._cut(orders.eligible_orders(self.t, self.bounds, with_purchase_price=self.variant == "new",
+                                                cut=self._cut if self.checkpoint else None))
+
+    @cached_property
+    def first_orders(self) -> DataFrame:
+        """C11 restricted to the run's orders (the full table spans all history)."""
+        bids = semi_reduce(self.t["first_order_bids"], "order_id", self.eligible, "id")
+        return orders.first_orders(bids)
+
     @cached_property
     def trades(self) -> DataFrame:
         """Eligible orders; the new-buyer variant keeps first orders only.
@@ -51,11 +62,10 @@ class Attribution:
         Restricting before the touch join is exact: an order's touches and
         its count ``n`` do not depend on other orders.
         """
-        t = orders.eligible_orders(self.t, self.bounds, with_purchase_price=self.variant == "new",
-                                   cut=self._cut if self.checkpoint else None)
         if self.variant == "new":
-            t = t.join(self.first_orders.select(F.col("order_id").alias("id")), "id", "left_semi")
-        return self._cut(t)
+            return self._cut(self.eligible.join(self.first_orders.select(F.col("order_id").alias("id")),
+                                                "id", "left_semi"))
+        return self.eligible
 
     @cached_property
     def buyers(self) -> DataFrame:
@@ -93,10 +103,6 @@ class Attribution:
     def touch_count(self) -> DataFrame:
         return linear.touch_count(self.trades, self.pairs)
 
-    @cached_property
-    def first_orders(self) -> DataFrame:
-        return orders.first_orders(self.t["first_order_bids"])
-
     @cached_property
     def fact(self) -> DataFrame:
         new = self.variant == "new"
