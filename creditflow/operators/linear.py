@@ -130,9 +130,9 @@ def linear_attribution(trades: DataFrame, touches: DataFrame, first_orders: Data
                  source_clean="source_clean_c")
     side = _touch_side(pairs, stats).withColumn("map", R.channel_map().spark(env))
     env["map"] = F.col("map")
-    side = (side.withColumn("group_raw", R.channel_group().spark(env))
-            .withColumn("group_raw_1", F.trim(F.split_part("group_raw", F.lit("-"), F.lit(1))))
-            .withColumn("group_raw_2", F.trim(F.split_part("group_raw", F.lit("-"), F.lit(2)))))
+    side = side.withColumn("group_raw", R.channel_group().spark(env))
+    side = side.withColumns({"group_raw_1": F.trim(F.split_part("group_raw", F.lit("-"), F.lit(1))),
+                             "group_raw_2": F.trim(F.split_part("group_raw", F.lit("-"), F.lit(2)))})
 
     # Order side: rows of one order that differ only in columns the fact does
     # not keep (fees, logic flag) are pre-aggregated, exactly:
@@ -143,12 +143,13 @@ def linear_attribution(trades: DataFrame, touches: DataFrame, first_orders: Data
                 .groupBy(*order_keys)
                 .agg(F.count(F.lit(1)).alias("r_rows"), F.sum(F.col("fees").cast("double")).alias("fees_sum"))
                 .join(n, "id"))
-    rows = (_ns_join(orders_n, side, ORDER_KEY)
-            .withColumn("w", F.col("m").cast("double") / F.col("max_touch_rank").cast("double")))
-    rows = (rows.withColumn("country", F.coalesce("country_code_c", "country_id"))
-            .withColumn("vertical_name", R.vertical_name().spark(R.cols("vertical")))
-            .withColumn("type", F.when(F.col("id") == F.col("fo_id"), R.NEW_BUYER).otherwise(R.RETURN_BUYER))
-            .withColumn("country_key", R.order_country_key().spark(R.cols("country"))))
+    country = F.coalesce("country_code_c", "country_id")
+    rows = _ns_join(orders_n, side, ORDER_KEY).withColumns({
+        "w": F.col("m").cast("double") / F.col("max_touch_rank").cast("double"),
+        "country": country,
+        "vertical_name": R.vertical_name().spark(R.cols("vertical")),
+        "type": F.when(F.col("id") == F.col("fo_id"), R.NEW_BUYER).otherwise(R.RETURN_BUYER),
+        "country_key": R.order_country_key().spark({"country": country})})
     rows = rows.join(dim, F.col("iso_alpha2") == F.col("country_key"), "left")
     rows = rows.withColumn("financial_region", R.financial_region().spark(
         {"alpha2": F.col("iso_alpha2"), "financial_regions": F.col("financial_regions")}))

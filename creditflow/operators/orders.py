@@ -174,9 +174,10 @@ def eligible_orders(t: dict, bounds: Bounds, with_purchase_price: bool = False,
                    & (F.col("g_order_id") == F.col("id")), "left")
         j = j.withColumn("buyer_purchase_price", buyer_purchase_price("g_"))
         extra = ["buyer_purchase_price"]
-    j = (j.withColumn("order_date", local_order_time("created_at"))
-         .withColumn("sale_ind", sale_indicator(F.col("order_date"), F.col("release_date")))
-         .withColumn("logic_flag", R.logic_flag(F.col("bid_user_id"), F.col("status"))))
+    order_date = local_order_time("created_at")
+    j = j.withColumns({"order_date": order_date,
+                       "sale_ind": sale_indicator(order_date, F.col("release_date")),
+                       "logic_flag": R.logic_flag(F.col("bid_user_id"), F.col("status"))})
     # bid_date_time is a function of the order, so distinct == GROUP BY keys + max(bid).
     return j.select(*TRADE_KEYS, *extra, "bid_date_time").distinct()
 

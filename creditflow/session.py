@@ -75,9 +75,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     executors re-read the written files instead of recomputing the scans
     and joins, and the columnar copy keeps column pruning and filter
     pushdown for its readers.  Never a machine-local folder on a cluster:
-    the folder is ``spark.checkpoint.dir``.
+    the folder is ``spark.checkpoint.dir``; tables of one application sit
+    under ``creditflow/<application id>/`` so they can be expired together.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    path = f"{checkpoint_dir(spark).rstrip('/')}/creditflow/{app}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
