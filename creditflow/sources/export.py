@@ -29,15 +29,16 @@ ROWS_PER_FILE = 1_000_000
 
 def csv_field(c: Column) -> Column:
     """Minimal CSV quoting of one text field; NULL -> empty."""
+    special = c.contains(",") | c.contains('"') | c.contains("\r") | c.contains("\n")
     return (F.when(c.isNull(), F.lit(""))
-            .when(c.rlike('[,"\r\n]'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')))
+            .when(special, F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')))
             .otherwise(c))
 
 
 def number_text(c: Column) -> Column:
     """Fixed-scale decimal text without trailing zeros (keeps one digit after the point)."""
-    s = c.cast(f"decimal(38,{NUMBER_SCALE})").cast("string")
-    return F.regexp_replace(F.regexp_replace(s, "0+$", ""), r"\.$", ".0")
+    s = F.rtrim(c.cast(f"decimal(38,{NUMBER_SCALE})").cast("string"), F.lit("0"))
+    return F.when(s.endswith("."), F.concat(s, F.lit("0"))).otherwise(s)
 
 
 def _text_line(fields: list[Column]) -> Column:
