@@ -104,6 +104,22 @@ def session_touches(sessions: DataFrame, countries: DataFrame, buyers: DataFrame
     return out.groupBy(*TOUCH_COLUMNS).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def validate_countries(countries: DataFrame) -> None:
+    """Data check: the country dimension must be unique on ``name`` and on ``alpha2``.
+
+    Both lookups are left joins after which credit is summed; a duplicated
+    key would multiply rows and make an order's credit exceed 1, so the run
+    stops instead of silently deduplicating.  One small aggregate job.
+    """
+    dup = []
+    for key in ("name", "alpha2"):
+        rows = (countries.where(F.col(key).isNotNull()).groupBy(key).count()
+                .where(F.col("count") > 1).limit(5).collect())
+        dup += [f"{key}={r[key]!r}" for r in rows]
+    if dup:
+        raise ValueError("country dimension has duplicate keys: " + ", ".join(dup))
+
+
 def _is_direct(medium, source):
     return (medium == F.lit(R.DIRECT_MEDIUM)) & (source == F.lit(R.DIRECT_SOURCE))
 

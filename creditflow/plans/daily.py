@@ -16,7 +16,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
-from creditflow.operators.orders import WINDOW_DAYS, resolve_bounds
+from creditflow.operators.orders import WINDOW_DAYS, Bounds, resolve_bounds
+from creditflow.operators.touches import validate_countries
 from creditflow.plans.attribution import Attribution
 from creditflow.sources import export
 from creditflow.sources.ledger import Ledger, undelivered
@@ -30,19 +31,25 @@ class RunReport:
 
 
 def run_delivery(spark: SparkSession, tables: dict, ledger_root: str, out_path: str,
-                 variant: str = "all", window_days: int = WINDOW_DAYS, export_fn=None) -> RunReport:
+                 variant: str = "all", window_days: int = WINDOW_DAYS, export_fn=None,
+                 bootstrap_mark=None) -> RunReport:
     """Run one day of the job against the logical ``tables`` and the ledger at ``ledger_root``.
 
     ``export_fn(undelivered_df, out_path) -> int`` defaults to
     ``creditflow.sources.export.write_delivery``; an exception from it stops
-    the run before the finish step.
+    the run before the finish step.  ``bootstrap_mark`` is used only while
+    the ledger is empty (a cold start would otherwise select nothing).
+    The country dimension is validated first (unique name and alpha2).
     """
+    validate_countries(tables["iso_2_mapping"])
     ledger = Ledger(spark, ledger_root)
     mark = ledger.high_water_mark()
-    bounds = resolve_bounds(ledger.read(), tables["sessions"], window_days, mark=mark) if mark else None
-    if bounds is None:
-        from creditflow.operators.orders import Bounds
+    if mark is None:
+        mark = bootstrap_mark
+    if mark is None:
         bounds = Bounds(None, None, window_days)
+    else:
+        bounds = resolve_bounds(ledger.read(), tables["sessions"], window_days, mark=mark)
     run = Attribution(dict(tables, ledger=ledger.read()), bounds=bounds, variant=variant,
                       window_days=window_days, checkpoint=True)
     batch = ledger.append(run.conversions)          # insert

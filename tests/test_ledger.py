@@ -111,3 +111,22 @@ def test_daily_run_and_failed_export(spark, scratch):
     # same-day rerun inserts nothing and exports nothing
     rep = run_delivery(spark, tables, root, os.path.join(scratch, "out3"))
     assert rep.exported_rows == 0 and Ledger(spark, root).read().count() == 6
+
+
+def test_cold_start_with_bootstrap_mark(spark, scratch):
+    tables = FX.frames(spark)
+    root = os.path.join(scratch, "ledger")
+    Ledger(spark, root).create()
+    rep = run_delivery(spark, tables, root, os.path.join(scratch, "o0"))
+    assert rep.exported_rows == 0 and Ledger(spark, root).read().count() == 0   # empty ledger: nothing
+    rep = run_delivery(spark, tables, root, os.path.join(scratch, "o1"), bootstrap_mark=FX.MARK)
+    assert rep.exported_rows == 5
+
+
+def test_duplicate_country_keys_stop_the_run(spark, scratch):
+    tables = FX.frames(spark)
+    tables["iso_2_mapping"] = tables["iso_2_mapping"].unionByName(tables["iso_2_mapping"].limit(1))
+    root = os.path.join(scratch, "ledger")
+    Ledger(spark, root).create(tables["ledger"])
+    with pytest.raises(ValueError, match="duplicate"):
+        run_delivery(spark, tables, root, os.path.join(scratch, "o"))
