@@ -44,6 +44,16 @@ def key_set(keys: DataFrame, key_col: str, max_rows: int = KEYS_BROADCAST_MAX_RO
     return bounded_broadcast(k, max_rows)
 
 
+def key_sets(keys: DataFrame, key_cols: list[str], max_rows: int = KEYS_BROADCAST_MAX_ROWS) -> dict:
+    """``key_set`` for several columns of one (small) frame with a single count job."""
+    counts = keys.agg(*[F.count_distinct(c).alias(c) for c in key_cols]).first()
+    out = {}
+    for c in key_cols:
+        k = keys.select(F.col(c).alias("_semi_key")).where(F.col("_semi_key").isNotNull()).distinct()
+        out[c] = F.broadcast(k) if counts[c] <= max_rows else k
+    return out
+
+
 def semi_reduce(big: DataFrame, big_key, keys: DataFrame, key_col: str | None = None,
                 max_rows: int = KEYS_BROADCAST_MAX_ROWS) -> DataFrame:
     """Rows of ``big`` whose ``big_key`` (name or Column) occurs in the key set.

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from creditflow.functions import rules as R
 from creditflow.functions.timeutil import local_order_time, shift, touch_time
-from creditflow.operators.joins import key_set, semi_reduce
+from creditflow.operators.joins import key_sets, semi_reduce
 
 # Attribution window; touch lookback is two windows before the mark.
 WINDOW_DAYS = 14
@@ -141,13 +141,14 @@ def eligible_orders(t: dict, bounds: Bounds, with_purchase_price: bool = False,
 
     # Every history-sized table is first reduced to the run's keys (broadcast
     # semi joins behind a size check), so none of them is shuffled whole.
+    keys = key_sets(o, ["id", "bid_user_id", "bid_chain_id"])
+    ids = keys["id"]
     bids = (semi_reduce(t["portfolio_items_master"].where(F.col("state") == BID_STATE_ACCEPTED),
-                        "chain_id", o, "bid_chain_id")
+                        "chain_id", keys["bid_chain_id"])
             .groupBy("chain_id").agg(F.max(touch_time("created_at")).alias("bid_date_time")))
-    ids = key_set(o, "id")
     addr = (semi_reduce(t["order_addresses"].where(F.col("address_type") == SHIPPING_ADDRESS), "order_id", ids)
             .select(F.col("order_id").alias("a_order_id"), "country_id"))
-    users = semi_reduce(t["users"], "id", o, "bid_user_id").select(F.col("id").alias("u_id"), "uuid")
+    users = semi_reduce(t["users"], "id", keys["bid_user_id"]).select(F.col("id").alias("u_id"), "uuid")
     items = (semi_reduce(t["order_items"], "order_id", ids)
              .select(F.col("order_id").alias("i_order_id"), "sku_uuid_bin"))
     # The product catalogue is a dimension (one row per SKU), joined as is.
