@@ -21,7 +21,7 @@ order keeping one row of NULL touch columns):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditflow.functions import rules as R
@@ -161,6 +161,56 @@ def linear_attribution(trades: DataFrame, touches: DataFrame, first_orders: Data
                  F.sum(F.col("fees_sum") * F.col("w")).alias("fees_source_attr")))
 
 
+RANK_TOUCH_COLUMNS = ["d_source_c", "gcl_id", "medium_c", "source_c", "campaign_c", "adset_c", "keyword_c",
+                      "source_clean_c", "country_code_c", "date_c", "visit_id_c", "device_mapping_c"]
+
+
+def joined_order_touches(trades: DataFrame, touches: DataFrame, window_days: int = WINDOW_DAYS) -> DataFrame:
+    """The left join of every eligible-order row to its buyer's touches in the window.
+
+    A trade row without touches keeps one row of NULL touch columns.  Built
+    from the bucketed pairs, so no buyer's history is compared as a whole.
+    """
+    pairs = order_touches(trades, touches, window_days)
+    hits = pairs.select(*ORDER_KEY).distinct().withColumn("_hit", F.lit(True))
+    keys = _ns_join(trades.select(*ORDER_KEY).distinct(), hits, ORDER_KEY, "left")
+    nulls = keys.where(F.col("_hit").isNull()).select(
+        *ORDER_KEY, *[F.lit(None).cast(pairs.schema[c].dataType).alias(c) for c in RANK_TOUCH_COLUMNS])
+    side = pairs.select(*ORDER_KEY, *RANK_TOUCH_COLUMNS).unionByName(nulls)
+    return _ns_join(trades, side, ORDER_KEY)
+
+
+def touch_rank(joined: DataFrame, partitions: int | None = None, cut=None) -> DataFrame:
+    """Number each order's joined rows 1..n by touch time (NULL times last).
+
+    Ties are broken by every other column, so only identical rows tie.
+    Distributed without a per-order window (a hot order never sits in one
+    task): rows are range-partitioned and sorted on (id, date_c, rest); each
+    row's position is its index inside its partition plus the row count of
+    the partitions before it (a table of ``partitions`` rows, broadcast);
+    the rank is the position minus the order's first position, plus one.
+    ``cut`` materialises the numbered rows so the positions are fixed once.
+    """
+    spark = joined.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rest = [c for c in joined.columns if c not in ("id", "date_c")]
+    order = [F.col("id").asc_nulls_last(), F.col("date_c").asc_nulls_last()] + \
+            [F.col(c).asc_nulls_last() for c in rest]
+    r = (joined.repartitionByRange(n, *order).sortWithinPartitions(*order)
+         .withColumn("_pid", F.spark_partition_id())
+         .withColumn("_mid", F.monotonically_increasing_id()))
+    r = r.withColumn("_local", F.col("_mid") - F.col("_pid").cast("long") * F.lit(1 << 33))
+    if cut is not None:
+        r = cut(r)
+    counts = r.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
+    offsets = counts.select("_pid", (F.sum("_c").over(Window.orderBy("_pid")) - F.col("_c")).alias("_off"))
+    r = r.join(F.broadcast(offsets), "_pid").withColumn("_pos", F.col("_off") + F.col("_local"))
+    first = r.groupBy("id").agg(F.min("_pos").alias("_first"))
+    return (r.join(first, "id")
+            .withColumn("touch_rank", (F.col("_pos") - F.col("_first") + 1).cast("int"))
+            .drop("_pid", "_mid", "_local", "_off", "_pos", "_first"))
+
+
 def conversions_all_buyers(fact: DataFrame) -> DataFrame:
     """Conversion rows for every buyer (value = credit x 30), click id required."""
     return (fact.where(F.col("gcl_id").isNotNull())

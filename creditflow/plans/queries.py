@@ -158,6 +158,13 @@ def q_order_touches(spark, sf_dir):
     return linear.order_touches(a.trades, a.touches, a.window_days)
 
 
+def q_touch_rank(spark, sf_dir):
+    """Every joined (order row, touch) numbered within its order by touch time."""
+    a = _run(spark, sf_dir)
+    joined = linear.joined_order_touches(a.trades, a.touches, a.window_days)
+    return linear.touch_rank(joined, cut=a._cut)
+
+
 def q_touch_count(spark, sf_dir):
     return _run(spark, sf_dir).touch_count
 

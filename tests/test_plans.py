@@ -63,3 +63,16 @@ def test_salted_join_equals_plain_join(spark):
         plain = big.alias("b").join(small.alias("s"), F.col("b.k") == F.col("s.k"), how)
         exp = sorted((r[0], r[1], r[2]) for r in plain.select("b.k", "b.v", "s.w").collect())
         assert got == exp
+
+
+def test_touch_rank_spans_partitions(spark):
+    """A hot order spread over several range partitions still gets 1..n in time order."""
+    import datetime as dt
+    from creditflow.operators.linear import touch_rank
+    base = dt.datetime(2024, 1, 1)
+    rows = [(1, base + dt.timedelta(minutes=i), f"v{i:04d}") for i in range(300)]
+    rows += [(2, base + dt.timedelta(minutes=5), "a"), (2, None, "b"), (2, base, "c")]
+    df = spark.createDataFrame(rows, "id long, date_c timestamp_ntz, visit_id_c string")
+    out = {(r.id, r.visit_id_c): r.touch_rank for r in touch_rank(df, partitions=8).collect()}
+    assert [out[(1, f"v{i:04d}")] for i in range(300)] == list(range(1, 301))
+    assert (out[(2, "c")], out[(2, "a")], out[(2, "b")]) == (1, 2, 3)   # NULL time last
