@@ -190,4 +190,4 @@ def enhance_direct_touches(touches: DataFrame, installs: DataFrame) -> DataFrame
     ).distinct()
     # Direct rows always differ from kept rows (source/medium or d_source), so
     # the union is already duplicate-free.
-    return kept.unionByName(moved)
+    return kept.unionByName(moved).select(*ENHANCED_COLUMNS)

@@ -40,8 +40,6 @@ from creditflow.operators.joins import bounded_broadcast
 from creditflow.schemas import LEDGER, LEDGER_COLUMNS
 
 ROW_COLUMNS = [c for c in LEDGER_COLUMNS if c != "sftp"]
-EXPORT_COLUMNS = ["gcl_id", "conversion_name", "conversion_time", "attributed_credit",
-                  "conversion_value", "conversion_currency"]
 ROWS = T.StructType([f for f in LEDGER.fields if f.name != "sftp"]
                     + [T.StructField("batch", T.IntegerType())])
 STATES = T.StructType([T.StructField("batch", T.IntegerType()), T.StructField("sftp", T.BooleanType()),
