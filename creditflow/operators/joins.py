@@ -75,18 +75,22 @@ def hot_keys(big: DataFrame, keys: list[str], threshold: int = HOT_KEY_ROWS,
     """Keys of ``big`` holding more than the effective threshold, with a salt count.
 
     Returns ``(hot, threshold)`` where ``hot`` has ``keys + ['_salts']``, or
-    ``None`` when no key is hot.  One job computes the key counts (a
-    partial, map-side combined aggregate) and brings only two scalars to the
-    driver: the total and the largest key count.
+    ``None`` when no key is hot.  The effective threshold grows with the
+    total (``max(threshold, total / max_hot_keys)``), so at most
+    ``max_hot_keys`` keys can qualify.  When the whole side is under the
+    threshold no key can be hot and the per-key count is skipped; otherwise
+    one job computes the key counts (a partial, map-side combined aggregate)
+    and checks whether any key exceeds the threshold.
     """
-    counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    stats = counts.agg(F.sum("_n").alias("total"), F.max("_n").alias("top")).first()
-    total, top = stats["total"] or 0, stats["top"] or 0
-    eff = max(threshold, math.ceil(total / max_hot_keys)) if total else threshold
-    if top <= eff:
+    total = big.count()
+    eff = max(threshold, math.ceil(total / max_hot_keys))
+    if total <= eff:
         return None, eff
+    counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = (counts.where(F.col("_n") > eff)
            .select(*keys, F.ceil(F.col("_n") / F.lit(eff)).cast("int").alias("_salts")))
+    if hot.limit(1).count() == 0:
+        return None, eff
     return hot, eff
 
 
