@@ -111,10 +111,11 @@ def linear_attribution(trades: DataFrame, touches: DataFrame, first_orders: Data
     ``new_buyers_only`` switches the first-order join from left to inner
     (the new-buyer variant); ``extra_keys`` carries trade columns such as
     ``buyer_purchase_price`` into the grouping.  ``countries`` may already
-    carry a broadcast hint (it is used as given).  Every order-side join is
-    keyed on ``id`` alone, so one hash partitioning serves all of them; the
-    buyer and bid parts of the order key are compared NULL-safely after the
-    join.
+    carry a broadcast hint (it is used as given).  Order-level columns (first
+    order, ``n``) are joined to the small, pre-aggregated order side on
+    ``id``; the touch groups then join on the full order key (buyer and bid
+    compared NULL-safely), and the grouping combines map-side before its one
+    shuffle on all fact keys.
     """
     extra = list(extra_keys or [])
     if pairs is None:
