@@ -70,8 +70,8 @@ def semi_reduce(big: DataFrame, big_key, keys: DataFrame, key_col: str | None =
     return big.join(k, col == k["_semi_key"], "left_semi")
 
 
-def hot_keys(big: DataFrame, keys: list[str], threshold: int = HOT_KEY_ROWS,
-             max_hot_keys: int = MAX_HOT_KEYS) -> tuple[DataFrame | None, int]:
+def hot_keys(big: DataFrame, keys: list[str], threshold: int | None = None,
+             max_hot_keys: int | None = None) -> tuple[DataFrame | None, int]:
     """Keys of ``big`` holding more than the effective threshold, with a salt count.
 
     Returns ``(hot, threshold)`` where ``hot`` has ``keys + ['_salts']``, or
@@ -82,6 +82,8 @@ def hot_keys(big: DataFrame, keys: list[str], threshold: int = HOT_KEY_ROWS,
     one job computes the key counts (a partial, map-side combined aggregate)
     and checks whether any key exceeds the threshold.
     """
+    threshold = HOT_KEY_ROWS if threshold is None else threshold
+    max_hot_keys = MAX_HOT_KEYS if max_hot_keys is None else max_hot_keys
     total = big.count()
     eff = max(threshold, math.ceil(total / max_hot_keys))
     if total <= eff:
@@ -96,7 +98,7 @@ def hot_keys(big: DataFrame, keys: list[str], threshold: int = HOT_KEY_ROWS,
 
 def salted_bucket_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner",
                        condition=None, salt_by: list[str] | None = None,
-                       threshold: int = HOT_KEY_ROWS, max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+                       threshold: int | None = None, max_hot_keys: int | None = None) -> DataFrame:
     """Join ``big`` and ``small`` on equal ``keys`` plus an optional residual ``condition``.
 
     ``how`` is ``inner`` or ``left`` (``left`` keeps every row of ``big``).
