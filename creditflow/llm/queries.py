@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from creditflow.llm.line_dedup import line_dedup
+from creditflow.llm.quality import quality_rules
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +20,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op3_line_dedup,)}
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_documents(spark, sf_dir)).drop("text_key")
+
+
+QUERIES = {f.__name__: f for f in (op3_line_dedup, op10_quality_rules)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
