@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from creditflow.llm.jaccard import jaccard_components
 from creditflow.llm.line_dedup import line_dedup
 from creditflow.llm.quality import quality_rules
+from creditflow.llm.substring_dedup import substring_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(_documents(spark, sf_dir))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(_documents(spark, sf_dir), k=50)
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_documents(spark, sf_dir), shingle=3, percent=90).drop("text_key")
 
@@ -29,7 +34,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_documents(spark, sf_dir)).drop("text_key")
 
 
-QUERIES = {f.__name__: f for f in (op3_line_dedup, op6_ngram_jaccard_join, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op3_line_dedup, op5_substring_dedup, op6_ngram_jaccard_join, op10_quality_rules)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
