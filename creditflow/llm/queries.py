@@ -8,20 +8,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from creditflow.llm.decontamination import decontaminate
 from creditflow.llm.jaccard import jaccard_components
 from creditflow.llm.line_dedup import line_dedup
 from creditflow.llm.quality import quality_rules
 from creditflow.llm.substring_dedup import substring_dedup
+from creditflow.llm.suffix_dedup import suffix_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(_documents(spark, sf_dir), width=200)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(_documents(spark, sf_dir))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("text_key")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_documents(spark, sf_dir), k=50)
 
@@ -34,7 +44,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_documents(spark, sf_dir)).drop("text_key")
 
 
-QUERIES = {f.__name__: f for f in (op3_line_dedup, op5_substring_dedup, op6_ngram_jaccard_join, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op2_suffix_array_dedup, op3_line_dedup, op4_benchmark_decontamination, op5_substring_dedup, op6_ngram_jaccard_join, op10_quality_rules)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
