@@ -168,7 +168,7 @@ def _probe(threshold: int):
     return run
 
 
-def _drop_lines(with_text: bool):
+def _drop_lines(with_text: bool, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
@@ -193,16 +193,15 @@ def _drop_lines(with_text: bool):
                 out = data[mask]
                 n_dropped = np.bincount(row, weights=drop, minlength=hi - lo).astype(np.int64)
                 cols = [ids.slice(lo, hi - lo), pa.array(n_lines.astype(np.int64)), pa.array(n_dropped), pa.array(B.digests(out, at))]
-                names = ["doc_id", "n_lines", "n_dropped", "kept_sha256"]
                 if with_text:
                     cols.append(pa.StringArray.from_buffers(hi - lo, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(out.tobytes())))
-                    names.append("kept_text")
+                    cols.append(batch.column("rest").slice(lo, hi - lo))
                 yield pa.RecordBatch.from_arrays(cols, names)
     return run
 
 
 def line_dedup(docs: DataFrame, min_docs: int = 10, with_text: bool = False) -> DataFrame:
-    """doc_id, n_lines, n_dropped, kept_sha256 (and kept_text) of every row of ``docs``.
+    """doc_id, n_lines, n_dropped, kept_sha256 of every row of ``docs``; with text also kept_text and the whole row as struct ``rest`` without its text.
 
     A line's key is the line without separators at both ends and A-Z lowered;
     a key in at least ``min_docs`` documents (1 to 65,535) loses all its lines.
@@ -210,7 +209,8 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, with_text: bool = False) ->
     if not 1 <= min_docs <= _COUNT_MAX:
         raise ValueError("min_docs must be between 1 and 65535")
     spark, cuts = docs.sparkSession, Cuts()
-    docs = docs.select("doc_id", "text")
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    docs = docs.select("doc_id", "text", *([F.struct(*others).alias("rest")] if with_text else []))
     dtype = docs.schema["doc_id"].dataType.simpleString()
     pairs = cuts.write(docs.mapInArrow(_emit_keys, f"doc_id {dtype}, h long, f int"))
     counts = cuts.write(pairs.groupBy("h", "f").agg(F.count("*").alias("n")))
@@ -231,8 +231,10 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, with_text: bool = False) ->
     bad = bad.groupBy("doc_id").agg(F.collect_list("h").alias("bad_h"), F.collect_list("f").alias("bad_f"))
     bad = bad.withColumnRenamed("doc_id", "bad_id")
     joined = docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left").drop("bad_id")
-    schema = f"doc_id {dtype}, n_lines long, n_dropped long, kept_sha256 string" + ", kept_text string" * with_text
-    return joined.mapInArrow(_drop_lines(with_text), schema)
+    out = f"doc_id {dtype}, n_lines long, n_dropped long, kept_sha256 string"
+    if with_text:
+        out += f", kept_text string, rest {docs.schema['rest'].dataType.simpleString()}"
+    return joined.mapInArrow(_drop_lines(with_text, ["doc_id", "n_lines", "n_dropped", "kept_sha256", "kept_text", "rest"][: 6 if with_text else 4]), out)
 
 
 __all__ = ["build_mph", "line_dedup", "mph_slots"]

@@ -8,10 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from creditflow.llm.decontamination import decontaminate
 from creditflow.llm.jaccard import jaccard_components
+from creditflow.llm.licenses import notices, scan_licenses
 from creditflow.llm.line_dedup import line_dedup
+from creditflow.llm.mixing import mix
+from creditflow.llm.pseudonyms import pseudonymise
 from creditflow.llm.quality import quality_rules
+from creditflow.llm.quotations import link_quotations
 from creditflow.llm.substring_dedup import substring_dedup
 from creditflow.llm.suffix_dedup import suffix_dedup
 
@@ -20,6 +25,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_quotations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(_documents(spark, sf_dir), width=200)
 
@@ -40,11 +49,29 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_documents(spark, sf_dir), shingle=3, percent=90).drop("text_key")
 
 
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")).drop("text_key")
+
+
+def op8_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(_documents(spark, sf_dir))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_documents(spark, sf_dir), notices(spark)).drop("text_key")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_documents(spark, sf_dir)).drop("text_key")
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_array_dedup, op3_line_dedup, op4_benchmark_decontamination, op5_substring_dedup, op6_ngram_jaccard_join, op10_quality_rules)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_chat_formatting, op2_suffix_array_dedup, op3_line_dedup, op4_benchmark_decontamination, op5_substring_dedup, op6_ngram_jaccard_join,
+    op7_source_mixing, op8_pii_pseudonyms, op9_license_scan, op10_quality_rules, pipeline)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -64,3 +91,5 @@ SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
 FROM keyed k LEFT JOIN common c ON k.key = c.key GROUP BY rid, doc_id
 """,
 }
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
