@@ -80,15 +80,35 @@ SQL = {
 WITH numbered AS (
   SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
 ), lines AS (
-  SELECT rid, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS at FROM numbered
+  SELECT rid, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM numbered
 ), keyed AS (
   SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') AS key FROM lines
 ), common AS (
   SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT rid) >= 10
 )
 SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
 FROM keyed k LEFT JOIN common c ON k.key = c.key GROUP BY rid, doc_id
+""",
+    "op5_substring_dedup": r"""
+WITH split AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), starts AS (
+  SELECT rid, doc_id, ws, unnest(range(1, len(ws) - 48)) AS pos FROM split
+), windows AS (
+  SELECT rid, doc_id, pos, md5(array_to_string(list_slice(ws, pos, pos + 49), ' ')) AS win FROM starts
+), firsts AS (
+  SELECT win, min(doc_id) AS least FROM windows GROUP BY win
+), gone AS (
+  SELECT DISTINCT rid, unnest(range(pos, pos + 50)) AS pos FROM windows JOIN firsts USING (win) WHERE least < doc_id
+), words AS (
+  SELECT rid, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM split
+), kept AS (
+  SELECT w.rid, count(g.pos) AS n_removed, string_agg(word, ' ' ORDER BY w.pos) FILTER (WHERE g.pos IS NULL) AS kept
+  FROM words w LEFT JOIN gone g ON w.rid = g.rid AND w.pos = g.pos GROUP BY w.rid
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (rid)
 """,
 }
 if corpus_pipeline.ORACLE_SQL:
