@@ -7,7 +7,6 @@ Everything is expressed with the DataFrame API so Catalyst/AQE plan it:
                    (eligible orders, touches, range join, linear credit)
 * ``sources``    – table readers, the delivery ledger and the CSV export
 * ``plans``      – the daily job (insert -> mark -> export -> finish)
-* ``streaming``  – intentionally empty: the job is a daily batch
 """
 
 __version__ = "0.1.0"

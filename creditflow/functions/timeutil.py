@@ -41,5 +41,5 @@ def shift(ts, n, unit: str = "day") -> Column:
 
 
 def format_ts(ts) -> Column:
-    """``YYYY-MM-DD HH24:MI:SS`` text."""
-    return F.date_format(_col(ts), "yyyy-MM-dd HH:mm:ss")
+    """``YYYY-MM-DD HH24:MI:SS`` text of a zone-less time, whatever the session's time zone."""
+    return F.substring(_col(ts).cast("timestamp_ntz").cast("string"), 1, 19)

@@ -179,8 +179,7 @@ def eligible_orders(t: dict, bounds: Bounds, with_purchase_price: bool = False,
     j = j.withColumns({"order_date": order_date,
                        "sale_ind": sale_indicator(order_date, F.col("release_date")),
                        "logic_flag": R.logic_flag(F.col("bid_user_id"), F.col("status"))})
-    # bid_date_time is a function of the order, so distinct == GROUP BY keys + max(bid).
-    return j.select(*TRADE_KEYS, *extra, "bid_date_time").distinct()
+    return j.groupBy(*TRADE_KEYS, *extra).agg(F.max("bid_date_time").alias("bid_date_time"))
 
 
 def buyers(trades: DataFrame) -> DataFrame:

@@ -267,7 +267,8 @@ def q_undelivered(spark, sf_dir):
 
 
 def q_delivery_file(spark, sf_dir):
-    return export.delivery_lines(ledger.undelivered(ledger.mark_in_flight(_appended(spark, sf_dir))))
+    rows = ledger.undelivered(ledger.mark_in_flight(_appended(spark, sf_dir)))
+    return export.delivery_lines(_r(rows, "attributed_credit", "conversion_value"))
 
 
 QUERIES = {name: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}

@@ -7,9 +7,9 @@ order, form the file (no single task or the driver ever holds all rows).
 Lines end with CRLF and fields are quoted like Python's ``csv`` module
 (minimal quoting, doubled quotes, NULL as an empty field).
 
-Numbers are written with a fixed scale of 12 decimals, trailing zeros
-removed (``0.5``, ``30.0``, ``0.016666666667``), so very small credits never
-turn into exponent notation.
+Numbers are written with all digits of the computed double, in the shortest
+form that reads back as the same value (``0.5``, ``30.0``,
+``0.3333333333333333``); an exponent is written out as zeros.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 PREAMBLE = ["Parameters:Attribution Model = linear", "Parameters:TimeZone=America/Detroit"]
 HEADER = ["Google Click ID", "Conversion Name", "Conversion Time", "Attributed Credit",
           "Conversion Value", "Conversion Currency"]
-NUMBER_SCALE = 12
 ROWS_PER_FILE = 1_000_000
 
 
@@ -36,9 +35,17 @@ def csv_field(c: Column) -> Column:
 
 
 def number_text(c: Column) -> Column:
-    """Fixed-scale decimal text without trailing zeros (keeps one digit after the point)."""
-    s = F.rtrim(c.cast(f"decimal(38,{NUMBER_SCALE})").cast("string"), F.lit("0"))
-    return F.when(s.endswith("."), F.concat(s, F.lit("0"))).otherwise(s)
+    """Shortest plain text of a double; no exponent, at least one digit after the point."""
+    s = c.cast("double").cast("string")
+    sign = F.when(s.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    whole = F.regexp_extract(s, "^-?([0-9])[.]", 1)
+    part = F.regexp_replace(F.regexp_extract(s, "[.]([0-9]+)E", 1), "0+$", "")
+    power = F.regexp_extract(s, "E(-?[0-9]+)$", 1).cast("int")
+    digits = F.rpad(part, F.greatest(power, F.length(part)), F.lit("0"))
+    large = F.concat(whole, F.substring(digits, F.lit(1), power), F.lit("."),
+                     F.rpad(F.substring(digits, power + 1, F.length(digits)), F.greatest(F.length(digits) - power, F.lit(1)), F.lit("0")))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), whole, part)
+    return F.when(~s.rlike("[0-9]E-?[0-9]"), s).otherwise(F.concat(sign, F.when(power < 0, small).otherwise(large)))
 
 
 def _text_line(fields: list[Column]) -> Column:

@@ -25,8 +25,10 @@ Layout under ``root``::
 
 Every step writes one new directory (a rows partition or a states version)
 through Spark's job commit, so a failed step leaves the previous state
-readable and can simply be rerun; a rerun insert overwrites its own batch
-partition only (dynamic partition overwrite).
+readable and can simply be rerun.  Every insert writes under a batch number
+that no earlier attempt has used, and registers the rows of that number only:
+rows that a crashed insert left behind are never read, and an insert without
+rows registers nothing.
 """
 
 from __future__ import annotations
@@ -124,10 +126,16 @@ class Ledger:
         (states.select(*[f.name for f in STATES.fields]).withColumn("v", F.lit(v))
          .coalesce(1).write.mode("append").partitionBy("v").parquet(self.states_path))
 
+    def _fresh_batch(self) -> int:
+        """One more than the largest batch number of any attempt, from a directory listing."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.rows_path)
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+        return 1 + max([int(n.partition("=")[2]) for n in names if n.startswith("batch=")], default=-1)
+
     def _write_batch(self, rows: DataFrame, batch: int) -> DataFrame:
         (rows.select(*ROW_COLUMNS).withColumn("batch", F.lit(batch))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch").parquet(self.rows_path))
+         .write.mode("append").partitionBy("batch").parquet(self.rows_path))
         written = (self.spark.read.schema(ROWS).parquet(self.rows_path).where(F.col("batch") == batch)
                    .groupBy("batch").agg(F.count(F.lit(1)).alias("n_rows"),
                                          F.max("conversion_time").alias("max_time")))
@@ -148,8 +156,8 @@ class Ledger:
     def append(self, conversions: DataFrame) -> int:
         """Insert conversion rows as a new batch in state NULL; returns the batch id."""
         prev = self.states()
-        batch = (prev.agg(F.max("batch")).first()[0])
-        batch = 0 if batch is None else batch + 1
+        registered = prev.agg(F.max("batch")).first()[0]
+        batch = max(self._fresh_batch(), 0 if registered is None else registered + 1)
         meta = self._write_batch(to_ledger_rows(conversions), batch).select(
             F.col("batch").cast("int"), F.lit(None).cast("boolean").alias("sftp"), "n_rows", "max_time")
         self._write_states(prev.unionByName(meta))

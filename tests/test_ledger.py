@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from creditflow.plans.daily import run_delivery
 from creditflow.schemas import LEDGER, LEDGER_COLUMNS
+from creditflow.functions.timeutil import format_ts
 from creditflow.sources import export, ledger as L
+from creditflow.sources.export import number_text
 from creditflow.sources.ledger import Ledger
 from tests import fixture_tables as FX
 
@@ -56,15 +58,35 @@ def test_persistent_ledger_matches_row_semantics(spark, scratch):
     assert led.high_water_mark() == T("2024-07-05 09:00:00")
 
 
-def test_rerun_of_an_insert_replaces_its_batch(spark, scratch):
+def test_rows_of_a_crashed_insert_are_never_published(spark, scratch):
     led = Ledger(spark, os.path.join(scratch, "ledger")).create(spark.createDataFrame(SEED, LEDGER))
     new = spark.createDataFrame([("g9", "x", T("2024-07-06 00:00:00"), 1.0, 30.0, "USD", None)], LEDGER)
     led._write_batch(L.to_ledger_rows(new), 3)   # a crashed run wrote rows but no state
     assert led.read().count() == 3              # invisible without a state version
-    assert led.append(new) == 3                 # the rerun reuses and overwrites batch 3
+    led.append(new.limit(0))                    # the rerun finds nothing to insert
+    assert _rows(led.read()) == _rows(spark.createDataFrame(SEED, LEDGER))
+    assert led.append(new) == 4                 # a later insert has a number of its own
     assert led.read().where(F.col("gcl_id") == "g9").count() == 1
 
 
+def test_number_text_keeps_all_digits(spark):
+    values = [1 / 3, 1 / 7, 1e-5, -1.5e-7, 1e30, 1.25e7, 12345678.5, 1.7976931348623157e308, 0.5, 30.0, -2.0, 0.0, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select(number_text(F.col("v")).alias("s"))
+    out = [r.s for r in df.collect()]
+    assert out[:6] == ["0.3333333333333333", "0.14285714285714285", "0.00001", "-0.00000015", "1" + "0" * 30 + ".0", "12500000.0"]
+    assert [None if s is None else float(s) for s in out] == values
+    assert not any("E" in s for s in out if s)
+
+
+def test_time_text_does_not_depend_on_the_session_zone(spark):
+    df = spark.createDataFrame([(T("2024-03-31 02:30:00"),)], "t timestamp_ntz").select(format_ts("t").alias("s"))
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+        assert df.collect()[0].s == "2024-03-31 02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def _read_delivery(path):
     parts = sorted(glob.glob(os.path.join(path, "part-*")))
     return b"".join(open(p, "rb").read() for p in parts).decode()
@@ -83,7 +105,7 @@ def test_delivery_file_format(spark, scratch):
                          "Google Click ID,Conversion Name,Conversion Time,Attributed Credit,Conversion Value,"
                          "Conversion Currency"]
     assert sorted(lines[3:5]) == ['"a,b","say ""hi""",2024-07-01 10:00:00,0.00005,0.0015,USD',
-                                  "g2,GCLID New Buyer MTA Trades,2024-07-02 10:00:00,0.333333333333,10.0,"]
+                                  "g2,GCLID New Buyer MTA Trades,2024-07-02 10:00:00,0.3333333333333333,10.0,"]
     assert lines[5:] == [""] and text.endswith("\r\n")
     # nothing to deliver: the previous file stays
     assert export.write_delivery(und.limit(0), out) == 0

@@ -6,8 +6,8 @@ import __spark_entry__ as E
 from tests.compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = {k: v for k, v in E.queries().items() if k.startswith("q_")}
+SQL = {k: v for k, v in E.oracle_sql().items() if k.startswith("q_")}
 
 
 @pytest.fixture(scope="module")
