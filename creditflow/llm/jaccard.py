@@ -7,8 +7,10 @@ of shingles.  Documents with equal sets are one class from the start.
    the documents last, then longer shingles first (they are rarer).  A set of n
    tokens that must share ``ceil(percent * n / 100)`` of them with a partner
    has to share ``SHARED`` of its first ``n - that + SHARED``: its prefix.
-2. Classes are partitioned into groups by the first token of their order;
-   a group of over ``GROUP`` classes is split by class hash.
+   (Where it must share fewer than ``SHARED`` in all, the set is its prefix.)
+2. Classes are partitioned into groups by the prefix token that most prefixes
+   hold, so that copies of a text stay together; a group of over ``GROUP``
+   classes is split by class hash.
 3. The token-group matrix has a row for each prefix token and group with the
    sizes of the members; queries are counted against it, and a group is a
    candidate of a query when at least ``SHARED`` cells match.
@@ -42,7 +44,7 @@ from creditflow.llm.components import components
 from creditflow.llm.cuts import Cuts, text_key
 
 HOT_SHARE = 4096
-SHARED = 4
+SHARED = 8
 GROUP = 1024
 QUERIES = 4096
 _COUNT_AT = 4_000_000
@@ -99,7 +101,7 @@ def _prefixes(k: int, percent: int, hot):
                 n, cls, prefix = [], [], []
                 for h, lens in _sets(data, offs, k):
                     need = -(-percent * len(h) // 100)
-                    size = len(h) - need + SHARED
+                    size = len(h) - need + min(SHARED, need)
                     late = np.zeros(len(h), np.int64)
                     if len(hot_tokens) and len(h):
                         late = (hot_tokens[np.minimum(np.searchsorted(hot_tokens, h), len(hot_tokens) - 1)] == h).astype(np.int64)
@@ -121,7 +123,7 @@ def _token_sets(k: int):
         for batch in batches:
             for lo, hi, data, offs in B.blocks(batch.column("text")):
                 sets = [h.tobytes() for h, _ in _sets(data, offs, k)]
-                yield pa.RecordBatch.from_arrays([batch.column("cls").slice(lo, hi - lo), pa.array(sets, pa.binary())], ["cls", "tokens"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, hi - lo) for c in ("cls", "seats")), pa.array(sets, pa.binary())], ["cls", "seats", "tokens"])
     return run
 
 
@@ -195,34 +197,38 @@ def jaccard_links(docs: DataFrame, shingle: int = 3, percent: int = 90) -> tuple
     least = 100 // (100 - percent) - 1 if percent < 100 else 1 << 62
     classes = rows.where(F.col("n") >= min(least, 9) if percent >= 90 else F.col("n") > 0)
     classes = classes.groupBy("cls").agg(F.min_by(F.struct("doc_id", "text_key", "prefix"), F.struct("doc_id", "text_key")).alias("x"), F.first("n").alias("n"))
-    classes = classes.select("cls", "n", "x.*", F.col("x.prefix")[0].alias("head"))
-    sizes = classes.groupBy("head").agg(F.count("*").alias("size"))
+    classes = cuts.write(classes.select("cls", "n", "x.*"))
+    cells = classes.select("cls", "n", F.explode("prefix").alias("token"))
+    held = cells.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
+    cells = cuts.write(cells.join(held, "token"))
+    enough = F.least(F.lit(SHARED), F.expr(f"({percent} * n + 99) div 100"))
+    heads = cells.groupBy("cls", "n").agg(F.max(F.struct("held", "token")).alias("head"), F.count("*").alias("c"))
+    heads = heads.where(F.col("c") >= enough).select("cls", "head.token")  # others can't share enough with anyone
+    sizes = heads.groupBy("token").agg(F.count("*").alias("size"))
     part = F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / GROUP))
-    classes = cuts.write(classes.join(sizes, "head").select("cls", "n", "doc_id", "text_key", "prefix", F.xxhash64("head", part).alias("grp")))
-
-    cells = classes.select("cls", "n", "grp", F.explode("prefix").alias("token"))
+    grouped = cuts.write(heads.join(sizes, "token").select("cls", F.xxhash64("token", part).alias("grp")))
+    cells = cuts.write(cells.join(grouped, "cls").select("token", "cls", "n", "grp"))
+    inside = cells.groupBy("token", "grp").agg(F.count("*").alias("c")).where("c > 1").select("token", "grp")
+    likely = cells.join(inside, ["token", "grp"]).groupBy("cls", "n", "grp").agg(F.count("*").alias("c")).where(F.col("c") >= enough).select("cls", "grp")
     shared = cells.groupBy("token").agg(F.min("grp").alias("g1"), F.max("grp").alias("g2")).where("g1 <> g2").select("token")
-    cells = cuts.write(cells.join(shared, "token"))
+    cells = cells.join(shared, "token")
     matrix = cells.groupBy("token", "grp").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     fits = (F.lit(100) * F.col("n") >= F.lit(percent) * F.col("least")) & (F.lit(100) * F.col("most") >= F.lit(percent) * F.col("n"))
     queries = (cells.withColumnRenamed("grp", "own").join(matrix, "token").where((F.col("own") > F.col("grp")) & fits)
-               .groupBy("cls", "grp").agg(F.count("*").alias("hits")).where(F.col("hits") >= SHARED).select("cls", "grp"))
+               .groupBy("cls", "n", "grp").agg(F.count("*").alias("hits")).where(F.col("hits") >= enough).select("cls", "grp"))
     queries = cuts.write(queries)
-    alone = classes.groupBy("grp").agg(F.count("*").alias("members"))
-    asked = queries.groupBy("grp").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("asks"))
-    opened = alone.join(asked, "grp", "left").where((F.col("members") > 1) | F.col("asks").isNotNull())
-    opened = cuts.write(opened.select("grp", F.coalesce("asks", F.lit(1)).alias("asks")))
-
-    members = classes.join(opened, "grp").select("cls", "grp", F.explode(F.sequence(F.lit(0), F.col("asks") - 1)).alias("block"), F.lit(0).alias("is_query"))
-    asking = queries.join(opened, "grp").select("cls", "grp", F.pmod(F.xxhash64("cls"), F.col("asks")).cast("int").alias("block"), F.lit(1).alias("is_query"))
-    seats = cuts.write(members.unionByName(asking))
-    needed = seats.select("cls").distinct().join(classes.select("cls", "doc_id", "text_key"), "cls")
-    needed = needed.withColumnsRenamed({"doc_id": "want_id", "text_key": "want_key"}).dropDuplicates(["want_id", "want_key"])
+    # a group is opened for its queries, or for those members that may link within it
+    asked = cuts.write(queries.groupBy("grp").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("asks")))
+    own = likely.join(asked, "grp", "left_anti").select("cls", "grp", F.lit(0).alias("block"), F.lit(0).alias("is_query"))
+    members = grouped.join(asked, "grp").select("cls", "grp", F.explode(F.sequence(F.lit(0), F.col("asks") - 1)).alias("block"), F.lit(0).alias("is_query"))
+    asking = queries.join(asked, "grp").select("cls", "grp", F.pmod(F.xxhash64("cls"), F.col("asks")).cast("int").alias("block"), F.lit(1).alias("is_query"))
+    seats = own.unionByName(members).unionByName(asking).groupBy("cls").agg(F.collect_list(F.struct("grp", "block", "is_query")).alias("seats"))
+    needed = seats.join(classes.select("cls", F.col("doc_id").alias("want_id"), F.col("text_key").alias("want_key")), "cls")
     whole = docs.join(needed, F.col("doc_id").eqNullSafe(F.col("want_id")) & (F.col("text_key") == F.col("want_key")))
-    sets = cuts.write(whole.select("cls", "text").mapInArrow(_token_sets(shingle), "cls long, tokens binary").dropDuplicates(["cls"]))
-    links = seats.join(sets, "cls").groupBy("grp", "block").applyInPandas(_open(percent), "a long, b long")
+    sets = whole.select("cls", "text", "seats").mapInArrow(_token_sets(shingle), "cls long, seats array<struct<grp:long,block:int,is_query:int>>, tokens binary")
+    seated = sets.select("cls", "tokens", F.explode("seats").alias("s")).select("cls", "tokens", "s.*")
+    links = seated.groupBy("grp", "block").applyInPandas(_open(percent), "a long, b long")
     links = cuts.write(links)
-    cuts.drop(cells, queries, sets, seats)
     return rows.select("doc_id", "text_key", "n", "cls"), links
 
 

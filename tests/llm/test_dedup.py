@@ -117,6 +117,7 @@ def test_jaccard_of_edited_copies(spark, monkeypatch, k, percent, group):
         for _ in range(rng.randint(0, 6)):
             words[rng.randrange(len(words))] = f"e{rng.randint(0, 9)}"
         rows.append((i, " ".join(words)))
+    rows += [(100, "s1 s2 s3 s4 s5 s6 s7 s8"), (101, "s1 s2 s3 s4 s5 s6 s7 s8 s9"), (102, "s2 s3 s4 s5 s6 s7 s8 s9"), (103, "z s2 s3 s4 s5 s6 s7 s8")]
     for i in range(70, 90):  # a shared passage doesn't make them alike
         rows.append((i, " ".join([f"d{i}x{j}" for j in range(200)] + base[:40])))
     assert got(jaccard.jaccard_components(frame(spark, rows), k, percent), "doc_id", "n_shingles", "component_id") == sorted(brute.jaccard(rows, k, percent), key=repr)
