@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,3 +49,8 @@ def same_key(a: DataFrame, b: DataFrame, *names: str) -> Column:
     for n in names[1:]:
         cond &= a[n].eqNullSafe(b[n])
     return cond
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, worked out once a row: expressions inside array functions are not shared otherwise."""
+    return F.transform(F.array(value), body)[0]

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditflow.llm.cuts import Cuts, text_key
+from creditflow.llm.cuts import Cuts, let, text_key
 
 WINDOW = 5
 PERCENT = 80
@@ -37,14 +37,14 @@ NUMBER, UNIT, NAME = "\u0001n", "\u0001u", "\u0001p"
 def template(text: Column) -> Column:
     """The text with typed placeholders, lowered; as many words as before."""
     numbers = F.regexp_replace(text, "[0-9]+(?:[.,:/][0-9]+)*", NUMBER)
-    units = F.regexp_replace(numbers, f"(?i)(?<={NUMBER}[ \\t]?)(?:{'|'.join(sorted(UNITS, key=len, reverse=True))})(?![\\p{{L}}/])", UNIT)
+    units = F.regexp_replace(numbers, f"({NUMBER}[ \\t]?)(?i:{'|'.join(sorted(UNITS, key=len, reverse=True))})(?![\\p{{L}}/])", f"$1{UNIT}")
     names = F.regexp_replace(units, "\\p{Lu}(?<=[\\p{Ll},;][ \\t]\\p{Lu})[\\p{L}'’-]*", NAME)
     return F.lower(names)
 
 
 def _words(text: Column) -> Column:
-    bare = F.regexp_replace(F.coalesce(text, F.lit("")), "^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$", "")
-    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE))
+    bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
+    return let(bare, lambda b: F.when(b == "", F.array().cast("array<string>")).otherwise(F.split(b, SPACE)))
 
 
 def _windows(words: Column) -> Column:
@@ -52,12 +52,14 @@ def _windows(words: Column) -> Column:
     tail = lambda a, k: F.slice(a, k + 1, F.greatest(F.size(a) - k, F.lit(0)))
     head = lambda a, k: F.slice(a, 1, F.greatest(F.size(a) - k, F.lit(0)))
     pair = lambda a, b, k: F.zip_with(head(a, k), tail(b, k), lambda x, y: F.xxhash64(x, y))
-    ones = F.transform(words, lambda w: F.xxhash64(w))
-    twos = pair(ones, ones, 1)
-    fours = pair(twos, twos, 2)
-    fives = F.zip_with(head(fours, 1), tail(ones, WINDOW - 1), lambda x, y: F.xxhash64(x, y))
-    whole = F.array(F.xxhash64(F.lit("short"), F.array_join(words, " ")))
-    return F.when(F.size(words) >= WINDOW, fives).when(F.size(words) > 0, whole).otherwise(F.array().cast("array<bigint>"))
+
+    def fives(ones: Column) -> Column:
+        return let(pair(ones, ones, 1), lambda twos: let(pair(twos, twos, 2), lambda fours: F.zip_with(
+            head(fours, 1), tail(ones, WINDOW - 1), lambda x, y: F.xxhash64(x, y))))
+
+    whole = lambda w: F.array(F.xxhash64(F.lit("short"), F.array_join(w, " ")))
+    return let(words, lambda w: F.when(F.size(w) >= WINDOW, let(F.transform(w, lambda x: F.xxhash64(x)), fives))
+               .when(F.size(w) > 0, whole(w)).otherwise(F.array().cast("array<bigint>")))
 
 
 def _slots(words: Column, marks: Column) -> Column:
@@ -89,9 +91,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT)
     both = near.join(docs, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_key") == F.col("found_key")))
     begin = F.greatest(F.col("at_word"), F.lit(0))
     skip = F.greatest(-F.col("at_word"), F.lit(0))
-    both = both.withColumn("doc_words", F.slice(_words(F.col("text")), begin + 1, F.size("item_words") - skip))
-    slots = F.transform(_slots(F.col("item_words"), F.col("item_marks")), lambda s: F.struct(
-        s["mark"].alias("mark"), s["value"].alias("item"), F.lower(F.get(F.col("doc_words"), s["at"] - skip)).alias("doc")))
+    doc_words = F.slice(_words(F.col("text")), begin + 1, F.size("item_words") - skip)
+    slots = let(doc_words, lambda words: F.transform(_slots(F.col("item_words"), F.col("item_marks")), lambda s: F.struct(
+        s["mark"].alias("mark"), s["value"].alias("item"), F.lower(F.get(words, s["at"] - skip)).alias("doc"))))
     both = both.withColumn("slots", F.array_distinct(F.filter(slots, lambda s: s["doc"].isNotNull())))
     sides = lambda side: F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["mark"], s[side]))))
     both = both.where((sides("item") == F.size("slots")) & (sides("doc") == F.size("slots")))

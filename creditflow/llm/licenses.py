@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditflow.llm.cuts import Cuts, text_key
+from creditflow.llm.cuts import Cuts, let, text_key
 from creditflow.llm.decontamination import WINDOW, _windows, _words
 
 LONG = 16
@@ -64,19 +64,22 @@ def notices(spark: SparkSession) -> DataFrame:
 
 def _bands(shingles: Column, stride: int) -> Column:
     """The four band values of every window of SPAN shingles, the number of the band mixed in."""
-    last = F.greatest(F.size(shingles) - SPAN, F.lit(0))
-    starts = F.when(F.size(shingles) >= SPAN, F.sequence(F.lit(1), last + 1, F.lit(stride))).otherwise(F.array().cast("array<int>"))
-    second = F.transform(shingles, lambda h: F.xxhash64(h, F.lit(2)))
-
-    def band(number: int, pick, hashes: Column) -> Column:
-        return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(pick(F.slice(hashes, i, SPAN)), F.lit(number))))
+    def bands(hashes: Column, number: int) -> Column:
+        starts = F.when(F.size(hashes) >= SPAN, F.sequence(F.lit(1), F.size(hashes) - (SPAN - 1), F.lit(stride))).otherwise(F.array().cast("array<int>"))
+        pairs = F.transform(starts, lambda i: let(F.slice(hashes, i, SPAN), lambda w: F.array(
+            F.xxhash64(F.array_min(w), F.lit(number)), F.xxhash64(F.array_max(w), F.lit(number + 1)))))
+        return F.array_distinct(F.flatten(pairs))
 
-    return F.concat(band(0, F.array_min, shingles), band(1, F.array_max, shingles), band(2, F.array_min, second), band(3, F.array_max, second))
+    second = F.transform(shingles, lambda h: F.xxhash64(h, F.lit(2)))
+    return F.concat(let(shingles, lambda h: bands(h, 0)), let(second, lambda h: bands(h, 2)))
 
 
 def _shingle_texts(words: Column) -> Column:
-    starts = F.when(F.size(words) >= WINDOW, F.sequence(F.lit(1), F.size(words) - (WINDOW - 1))).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(words, i, WINDOW), " ")))
+    def texts(w: Column) -> Column:
+        starts = F.when(F.size(w) >= WINDOW, F.sequence(F.lit(1), F.size(w) - (WINDOW - 1))).otherwise(F.array().cast("array<int>"))
+        return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(w, i, WINDOW), " ")))
+
+    return let(words, texts)
 
 
 def scan_licenses(docs: DataFrame, templates: DataFrame, percent: int = PERCENT) -> DataFrame:
