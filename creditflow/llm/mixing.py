@@ -62,12 +62,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit_weights(counts: np.ndarray, min_z: float = MIN_Z) -> tuple[np.ndarray, np.ndarray]:
     """Log prior of each domain, and each word bucket's log-odds for it, 0 where they are not sure."""
-    docs, held = counts[:, -1].astype(float), counts[:, :-1].astype(float)
-    rest, rest_docs = held.sum(0) - held, docs.sum() - docs
-    a, b = held + 0.5, rest + 0.5
-    odds = np.log(a / (docs[:, None] - held + 0.5)) - np.log(b / (rest_docs[:, None] - rest + 0.5))
-    error = np.sqrt(1 / a + 1 / b)
-    return np.log((docs + 1) / (docs + 1).sum()), np.where(np.abs(odds) >= min_z * error, odds, 0.0)
+    docs = counts[:, -1].astype(float)
+    weights = np.zeros((len(DOMAINS), counts.shape[1] - 1), np.float32)
+    held_by_all = counts[:, :-1].sum(0)
+    for k in range(len(DOMAINS)):
+        held = counts[k, :-1]
+        rest, rest_docs = held_by_all - held, docs.sum() - docs[k]
+        odds = np.log((held + 0.5) / (docs[k] - held + 0.5)) - np.log((rest + 0.5) / (rest_docs - rest + 0.5))
+        sure = np.abs(odds) >= min_z * np.sqrt(1 / (held + 0.5) + 1 / (rest + 0.5))
+        weights[k, sure] = odds[sure]
+    return np.log((docs + 1) / (docs + 1).sum()), weights
 
 
 def _posteriors(model):
