@@ -1,10 +1,13 @@
 """Mixing documents to target weights by soft domain membership.
 
 1. ``labels`` names each labelled document's domain: toxic, else good or low by
-   quality.  A Bernoulli classifier is fitted on all labelled documents: Spark
-   counts in how many documents of each domain a word (hashed to ``BUCKETS``)
-   occurs; a word's log-odds count where they are ``MIN_Z`` standard errors
-   from 0.  It gives every document a posterior over the domains.
+   quality.  A document's features are its distinct words and their first
+   ``STEM`` bytes, hashed to ``BUCKETS``.  Spark counts over all labelled
+   documents in how many of each domain a feature occurs; those whose log-odds
+   for some domain are ``MIN_Z`` standard errors from 0 enter a multinomial
+   logistic regression.  It is fitted on about ``FIT_ROWS`` labelled documents,
+   taken by a hash of doc_id (all of them when there are no more than that), and
+   gives every document a posterior over the domains.
 2. Expected tokens of document d in domain k are ``n_d * p_dk``.  Rates r >= 0
    are fitted to ``min |sum_d n_d p_d r_d - target|^2`` by projected gradients
    from r = 1.  The gradient is scaled by 1 / n_d for each document and by the
@@ -12,7 +15,8 @@
    step is one Spark aggregation; a document's rate is a fold over the steps so
    far, so nothing of its size leaves the executors.
 
-Defined results: null and empty texts have no tokens and the prior's posterior.
+Defined results: null and empty texts have no tokens and the posterior of a
+document without features.
 Label rows with a null are left out; of a doc_id's repeated labels the worst
 counts.  Repeated documents get equal rates.  Without labels all posteriors are
 uniform.  Extra columns are ignored; an empty table gives no rows.  Unreachable
@@ -34,17 +38,23 @@ from creditflow.llm.cuts import Cuts, text_key
 DOMAINS = ("good", "low", "toxic")
 TARGETS = {"good": 0.94, "low": 0.05, "toxic": 0.01}
 BUCKETS = 1 << 18
+STEM = 4
 MIN_Z = 3.5
+FIT_ROWS = 10_000
+FIT_STEPS = 150
+FIT_RATE = 0.1
+RIDGE = 1e-4
 STEPS = 30
 TOLERANCE = 1e-6
 
 
 def _present(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (row, word bucket) pairs, and each row's number of words."""
+    """Distinct (row, feature bucket) pairs, and each row's number of words."""
     low = B.LOWER[data]
     starts, ends, first = B.words(low, offs)
-    bucket = (B.spans(B.prefix(low), starts, ends) >> np.uint64(40)).astype(np.int64) % BUCKETS
-    pairs = np.unique(B.row_of(first) * BUCKETS + bucket)
+    pre, row = B.prefix(low), B.row_of(first)
+    stems = B.spans(pre, starts, np.minimum(ends, starts + STEM), seed=1)
+    pairs = np.unique(np.concatenate([row * BUCKETS + (h >> np.uint64(40)).astype(np.int64) % BUCKETS for h in (B.spans(pre, starts, ends), stems)]))
     return pairs // BUCKETS, pairs % BUCKETS, np.diff(first)
 
 
@@ -60,27 +70,65 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(at.astype(np.int32)), pa.array(totals[k, at])], ["domain", "bucket", "n"])
 
 
-def fit_weights(counts: np.ndarray, min_z: float = MIN_Z) -> tuple[np.ndarray, np.ndarray]:
-    """Log prior of each domain, and each word bucket's log-odds for it, 0 where they are not sure."""
+def telling_buckets(counts: np.ndarray, min_z: float = MIN_Z) -> np.ndarray:
+    """Feature buckets whose log-odds for any domain are ``min_z`` standard errors from 0."""
     docs = counts[:, -1].astype(float)
-    weights = np.zeros((len(DOMAINS), counts.shape[1] - 1), np.float32)
+    sure = np.zeros(counts.shape[1] - 1, bool)
     held_by_all = counts[:, :-1].sum(0)
     for k in range(len(DOMAINS)):
         held = counts[k, :-1]
         rest, rest_docs = held_by_all - held, docs.sum() - docs[k]
         odds = np.log((held + 0.5) / (docs[k] - held + 0.5)) - np.log((rest + 0.5) / (rest_docs - rest + 0.5))
-        sure = np.abs(odds) >= min_z * np.sqrt(1 / (held + 0.5) + 1 / (rest + 0.5))
-        weights[k, sure] = odds[sure]
-    return np.log((docs + 1) / (docs + 1).sum()), weights
+        sure |= np.abs(odds) >= min_z * np.sqrt(1 / (held + 0.5) + 1 / (rest + 0.5))
+    return np.flatnonzero(sure)
+
+
+def _features(chosen):
+    """The positions in ``chosen`` of each document's telling buckets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.full(BUCKETS, -1, np.int32)
+        place[chosen.value] = np.arange(len(chosen.value))
+        for batch in batches:
+            for lo, hi, data, offs in B.blocks(batch.column("text")):
+                row, bucket, _ = _present(data, offs)
+                told = place[bucket] >= 0
+                ends = np.searchsorted(row[told], np.arange(hi - lo + 1)).astype(np.int32)
+                held = pa.ListArray.from_arrays(pa.array(ends), pa.array(place[bucket[told]]))
+                yield pa.RecordBatch.from_arrays([batch.column(c).slice(lo, hi - lo) for c in ("label_id", "text_key", "domain")] + [held],
+                                                 ["label_id", "text_key", "domain", "features"])
+    return run
+
+
+def fit_regression(domain: np.ndarray, row: np.ndarray, feature: np.ndarray, n_features: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bias of each domain and weights (domain, feature) of a multinomial logistic regression, by scaled gradient steps."""
+    n, k = len(domain), len(DOMAINS)
+    docs = np.bincount(domain, minlength=k)
+    bias, weights = np.log((docs + 1) / (docs + 1).sum()), np.zeros((k, n_features))
+    if not n:
+        return bias, weights
+    seen, seen_bias = np.full((k, n_features), 1e-8), np.full(k, 1e-8)
+    for _ in range(FIT_STEPS):
+        score = np.stack([bias[j] + np.bincount(row, weights[j][feature], n) for j in range(k)])
+        gap = np.exp(score - score.max(0))
+        gap /= gap.sum(0)
+        gap[domain, np.arange(n)] -= 1
+        for j in range(k):
+            slope = np.bincount(feature, gap[j][row], n_features) / n + RIDGE * weights[j]
+            seen[j] += slope**2
+            weights[j] -= FIT_RATE * slope / np.sqrt(seen[j])
+        slope = gap.sum(1) / n
+        seen_bias += slope**2
+        bias = bias - FIT_RATE * slope / np.sqrt(seen_bias)
+    return bias, weights
 
 
 def _posteriors(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prior, weights = model.value
+        bias, weights = model.value
         for batch in batches:
             for lo, hi, data, offs in B.blocks(batch.column("text")):
                 row, bucket, n = _present(data, offs)
-                score = np.stack([prior[k] + np.bincount(row, weights[k][bucket], hi - lo) for k in range(len(DOMAINS))])
+                score = np.stack([bias[k] + np.bincount(row, weights[k][bucket], hi - lo) for k in range(len(DOMAINS))])
                 p = np.exp(score - score.max(0))
                 p = np.round(p / p.sum(0), 9)
                 yield pa.RecordBatch.from_arrays([batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "text_key")] + [pa.array(n.astype(np.int64))]
@@ -88,6 +136,22 @@ def _posteriors(model):
     return run
 
 
+def _fit(taught: DataFrame, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bias and weights (domain, bucket) of the classifier."""
+    chosen, labelled = telling_buckets(counts), int(counts[:, -1].sum())
+    weights = np.zeros((len(DOMAINS), BUCKETS), np.float32)
+    share = min(1.0, FIT_ROWS / max(labelled, 1))
+    drawn = taught.where(F.pmod(F.xxhash64("label_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    dtype = taught.schema["label_id"].dataType.simpleString()
+    told = taught.sparkSession.sparkContext.broadcast(chosen)
+    table = drawn.mapInArrow(_features(told), f"label_id {dtype}, text_key long, domain int, features array<int>").toArrow()
+    table = table.sort_by([("label_id", "ascending"), ("text_key", "ascending")]).combine_chunks()
+    feature, first = (np.zeros(0, np.int64), np.zeros(1, np.int64)) if not len(table) else B.lists(table["features"].combine_chunks())
+    bias, fitted = fit_regression(table["domain"].to_numpy().astype(int), B.row_of(first), feature, len(chosen))
+    weights[:, chosen] = fitted
+    return bias, weights
+
+
 def domain_posteriors(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, text_key, n_tokens and the posterior of each domain, for every row of ``docs``."""
     spark = docs.sparkSession
@@ -95,11 +159,11 @@ def domain_posteriors(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = labels.where("doc_id is not null and quality is not null and toxic is not null").groupBy(F.col("doc_id").alias("label_id")).agg(
         F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
     domain = F.when(F.col("toxic") == 1, 2).when(F.col("quality") == 1, 0).otherwise(1).alias("domain")
-    taught = docs.join(known, F.col("doc_id") == F.col("label_id")).select(domain, "text")
-    rows = taught.mapInArrow(_count, "domain int, bucket int, n long").groupBy("domain", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    taught = docs.join(known, F.col("doc_id") == F.col("label_id")).select("label_id", "text_key", domain, "text")
+    rows = taught.select("domain", "text").mapInArrow(_count, "domain int, bucket int, n long").groupBy("domain", "bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros((len(DOMAINS), BUCKETS + 1), np.int64)  # the bound of what comes to the driver
     counts[rows["domain"].to_numpy(int), rows["bucket"].to_numpy(int)] = rows["n"].to_numpy()
-    model = spark.sparkContext.broadcast(fit_weights(counts))
+    model = spark.sparkContext.broadcast(_fit(taught, counts))
     dtype = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(_posteriors(model), f"doc_id {dtype}, text_key long, n_tokens long, " + ", ".join(f"p_{d} double" for d in DOMAINS))
 

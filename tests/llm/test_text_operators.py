@@ -159,6 +159,13 @@ def test_classifier_finds_toxic_words(spark):
     assert {r.rate for r in mix(spark.createDataFrame(docs[:3], "doc_id long, text string"), empty).collect()} == {1.0}
 
 
+def test_classifier_on_held_out_labels(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    out = mix(docs, labels.where("doc_id % 2 = 1")).drop("text").join(labels.where("doc_id % 2 = 0"), "doc_id").toPandas()
+    toxic, clean = out[out.toxic == 1], out[(out.toxic == 0) & (out.quality == 1)]
+    assert (toxic.p_toxic > 0.5).mean() > 0.7 and (clean.p_toxic > 0.5).mean() < 0.01
+
+
 CHAT = "conv_id long, turn long, role string, text string, at int"
 
 
