@@ -3,7 +3,8 @@
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and
 returns the documents that it keeps, with all columns of its input.  The last
 stage adds ``rate``, the weight a document is sampled with, and leaves out
-documents whose rate is under ``MIN_RATE``.
+documents whose rate is under ``MIN_RATE``, but for those that are good with a
+posterior over one half: unreachable targets cost no clean document.
 
 Documents without text, with a null doc_id or given twice pass as the operators'
 docstrings say; near-duplicate classes leave the row with the smallest doc_id.
@@ -64,7 +65,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rates = mix(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).where(F.col("rate") >= MIN_RATE)
+    rates = mix(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).where((F.col("rate") >= MIN_RATE) | (F.col("p_good") > 0.5))
     return _matching(docs, rates.select("doc_id", "text_key", "rate"), "inner").select(*(docs[c] for c in docs.columns), "rate")
 
 
