@@ -2,12 +2,13 @@
 
 1. ``labels`` names each labelled document's domain: toxic, else good or low by
    quality.  A document's features are its distinct words and their first
-   ``STEM`` bytes, hashed to ``BUCKETS``.  Spark counts over all labelled
-   documents in how many of each domain a feature occurs; those whose log-odds
-   for some domain are ``MIN_Z`` standard errors from 0 enter a multinomial
-   logistic regression.  It is fitted on about ``FIT_ROWS`` labelled documents,
-   taken by a hash of doc_id (all of them when there are no more than that), and
-   gives every document a posterior over the domains.
+   ``STEM`` bytes, hashed to ``BUCKETS``.  The classifier is fitted on the
+   ``FIT_ROWS`` labels that come first by a hash of doc_id (all when there are no
+   more), so that they can be broadcast and no text is shuffled.  Spark counts in
+   how many of their documents of each domain a feature occurs; those whose
+   log-odds for some domain are ``MIN_Z`` standard errors from 0 enter a
+   multinomial logistic regression, which gives every document a posterior over
+   the domains.
 2. Expected tokens of document d in domain k are ``n_d * p_dk``.  Rates r >= 0
    are fitted to ``min |sum_d n_d p_d r_d - target|^2`` by projected gradients
    from r = 1.  The gradient is scaled by 1 / n_d for each document and by the
@@ -18,7 +19,7 @@
 Defined results: null and empty texts have no tokens and the posterior of a
 document without features.
 Label rows with a null are left out; of a doc_id's repeated labels the worst
-counts.  Repeated documents get equal rates.  Without labels all posteriors are
+counts; a labelled doc_id with several texts enters the regression with one.  Repeated documents get equal rates.  Without labels all posteriors are
 uniform.  Extra columns are ignored; an empty table gives no rows.  Unreachable
 targets are approached as far as nonnegative rates allow.
 """
@@ -42,6 +43,7 @@ STEM = 4
 MIN_Z = 3.5
 FIT_ROWS = 10_000
 FIT_STEPS = 150
+FIT_BLOCK = 1000
 FIT_RATE = 0.1
 RIDGE = 1e-4
 STEPS = 30
@@ -99,26 +101,32 @@ def _features(chosen):
     return run
 
 
-def fit_regression(domain: np.ndarray, row: np.ndarray, feature: np.ndarray, n_features: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bias of each domain and weights (domain, feature) of a multinomial logistic regression, by scaled gradient steps."""
+def fit_regression(domain: np.ndarray, first: np.ndarray, feature: np.ndarray, n_features: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bias of each domain and weights (domain, feature) of a multinomial logistic regression, by scaled gradient steps.
+
+    Document i has ``feature[first[i]:first[i + 1]]``.  A step goes through ``FIT_BLOCK`` documents at a time.
+    """
     n, k = len(domain), len(DOMAINS)
     docs = np.bincount(domain, minlength=k)
     bias, weights = np.log((docs + 1) / (docs + 1).sum()), np.zeros((k, n_features))
-    if not n:
-        return bias, weights
     seen, seen_bias = np.full((k, n_features), 1e-8), np.full(k, 1e-8)
-    for _ in range(FIT_STEPS):
-        score = np.stack([bias[j] + np.bincount(row, weights[j][feature], n) for j in range(k)])
-        gap = np.exp(score - score.max(0))
-        gap /= gap.sum(0)
-        gap[domain, np.arange(n)] -= 1
-        for j in range(k):
-            slope = np.bincount(feature, gap[j][row], n_features) / n + RIDGE * weights[j]
-            seen[j] += slope**2
-            weights[j] -= FIT_RATE * slope / np.sqrt(seen[j])
-        slope = gap.sum(1) / n
-        seen_bias += slope**2
-        bias = bias - FIT_RATE * slope / np.sqrt(seen_bias)
+    for _ in range(FIT_STEPS if n else 0):
+        slope, slope_bias = RIDGE * weights, np.zeros(k)
+        for lo in range(0, n, FIT_BLOCK):
+            at = first[lo : lo + FIT_BLOCK + 1]
+            row, held = B.row_of(at), feature[at[0] : at[-1]].astype(np.int64)
+            size = len(at) - 1
+            score = np.stack([bias[j] + np.bincount(row, weights[j][held], size) for j in range(k)])
+            gap = np.exp(score - score.max(0))
+            gap /= gap.sum(0)
+            gap[domain[lo : lo + size], np.arange(size)] -= 1
+            slope_bias += gap.sum(1) / n
+            for j in range(k):
+                slope[j] += np.bincount(held, gap[j][row], n_features) / n
+        seen += slope**2
+        seen_bias += slope_bias**2
+        weights -= FIT_RATE * slope / np.sqrt(seen)
+        bias = bias - FIT_RATE * slope_bias / np.sqrt(seen_bias)
     return bias, weights
 
 
@@ -138,16 +146,15 @@ def _posteriors(model):
 
 def _fit(taught: DataFrame, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bias and weights (domain, bucket) of the classifier."""
-    chosen, labelled = telling_buckets(counts), int(counts[:, -1].sum())
+    chosen = telling_buckets(counts)
     weights = np.zeros((len(DOMAINS), BUCKETS), np.float32)
-    share = min(1.0, FIT_ROWS / max(labelled, 1))
-    drawn = taught.where(F.pmod(F.xxhash64("label_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
     dtype = taught.schema["label_id"].dataType.simpleString()
     told = taught.sparkSession.sparkContext.broadcast(chosen)
-    table = drawn.mapInArrow(_features(told), f"label_id {dtype}, text_key long, domain int, features array<int>").toArrow()
-    table = table.sort_by([("label_id", "ascending"), ("text_key", "ascending")]).combine_chunks()
+    held = taught.mapInArrow(_features(told), f"label_id {dtype}, text_key long, domain int, features array<int>")
+    one = held.groupBy("label_id").agg(F.min_by(F.struct("domain", "features"), "text_key").alias("held"))  # FIT_ROWS at most
+    table = one.select("label_id", "held.domain", "held.features").toArrow().sort_by("label_id").combine_chunks()
     feature, first = (np.zeros(0, np.int64), np.zeros(1, np.int64)) if not len(table) else B.lists(table["features"].combine_chunks())
-    bias, fitted = fit_regression(table["domain"].to_numpy().astype(int), B.row_of(first), feature, len(chosen))
+    bias, fitted = fit_regression(table["domain"].to_numpy().astype(int), first, feature, len(chosen))
     weights[:, chosen] = fitted
     return bias, weights
 
@@ -159,7 +166,8 @@ def domain_posteriors(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = labels.where("doc_id is not null and quality is not null and toxic is not null").groupBy(F.col("doc_id").alias("label_id")).agg(
         F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
     domain = F.when(F.col("toxic") == 1, 2).when(F.col("quality") == 1, 0).otherwise(1).alias("domain")
-    taught = docs.join(known, F.col("doc_id") == F.col("label_id")).select("label_id", "text_key", domain, "text")
+    drawn = known.orderBy(F.xxhash64("label_id"), "label_id").limit(FIT_ROWS)  # bounds what is broadcast
+    taught = docs.join(F.broadcast(drawn), F.col("doc_id") == F.col("label_id")).select("label_id", "text_key", domain, "text")
     rows = taught.select("domain", "text").mapInArrow(_count, "domain int, bucket int, n long").groupBy("domain", "bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros((len(DOMAINS), BUCKETS + 1), np.int64)  # the bound of what comes to the driver
     counts[rows["domain"].to_numpy(int), rows["bucket"].to_numpy(int)] = rows["n"].to_numpy()
