@@ -1,19 +1,26 @@
 """Benchmark decontamination by canonical templates (DataFrame functions only).
 
-1. Numbers, units after a number and names (capitalised words inside a
-   sentence) are replaced by typed placeholders; the rest is lowered.  Words
-   keep their places, so a template's words line up with the text's.
+1. Numbers, units after a number and names (capitalised words, wherever they
+   stand) are replaced by typed placeholders; the rest is lowered.  Words keep
+   their places, so a template's words line up with the text's.
 2. Templates are cut into windows of ``WINDOW`` words (a shorter template is
    one window) and hash-joined: documents' windows with the benchmark's.
-3. Hits are counted for each document, item and offset between them.  An item
-   is a candidate where at least ``percent`` of its windows hit at one offset.
-4. The slots of a candidate are compared: each value of the item must stand
-   for one value in the document and the other way round, type by type.  A
-   consistent candidate with other values is a re-parameterised question.
+3. Hits are gathered for each document, item and offset between them, and
+   offsets in regions, so that inserted and deleted words split nothing: two
+   offsets at most a third of the item's windows (``WINDOW`` at least) apart
+   share a region, and no region is over twice as wide.  A region, or an offset
+   alone, is a candidate where at least ``percent`` of the item's windows hit,
+   each counted once and read at the region's offset with most hits that has it.
+4. The slots of the windows that hit are compared: each value of the item must
+   stand for one value in the document and the other way round, type by type.
+   A consistent candidate with other values is a re-parameterised question.
+   Where values clash, the windows with the item's own values count alone: with
+   ``percent`` of them the text is a copy in which a value was edited.
 
 Defined results: null and empty texts have no words, match nothing and have no
 windows.  Repeated items and repeated rows match each on their own.  Of several
-offsets of one pair the one with most hits counts, the smallest of equals.
+candidates of one pair the one with most hits counts, the smallest ``at_word``
+of equals; a region's is its offset with most hits.
 Extra columns are ignored; an empty table on either side gives no rows.
 """
 
@@ -38,7 +45,7 @@ def template(text: Column) -> Column:
     """The text with typed placeholders, lowered; as many words as before."""
     numbers = F.regexp_replace(text, "[0-9]+(?:[.,:/][0-9]+)*", NUMBER)
     units = F.regexp_replace(numbers, f"({NUMBER}[ \\t]?)(?i:{'|'.join(sorted(UNITS, key=len, reverse=True))})(?![\\p{{L}}/])", f"$1{UNIT}")
-    names = F.regexp_replace(units, "\\p{Lu}(?<=[\\p{Ll},;][ \\t]\\p{Lu})[\\p{L}'’-]*", NAME)
+    names = F.regexp_replace(units, "(?<![\\p{L}\\p{N}'’-])\\p{Lu}[\\p{L}'’-]*", NAME)
     return F.lower(names)
 
 
@@ -62,12 +69,28 @@ def _windows(words: Column) -> Column:
                .when(F.size(w) > 0, whole(w)).otherwise(F.array().cast("array<bigint>")))
 
 
-def _slots(words: Column, marks: Column) -> Column:
-    """The words that hold a placeholder, with their place and template."""
-    every = F.transform(words, lambda w, i: F.struct(i.alias("at"), F.lower(w).alias("value"), F.get(marks, i).alias("mark")))
+def _spots(parts: Column) -> Column:
+    """(item_at, at) of each item window that hits, once, at the first of the parts that has it."""
+    every = F.flatten(F.transform(parts, lambda p, i: F.transform(p["hit"], lambda w: F.struct(w.alias("item_at"), i.alias("rank"), p["at"].alias("at")))))
+    return let(F.sort_array(every), lambda e: F.filter(e, lambda x, i: (i == 0) | (F.get(e, i - 1)["item_at"] != x["item_at"])))
+
+
+def _slots(spot: Column, words: Column, marks: Column, doc: Column) -> Column:
+    """Placeholder, value in the item and value in the document of each slot of a window that hits."""
+    places = F.sequence(spot["item_at"], F.least(spot["item_at"] + WINDOW, F.size(words)) - 1)
+    every = F.transform(places, lambda i: F.struct(F.get(marks, i).alias("mark"), F.lower(F.get(words, i)).alias("item"), F.lower(F.get(doc, i + spot["at"])).alias("doc")))
     return F.filter(every, lambda s: s["mark"].contains("\u0001"))
 
 
+def _one_to_one(slots: Column) -> Column:
+    """Each value of the item stands for one value in the document and the other way round, type by type."""
+    def check(pairs: Column) -> Column:
+        sides = lambda side: F.size(F.array_distinct(F.transform(pairs, lambda s: F.struct(s["mark"], s[side]))))
+        return (sides("item") == F.size(pairs)) & (sides("doc") == F.size(pairs))
+
+    return let(F.array_distinct(slots), check)
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, text_key, item_id, n_windows, n_hits, at_word, same_values of each item found in a document.
 
@@ -82,23 +105,30 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT)
     docs = docs.select("doc_id", text_key().alias("text_key"), "text")
     marked = docs.select("doc_id", "text_key", _words(template(F.col("text"))).alias("marks"))
     spots = marked.select("doc_id", "text_key", F.posexplode(_windows(F.col("marks"))).alias("doc_at", "h"))
-    hits = spots.join(cells, "h").groupBy("doc_id", "text_key", "item_key", "n_windows", (F.col("doc_at") - F.col("item_at")).alias("at_word")).agg(F.countDistinct("item_at").alias("n_hits"))
-    found = cuts.write(hits.where(F.lit(100) * F.col("n_hits") >= F.lit(percent) * F.col("n_windows")))
+    pair = ("doc_id", "text_key", "item_key", "n_windows")
+    hits = spots.join(cells, "h").groupBy(*pair, (F.col("doc_at") - F.col("item_at")).alias("at")).agg(F.collect_set("item_at").alias("hit"))
+    enough = lambda n: F.lit(100) * n >= F.lit(percent) * F.col("n_windows")
+    reach = F.greatest(F.lit(WINDOW), F.floor(F.col("n_windows") / 3))
+    step = F.floor(F.col("at") / reach)
+    none = F.lit(None).cast("int")
+    own = F.when(enough(F.size("hit")), F.array(F.struct(F.lit(None).cast("bigint").alias("step"), F.col("at").alias("alone")))).otherwise(F.array())
+    regions = F.concat(F.array(*[F.struct(s.alias("step"), none.alias("alone")) for s in (step, step - 1)]), own)
+    parts = hits.select(*pair, F.explode(regions).alias("region"), F.struct((-F.size("hit")).alias("order"), "at", "hit").alias("part"))
+    parts = parts.groupBy(*pair, "region").agg(F.sort_array(F.collect_list("part")).alias("parts"))
+    # a region of one offset is that offset alone
+    parts = parts.where((F.size("parts") > 1) | F.col("region.alone").isNotNull())
+    found = cuts.write(parts.where(enough(F.size(F.array_distinct(F.flatten("parts.hit"))))).select(*pair, "parts"))
 
     # slots of the candidates, read again from the texts
     near = found.withColumnsRenamed({"doc_id": "found_id", "text_key": "found_key"}).join(
         items.select("item_key", "item_id", F.col("words").alias("item_words"), F.col("marks").alias("item_marks")), "item_key")
     both = near.join(docs, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_key") == F.col("found_key")))
-    begin = F.greatest(F.col("at_word"), F.lit(0))
-    skip = F.greatest(-F.col("at_word"), F.lit(0))
-    doc_words = F.slice(_words(F.col("text")), begin + 1, F.size("item_words") - skip)
-    slots = let(doc_words, lambda words: F.transform(_slots(F.col("item_words"), F.col("item_marks")), lambda s: F.struct(
-        s["mark"].alias("mark"), s["value"].alias("item"), F.lower(F.get(words, s["at"] - skip)).alias("doc"))))
-    both = both.withColumn("slots", F.array_distinct(F.filter(slots, lambda s: s["doc"].isNotNull())))
-    sides = lambda side: F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["mark"], s[side]))))
-    both = both.where((sides("item") == F.size("slots")) & (sides("doc") == F.size("slots")))
-    both = both.withColumn("same_values", F.forall("slots", lambda s: s["item"] == s["doc"]))
-    rank = F.struct(F.col("n_hits"), -F.col("at_word"))
+    slots = let(_words(F.col("text")), lambda doc: F.transform(_spots(F.col("parts")), lambda s: _slots(s, F.col("item_words"), F.col("item_marks"), doc)))
+    both = both.withColumn("slots", slots)
+    same = F.filter("slots", lambda w: F.forall(w, lambda s: s["item"] == s["doc"]))
+    both = both.withColumn("n_same", F.size(same)).withColumn("n_hits", F.when(_one_to_one(F.flatten("slots")), F.size("slots")).otherwise(F.col("n_same")))
+    both = both.where(enough(F.col("n_hits"))).withColumn("same_values", F.col("n_same") == F.col("n_hits")).withColumn("at_word", F.col("parts")[0]["at"])
+    rank = F.struct(F.col("n_hits"), -F.col("at_word"), F.col("same_values"))
     best = both.groupBy("doc_id", "text_key", "item_id", "item_key", "n_windows").agg(
         F.max("n_hits").alias("n_hits"), F.max_by("at_word", rank).alias("at_word"), F.max_by("same_values", rank).alias("same_values"))
     return best.drop("item_key")

@@ -71,6 +71,24 @@ def test_decontaminate_slots(spark):
     assert decontaminate(docs.limit(0), items).collect() == [] == decontaminate(docs, items.limit(0)).collect()
 
 
+def test_decontaminate_finds_edited_copies(spark):
+    names = ["Tom", "Anna"]
+    item = [names[i // 10 % 2] if i % 10 == 3 else f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(50)]
+    put = lambda i, *new, gone=0: " ".join(["so", "on", *item[:i], *new, *item[i + gone:], "end"])
+    texts = [put(25, "extra"), put(25, gone=1), put(25, "other", gone=1), put(25, *"some words put in between".split()), put(23, "he", gone=1), put(23, "Otto", gone=1),
+             put(25, "extra").replace("Tom", "Ute"), " ".join(item[25:37])]
+    # names at sentence starts and after a line break, and two copies with other values one after the other
+    start = "Carla took three of the red pears home. Dave\nate them at once before noon. Carla then asked for many more of those."
+    other = start.replace("Carla", "Emil").replace("Dave", "Fred")
+    texts += [other, other.replace("home", "away"), f"{start} {other}", other.replace("Emil then", "Gus then")]
+    docs = spark.createDataFrame([(i, x, "en", 0) for i, x in enumerate(texts)], DOCS)
+    out = {(r.doc_id, r.item_id): r for r in decontaminate(docs, spark.createDataFrame([(0, " ".join(item)), (1, start)], "item_id long, text string")).collect()}
+    assert sorted(out) == [*((i, 0) for i in range(7)), (8, 1), (10, 1)]
+    assert [out[i, 0].n_hits for i in range(7)] == [42, 41, 41, 42, 41, 41, 42]
+    assert [out[i, 0].same_values for i in range(7)] == [True] * 6 + [False]
+    assert out[0, 0].at_word == 2 and not out[8, 1].same_values and out[10, 1].same_values
+
+
 def test_decontaminate_finds_planted_items(spark):
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
