@@ -7,7 +7,8 @@ documents whose rate is under ``MIN_RATE``, but for those that are good with a
 posterior over one half: unreachable targets cost no clean document.
 
 Documents without text, with a null doc_id or given twice pass as the operators'
-docstrings say; near-duplicate classes leave the row with the smallest doc_id.
+docstrings say; near-duplicate classes leave the row with the smallest doc_id,
+null after all others, and of equal ids that with the smallest text hash.
 An empty table passes as an empty table.
 """
 
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from creditflow.llm.cuts import Cuts, text_key
 from creditflow.llm.decontamination import decontaminate
-from creditflow.llm.jaccard import jaccard_components
+from creditflow.llm.jaccard import jaccard_roots
 from creditflow.llm.line_dedup import line_dedup
 from creditflow.llm.mixing import mix
 from creditflow.llm.quality import quality_rules
@@ -48,11 +49,12 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sets of five-word shingles, similarity 0.8."""
-    rows = Cuts().write(jaccard_components(docs, shingle=5, percent=80))
-    first = rows.where("n_shingles > 0 and doc_id <=> component_id").groupBy("doc_id").agg(F.min("text_key").alias("text_key"))
-    stay = first.unionByName(rows.where("n_shingles = 0").select("doc_id", "text_key"))
+    rows = Cuts().write(jaccard_roots(docs, shingle=5, percent=80))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")).alias("least")
+    first = rows.where("n > 0").groupBy("root").agg(least).select("least.doc_id", "least.text_key")
+    stay = first.unionByName(rows.where("n = 0").select("doc_id", "text_key"))
     kept = _matching(docs, stay, "left_semi")
-    again = rows.where("n_shingles > 0").groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1")
+    again = rows.where("n > 0").groupBy("doc_id", "text_key").agg(F.count("*").alias("copies")).where("copies > 1")
     if again.isEmpty():
         return kept
     twice = again.select("doc_id", "text_key")

@@ -232,11 +232,16 @@ def jaccard_links(docs: DataFrame, shingle: int = 3, percent: int = 90) -> tuple
     return rows.select("doc_id", "text_key", "n", "cls"), links
 
 
-def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) -> DataFrame:
-    """doc_id, text_key, n_shingles, component_id of every row of ``docs``."""
+def jaccard_roots(docs: DataFrame, shingle: int = 3, percent: int = 90) -> DataFrame:
+    """doc_id, text_key, n, root of every row of ``docs``: rows with n over 0 are of one component where they share the root."""
     rows, links = jaccard_links(docs, shingle, percent)
     roots = components(links)
-    marked = rows.join(roots, rows["cls"] == roots["node"], "left").select("doc_id", "text_key", "n", F.coalesce("root", "cls").alias("root"))
+    return rows.join(roots, rows["cls"] == roots["node"], "left").select("doc_id", "text_key", "n", F.coalesce("root", "cls").alias("root"))
+
+
+def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) -> DataFrame:
+    """doc_id, text_key, n_shingles, component_id of every row of ``docs``."""
+    marked = jaccard_roots(docs, shingle, percent)
     first = marked.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least")).withColumnRenamed("root", "r")
     out = marked.join(first, (F.col("root") == F.col("r")) & (F.col("n") > 0), "left")
     return out.select("doc_id", "text_key", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))

@@ -41,6 +41,14 @@ def test_near_duplicates_leave_one(spark):
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 1, 2, 4]
 
 
+def test_near_duplicates_go_by_class_and_not_by_id(spark):
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(100)) for x in "abcde")
+    rows = [(None, a), (None, b), (None, b), (None, c + " more"), (7, c), (5, d), (5, e), (6, e + " more"), (9, d + " more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((r.doc_id or 0), r.text[0]) for r in P.near_duplicates(spark, docs, SF).collect())
+    assert kept == [(0, "a"), (0, "b"), (5, "d"), (5, "e"), (7, "c")]
+
+
 def test_line_stage_changes_the_text(spark):
     docs = spark.createDataFrame([(i, f"junk\nown {i}", 10) for i in range(10)], "doc_id long, text string, n_chars long")
     assert {(r.text, r.n_chars) for r in P.lines(spark, docs, SF).collect()} == {(f"own {i}", 5) for i in range(10)}
