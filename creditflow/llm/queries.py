@@ -13,6 +13,7 @@ from creditflow.llm.decontamination import decontaminate
 from creditflow.llm.jaccard import jaccard_components
 from creditflow.llm.licenses import notices, scan_licenses
 from creditflow.llm.line_dedup import line_dedup
+from creditflow.llm.merkle import tampered_manifest
 from creditflow.llm.mixing import mix
 from creditflow.llm.pseudonyms import pseudonymise
 from creditflow.llm.quality import quality_rules
@@ -65,17 +66,74 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_documents(spark, sf_dir)).drop("text_key")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tampered_manifest(_documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_suffix_array_dedup, op3_line_dedup, op4_benchmark_decontamination, op5_substring_dedup, op6_ngram_jaccard_join,
-    op7_source_mixing, op8_pii_pseudonyms, op9_license_scan, op10_quality_rules, pipeline)}
+    op7_source_mixing, op8_pii_pseudonyms, op9_license_scan, op10_quality_rules,
+    op13_merkle_manifest, pipeline)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+
+
+def _merkle_sql(levels: int = 7, source_levels: int = 6) -> str:
+    """The manifest level by level, for up to 16 ** levels rows a source and 16 ** source_levels sources."""
+    def field(c: str) -> str:
+        return f"coalesce(strlen(CAST({c} AS varchar)) || ':' || {c}, '-')"
+
+    head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    ctes = [f"""table_crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS t
+)""", f"""docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, coalesce('=' || source, '') AS src, {head} AS head, text,
+         list_reduce(list_transform(string_split(CAST(doc_id AS varchar), ''), lambda d: CAST(ascii(d) AS bigint)),
+                     lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295) AS crc
+  FROM documents, table_crc
+)""", f"""hashed AS (
+  SELECT *, sha256(head || {field('text')}) AS leaf,
+         CASE WHEN xor(crc, 4294967295) % 5 = 0 THEN sha256(head || {field(f"translate(text, '{_UPPER}', '{_LOWER}')")}) ELSE leaf END AS observed
+  FROM docs
+)""", """s0 AS (
+  SELECT rid, src, leaf AS d, row_number() OVER (PARTITION BY src ORDER BY doc_id NULLS FIRST, leaf, observed) - 1 AS p,
+         count(*) OVER (PARTITION BY src) AS c
+  FROM hashed
+)""", "w0 AS (SELECT rid, src, p, observed AS f, '' AS q FROM s0 JOIN hashed USING (rid, src))"]
+
+    def level(nodes: str, walk: str, k: int, by: str) -> list[str]:
+        """Runs and parents of level k, and each row's way up through it."""
+        return [f"""{nodes}run{k} AS (
+  SELECT {by}, p // 16 AS p, string_agg(d, '' ORDER BY p) AS s, min(c) AS c FROM {nodes}{k} GROUP BY {by}, p // 16
+)""", f"""{nodes}{k + 1} AS (
+  SELECT {by}, p, CASE WHEN c > 1 THEN sha256(s) ELSE s END AS d, (c + 15) // 16 AS c FROM {nodes}run{k}
+)""", f"""{walk}{k + 1} AS (
+  SELECT rid, w.{by}, w.p // 16 AS p, CASE WHEN c > 1 THEN sha256(s[1:(w.p % 16) * 64] || f || s[(w.p % 16 + 1) * 64 + 1:]) ELSE f END AS f,
+         CASE WHEN c > 1 THEN q || s[1:(w.p % 16) * 64] || s[(w.p % 16 + 1) * 64 + 1:] ELSE q END AS q
+  FROM {walk}{k} w JOIN {nodes}run{k} r ON w.{by} = r.{by} AND w.p // 16 = r.p
+)"""]
+
+    for k in range(levels):
+        ctes += level("s", "w", k, "src")
+    ctes += [f"g0 AS (SELECT src, 0 AS top, d, row_number() OVER (ORDER BY src) - 1 AS p, count(*) OVER () AS c FROM s{levels})",
+             f"v0 AS (SELECT rid, g.top, g.p, f, q FROM w{levels} w JOIN g0 g USING (src))"]
+    for k in range(source_levels):
+        ctes += level("g", "v", k, "top")
+    body = ",\n".join(ctes)
+    return f"""
+WITH {body}
+SELECT doc_id, source, leaf, s.d AS subroot, g.d AS root, sha256(q) AS proof_sha256, f AS folded_root, f = g.d AS verified
+FROM v{source_levels} v JOIN hashed USING (rid) JOIN s{levels} s USING (src) JOIN g{source_levels} g ON v.top = g.top
+"""
+
+
 SQL = {
+    "op13_merkle_manifest": _merkle_sql(),
     "op3_line_dedup": f"""
 WITH numbered AS (
   SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
