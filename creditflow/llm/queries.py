@@ -20,6 +20,7 @@ from creditflow.llm.quality import quality_rules
 from creditflow.llm.quotations import link_quotations
 from creditflow.llm.substring_dedup import substring_dedup
 from creditflow.llm.suffix_dedup import suffix_dedup
+from creditflow.llm.whitening import whiten
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +67,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_documents(spark, sf_dir)).drop("text_key")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tampered_manifest(_documents(spark, sf_dir))
 
@@ -77,7 +82,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_suffix_array_dedup, op3_line_dedup, op4_benchmark_decontamination, op5_substring_dedup, op6_ngram_jaccard_join,
     op7_source_mixing, op8_pii_pseudonyms, op9_license_scan, op10_quality_rules,
-    op13_merkle_manifest, pipeline)}
+    op11_embedding_whitening, op13_merkle_manifest, pipeline)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
