@@ -15,6 +15,7 @@ from creditflow.llm.licenses import notices, scan_licenses
 from creditflow.llm.line_dedup import line_dedup
 from creditflow.llm.merkle import tampered_manifest
 from creditflow.llm.mixing import mix
+from creditflow.llm.packing import pack
 from creditflow.llm.pseudonyms import pseudonymise
 from creditflow.llm.quality import quality_rules
 from creditflow.llm.quotations import link_quotations
@@ -71,6 +72,11 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return pack(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tampered_manifest(_documents(spark, sf_dir))
 
@@ -82,7 +88,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_suffix_array_dedup, op3_line_dedup, op4_benchmark_decontamination, op5_substring_dedup, op6_ngram_jaccard_join,
     op7_source_mixing, op8_pii_pseudonyms, op9_license_scan, op10_quality_rules,
-    op11_embedding_whitening, op13_merkle_manifest, pipeline)}
+    op11_embedding_whitening, op12_packing, op13_merkle_manifest, pipeline)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
