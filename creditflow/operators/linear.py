@@ -6,27 +6,29 @@ of its buyer in ``[bid - window, bid]``, each joined row getting ``1/n`` of
 the order where ``n`` counts all joined rows of the order, a touch-less
 order keeping one row of NULL touch columns):
 
-* ``order_touches``: the (order, touch) pairs, produced by a day-bucketed
-  equi-join on (buyer, day) with the window as residual condition.  Each
-  order is offered to the ~15 days its window covers, each touch sits in its
-  own day, so pairs meet exactly once and a buyer's history is never
-  compared with itself as a whole.  Hot (buyer, day) keys are salted.
+* ``order_touches``: the exact (order, touch) pairs, by a day-bucketed
+  equi-join on (buyer, day) with the window as residual condition.
+* ``touch_pairs``: the same pairs as counts of the touch attributes that reach
+  the fact.  Only the day of a touch does, so on the days wholly inside a
+  window orders meet a day's touches already counted; single touches are
+  looked at on the window's first and last day alone.
+* Both are ``grid_join``: a (buyer, day) with many pairs is cut along its
+  longer side, be that the touches or the orders.
 * ``touch_count``: ``n`` per order from aggregates (no window over a
   possibly huge order partition): ``n = sum over order keys of
   rows(order key) * max(touches(order key), 1)``.
-* ``linear_attribution``: pairs are pre-aggregated to the touch attributes
-  that survive into the fact, joined back to the order rows, and each
-  group sums ``multiplicity / n``.
+* ``linear_attribution``: orders and counted touches meet on the order's
+  non-null surrogate key ``okey``; each group sums ``multiplicity / n``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditflow.functions import rules as R
 from creditflow.functions.timeutil import shift
-from creditflow.operators.joins import salted_bucket_join
+from creditflow.operators.joins import grid_join
 from creditflow.operators.orders import WINDOW_DAYS
 
 ORDER_KEY = ["id", "uuid", "bid_date_time"]
@@ -41,49 +43,63 @@ FACT_KEYS = ["d_source_c", "uuid", "id", "subtotal", "order_date", "date", "gcl_
 MEASURES = ["source_attr", "gmv_source_attr", "fees_source_attr"]
 
 
+def order_key() -> Column:
+    """Non-null surrogate of ``ORDER_KEY``: 128-bit hash of an encoding that keeps NULL and text apart."""
+    parts = [F.coalesce(F.concat(F.octet_length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-"))
+             for c in ORDER_KEY]
+    return F.unhex(F.md5(F.concat(*parts)))
+
+
+def with_order_key(trades: DataFrame) -> DataFrame:
+    return trades if "okey" in trades.columns else trades.withColumn("okey", order_key())
+
+
+def _windows(trades: DataFrame, columns: list[str], window_days: int) -> DataFrame:
+    """Distinct order keys with buyer and window; orders without a bid time have none."""
+    return (trades.where(F.col("bid_date_time").isNotNull()).select(*columns, F.col("uuid").alias("user_uuid"), "bid_date_time").distinct()
+            .withColumn("lo", shift("bid_date_time", -window_days, "day"))
+            .withColumns({"first_day": F.to_date("lo"), "last_day": F.to_date("bid_date_time")}))
+
+
+def _in_window(touch: DataFrame, order: DataFrame) -> Column:
+    return (touch["date_c"] >= order["lo"]) & (touch["date_c"] <= order["bid_date_time"])
+
+
 def order_touches(trades: DataFrame, touches: DataFrame, window_days: int = WINDOW_DAYS) -> DataFrame:
     """(order key, touch) pairs with ``date_c`` in ``[bid - window, bid]``.
 
     Inner pairs only; touch-less orders are handled by the callers.
     """
-    orders = (trades.select(*ORDER_KEY).distinct()
-              .withColumn("lo", shift("bid_date_time", -window_days, "day"))
-              .withColumn("day", F.explode(F.sequence(F.to_date("lo"), F.to_date("bid_date_time"))))
-              .withColumnRenamed("uuid", "user_uuid"))
-    t = touches.withColumn("day", F.to_date("date_c"))
-
-    def in_window(b, s):
-        return (b["date_c"] >= s["lo"]) & (b["date_c"] <= s["bid_date_time"])
+    orders = _windows(trades, ["id"], window_days)
+    orders = orders.select("id", "user_uuid", "bid_date_time", "lo", F.explode(F.sequence("first_day", "last_day")).alias("day"))
+    j = grid_join(touches.withColumn("day", F.to_date("date_c")), orders, ["user_uuid", "day"], _in_window)
+    return j.select("right.id", F.col("right.user_uuid").alias("uuid"), "right.bid_date_time",
+                    *["left." + c for c in touches.columns if c != "user_uuid"])
 
-    j = salted_bucket_join(t, orders, ["user_uuid", "day"], how="inner", condition=in_window,
-                           salt_by=["visit_id_c", "date_c", "gcl_id"])
-    return j.select(F.col("small.id").alias("id"), F.col("small.user_uuid").alias("uuid"),
-                    F.col("small.bid_date_time").alias("bid_date_time"),
-                    *[F.col("big." + c).alias(c) for c in touches.columns if c != "user_uuid"])
 
+def touch_pairs(trades: DataFrame, touches: DataFrame, window_days: int = WINDOW_DAYS) -> DataFrame:
+    """C9 counted: ``okey``, the attributes that reach the fact, and ``m`` touches that share them."""
+    orders = _windows(with_order_key(trades), ["okey"], window_days)
+    dated = touches.withColumn("date", F.to_date("date_c"))
+    attrs = [c for c in PAIR_ATTRS if c != "date"]
 
-def _ns_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join on ``keys`` with NULL-safe equality (NULL buyer or bid time must still pair up)."""
-    r = right.select(*[F.col(c).alias("_r_" + c) if c in keys else F.col(c) for c in right.columns])
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col("_r_" + k))
-        cond = c if cond is None else cond & c
-    out = left.join(r, cond, how)
-    return out if how in ("left_anti", "left_semi") else out.drop(*["_r_" + k for k in keys])
-
+    edges = orders.select("okey", "user_uuid", "lo", "bid_date_time", F.explode(F.array_distinct(F.array("first_day", "last_day"))).alias("date"))
+    edge = grid_join(dated.select("user_uuid", "date", "date_c", *attrs), edges, ["user_uuid", "date"], _in_window)
+    edge = edge.groupBy("right.okey", *["left." + c for c in PAIR_ATTRS]).agg(F.count(F.lit(1)).alias("m"))
 
-def touch_pairs(trades: DataFrame, touches: DataFrame, window_days: int = WINDOW_DAYS) -> DataFrame:
-    """Pairs pre-aggregated to the attributes that reach the fact, with multiplicity ``m``."""
-    p = order_touches(trades, touches, window_days).withColumn("date", F.to_date("date_c"))
-    return p.groupBy(*ORDER_KEY, *PAIR_ATTRS).agg(F.count(F.lit(1)).alias("m"))
+    # Days between them: a group lies on one day, so nothing is left to add up.
+    first, last = F.date_add("first_day", 1), F.date_sub("last_day", 1)
+    inner = orders.where(first <= last).select("okey", "user_uuid", F.explode(F.sequence(first, last)).alias("date"))
+    daily = dated.groupBy("user_uuid", *PAIR_ATTRS).agg(F.count(F.lit(1)).alias("m"))
+    whole = grid_join(daily, inner, ["user_uuid", "date"]).select("right.okey", *["left." + c for c in PAIR_ATTRS], "left.m")
+    return edge.unionByName(whole)
 
 
 def order_key_stats(trades: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Per order key: ``r`` = eligible-order rows, ``t`` = touches in the window (NULL if none)."""
-    rows = trades.groupBy(*ORDER_KEY).agg(F.count(F.lit(1)).alias("r"))
-    hits = pairs.groupBy(*ORDER_KEY).agg(F.sum("m").alias("t"))
-    return _ns_join(rows, hits, ORDER_KEY, "left")
+    """Per order key: its order id, ``r`` = eligible-order rows, ``t`` = touches in the window (NULL if none)."""
+    rows = with_order_key(trades).groupBy("okey").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("r"))
+    hits = pairs.groupBy("okey").agg(F.sum("m").alias("t"))
+    return rows.join(hits, "okey", "left")
 
 
 def touch_count(trades: DataFrame, pairs: DataFrame, stats: DataFrame | None = None) -> DataFrame:
@@ -97,7 +113,7 @@ def touch_count(trades: DataFrame, pairs: DataFrame, stats: DataFrame | None = N
 def _touch_side(pairs: DataFrame, stats: DataFrame) -> DataFrame:
     """Per order key: its touch groups, or one NULL group (m = 1) when it has none."""
     nulls = stats.where(F.col("t").isNull()).select(
-        *ORDER_KEY, *[F.lit(None).cast(pairs.schema[c].dataType).alias(c) for c in PAIR_ATTRS],
+        "okey", *[F.lit(None).cast(pairs.schema[c].dataType).alias(c) for c in PAIR_ATTRS],
         F.lit(1).cast("long").alias("m"))
     return pairs.unionByName(nulls)
 
@@ -113,11 +129,12 @@ def linear_attribution(trades: DataFrame, touches: DataFrame, first_orders: Data
     ``buyer_purchase_price`` into the grouping.  ``countries`` may already
     carry a broadcast hint (it is used as given).  Order-level columns (first
     order, ``n``) are joined to the small, pre-aggregated order side on
-    ``id``; the touch groups then join on the full order key (buyer and bid
-    compared NULL-safely), and the grouping combines map-side before its one
-    shuffle on all fact keys.
+    ``id``; the touch groups then join on ``okey``, straight from their shuffle,
+    so that AQE can split a hot order; the grouping combines map-side before its
+    one shuffle on all fact keys.
     """
     extra = list(extra_keys or [])
+    trades = with_order_key(trades)
     if pairs is None:
         pairs = touch_pairs(trades, touches, window_days)
     stats = order_key_stats(trades, pairs)
@@ -138,14 +155,14 @@ def linear_attribution(trades: DataFrame, touches: DataFrame, first_orders: Data
     # Order side: rows of one order that differ only in columns the fact does
     # not keep (fees, logic flag) are pre-aggregated, exactly:
     # sum over rows of x / n == (sum of x) * m / n for each touch group.
-    order_keys = ORDER_KEY + ["subtotal", "order_date", "vertical", "product_uuid", "sale_ind",
+    order_keys = ["okey", "id", "uuid", "subtotal", "order_date", "vertical", "product_uuid", "sale_ind",
                               "country_id", "fo_id"] + extra
     orders_n = (trades.join(fo, F.col("id") == F.col("fo_id"), "inner" if new_buyers_only else "left")
                 .groupBy(*order_keys)
                 .agg(F.count(F.lit(1)).alias("r_rows"), F.sum(F.col("fees").cast("double")).alias("fees_sum"))
                 .join(n, "id"))
     country = F.coalesce("country_code_c", "country_id")
-    rows = _ns_join(orders_n, side, ORDER_KEY).withColumns({
+    rows = orders_n.join(side, "okey").withColumns({
         "w": F.col("m").cast("double") / F.col("max_touch_rank").cast("double"),
         "country": country,
         "vertical_name": R.vertical_name().spark(R.cols("vertical")),
@@ -172,44 +189,34 @@ def joined_order_touches(trades: DataFrame, touches: DataFrame, window_days: int
     A trade row without touches keeps one row of NULL touch columns.  Built
     from the bucketed pairs, so no buyer's history is compared as a whole.
     """
-    pairs = order_touches(trades, touches, window_days)
-    hits = pairs.select(*ORDER_KEY).distinct().withColumn("_hit", F.lit(True))
-    keys = _ns_join(trades.select(*ORDER_KEY).distinct(), hits, ORDER_KEY, "left")
-    nulls = keys.where(F.col("_hit").isNull()).select(
-        *ORDER_KEY, *[F.lit(None).cast(pairs.schema[c].dataType).alias(c) for c in RANK_TOUCH_COLUMNS])
-    side = pairs.select(*ORDER_KEY, *RANK_TOUCH_COLUMNS).unionByName(nulls)
-    return _ns_join(trades, side, ORDER_KEY)
+    trades = with_order_key(trades)
+    pairs = order_touches(trades, touches, window_days).withColumn("okey", order_key())
+    bare = trades.select("okey").distinct().join(pairs.select("okey").distinct(), "okey", "left_anti")
+    nulls = bare.select("okey", *[F.lit(None).cast(pairs.schema[c].dataType).alias(c) for c in RANK_TOUCH_COLUMNS])
+    side = pairs.select("okey", *RANK_TOUCH_COLUMNS).unionByName(nulls)
+    return grid_join(trades, side, ["okey"]).select(*["left." + c for c in trades.columns if c != "okey"], *["right." + c for c in RANK_TOUCH_COLUMNS])
 
 
-def touch_rank(joined: DataFrame, partitions: int | None = None, cut=None) -> DataFrame:
+def touch_rank(joined: DataFrame) -> DataFrame:
     """Number each order's joined rows 1..n by touch time (NULL times last).
 
-    Ties are broken by every other column, so only identical rows tie.
-    Distributed without a per-order window (a hot order never sits in one
-    task): rows are range-partitioned and sorted on (id, date_c, rest); each
-    row's position is its index inside its partition plus the row count of
-    the partitions before it (a table of ``partitions`` rows, broadcast);
-    the rank is the position minus the order's first position, plus one.
-    ``cut`` materialises the numbered rows so the positions are fixed once.
+    Ties are broken by every other column, so only identical rows tie.  Rows
+    are numbered inside (order, hour), and an hour starts behind the sum of the
+    order's earlier hours (a window of a few hundred counts an order), so a hot
+    order is spread over its hours.
     """
-    spark = joined.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rest = [c for c in joined.columns if c not in ("id", "date_c")]
-    order = [F.col("id").asc_nulls_last(), F.col("date_c").asc_nulls_last()] + \
-            [F.col(c).asc_nulls_last() for c in rest]
-    r = (joined.repartitionByRange(n, *order).sortWithinPartitions(*order)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_mid", F.monotonically_increasing_id()))
-    r = r.withColumn("_local", F.col("_mid") - F.col("_pid").cast("long") * F.lit(1 << 33))
-    if cut is not None:
-        r = cut(r)
-    counts = r.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
-    offsets = counts.select("_pid", (F.sum("_c").over(Window.orderBy("_pid")) - F.col("_c")).alias("_off"))
-    r = r.join(F.broadcast(offsets), "_pid").withColumn("_pos", F.col("_off") + F.col("_local"))
-    first = r.groupBy("id").agg(F.min("_pos").alias("_first"))
-    return (r.join(first, "id")
-            .withColumn("touch_rank", (F.col("_pos") - F.col("_first") + 1).cast("int"))
-            .drop("_pid", "_mid", "_local", "_off", "_pos", "_first"))
+    hour = F.coalesce(F.date_trunc("hour", "date_c").cast("timestamp_ntz"), F.lit("9999-12-31 23:00:00").cast("timestamp_ntz"))
+    r = joined.withColumn("_hour", hour)
+    order = [F.col(c).asc_nulls_last() for c in ("date_c", *rest)]
+    inside = F.row_number().over(Window.partitionBy("id", "_hour").orderBy(*order))
+    earlier = Window.partitionBy("_id").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    starts = r.groupBy(F.col("id").alias("_id"), F.col("_hour").alias("_at")).agg(F.count(F.lit(1)).alias("_c"))
+    starts = starts.select("_id", "_at", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_start"))
+    numbered = r.withColumn("_inside", inside)
+    return (numbered.join(starts, numbered["id"].eqNullSafe(starts["_id"]) & (F.col("_hour") == F.col("_at")))
+            .withColumn("touch_rank", (F.col("_start") + F.col("_inside")).cast("int"))
+            .drop("_hour", "_at", "_id", "_start", "_inside"))
 
 
 def conversions_all_buyers(fact: DataFrame) -> DataFrame:

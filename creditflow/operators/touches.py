@@ -8,12 +8,12 @@ install tables are pruned before any shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditflow.functions import rules as R
 from creditflow.functions.timeutil import shift, touch_time
-from creditflow.operators.joins import key_set, salted_bucket_join, semi_reduce
+from creditflow.operators.joins import KeySet, grid_join, key_set, semi_reduce
 from creditflow.operators.orders import Bounds, after_mark
 
 TOUCH_COLUMNS = ["d_source", "user_uuid", "medium", "source", "campaign", "adset", "keyword",
@@ -39,12 +39,12 @@ def identity_map(sessions: DataFrame, client_ids: DataFrame | None = None) -> Da
     return m.distinct()
 
 
-def buyer_keys(buyers: DataFrame) -> DataFrame:
-    """The run's buyer uuids as a (size-checked, broadcast when small) key set."""
+def buyer_keys(buyers: DataFrame) -> KeySet:
+    """The run's buyer uuids as a measured key set."""
     return key_set(buyers, "uuid")
 
 
-def install_touches(installs: DataFrame, sessions: DataFrame, buyers: DataFrame,
+def install_touches(installs: DataFrame, sessions: DataFrame, buyers: KeySet,
                     bounds: Bounds) -> DataFrame:
     """App installs of the run's buyers inside the lookback, classified and deduplicated.
 
@@ -73,7 +73,7 @@ def install_touches(installs: DataFrame, sessions: DataFrame, buyers: DataFrame,
     return out.groupBy(*INSTALL_COLUMNS).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def session_touches(sessions: DataFrame, countries: DataFrame, buyers: DataFrame,
+def session_touches(sessions: DataFrame, countries: DataFrame, buyers: KeySet,
                     bounds: Bounds) -> DataFrame:
     """Sessions of the run's buyers inside the lookback, classified and deduplicated.
 
@@ -124,70 +124,79 @@ def _is_direct(medium, source):
     return (medium == F.lit(R.DIRECT_MEDIUM)) & (source == F.lit(R.DIRECT_SOURCE))
 
 
+def _bucket(ts: Column, seconds) -> Column:
+    """Number of the ``seconds``-wide bucket that a zone-less time lies in."""
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.floor(F.timestamp_diff("SECOND", start, ts) / seconds)
+
+
+def _contains_network(*columns: str) -> Column:
+    wide = F.lit(False)
+    for net in R.WIDE_BAND_NETWORKS:
+        for c in columns:
+            wide = wide | F.coalesce(F.lower(c).contains(net), F.lit(False))
+    return wide
+
+
+def install_matches(direct: DataFrame, installs: DataFrame) -> DataFrame:
+    """Pairs (aliases ``left`` and ``right``) of direct visits and installs of one user within the install's band.
+
+    Each install has one band, a day for the wide networks and ten seconds for
+    all others, and lies in buckets of about twice its band: the few that its
+    band touches.  A visit looks up its own bucket of either width, so a pair
+    meets once and installs of other bands are never compared.
+    """
+    day, narrow = 86_400, R.NARROW_BAND_SECONDS
+    visits = direct.withColumns({
+        "_wide": F.explode(F.array(F.lit(True), F.lit(False)))}).withColumn(
+        "_bucket", F.when(F.col("_wide"), _bucket(F.col("date"), day)).otherwise(_bucket(F.col("date"), 2 * narrow)))
+    wide = _contains_network("af_source", "af_medium")
+    banded = installs.withColumn("_wide", wide).withColumns({
+        "_from": F.when(F.col("_wide"), shift("af_date", -R.WIDE_BAND_DAYS, "day")).otherwise(shift("af_date", -narrow, "second")),
+        "_to": F.when(F.col("_wide"), shift("af_date", R.WIDE_BAND_DAYS, "day")).otherwise(shift("af_date", narrow, "second"))})
+    width = F.when(F.col("_wide"), F.lit(day)).otherwise(F.lit(2 * narrow))
+    banded = banded.withColumn("_bucket", F.explode(F.sequence(_bucket(F.col("_from"), width), _bucket(F.col("_to"), width))))
+    return grid_join(visits, banded, ["user_uuid", "_wide", "_bucket"], lambda g, a: (g["date"] >= a["_from"]) & (g["date"] <= a["_to"]))
+
+
 def enhance_direct_touches(touches: DataFrame, installs: DataFrame) -> DataFrame:
     """Re-attribute direct visits to an app install of the same user nearby in time.
 
     A visit with medium ``(none)`` and source ``(direct)`` is matched to each
-    install of its user within +-10 s (+-1 day when either side names
-    Snapchat or Facebook) and takes the install's attributes; other visits
-    are kept as they are.  Only direct visits take part in the join, which
-    runs on (user, day) buckets with the time band as residual condition:
-    the visit sits in its own day, each install is offered to the day
-    before, of and after its time, so every pair within one day of each
-    other meets exactly once.  Hot (user, day) keys are salted.
+    install of its user within +-10 s (+-1 day when the install names Snapchat
+    or Facebook; a direct visit names neither) and takes the install's
+    attributes; other visits are kept as they are, and so are direct visits
+    without a match.  Only direct visits take part in the join.
     """
-    t = touches.where(_is_direct(F.col("medium"), F.col("source")).isNull()
-                      | ~_is_direct(F.col("medium"), F.col("source")))
-    kept = t.select(
-        F.col("d_source").alias("d_source_c"), "user_uuid", "gcl_id",
-        F.col("medium").alias("medium_c"), F.col("source").alias("source_c"),
-        F.col("campaign").alias("campaign_c"), F.col("adset").alias("adset_c"),
-        F.col("keyword").alias("keyword_c"), F.col("source_clean").alias("source_clean_c"),
-        F.col("country_code").alias("country_code_c"), F.col("date").alias("date_c"),
-        F.col("visit_id").cast("string").alias("visit_id_c"),
-        F.col("device_mapping").alias("device_mapping_c"))
-
-    direct = (touches.where(_is_direct(F.col("medium"), F.col("source")))
-              .drop("n_rows").withColumn("day", F.to_date("date")))
-    inst = (installs.drop("n_rows")
-            .select(*[F.col(c).alias("af_" + c) for c in INSTALL_COLUMNS])
-            .withColumnRenamed("af_uuid", "user_uuid")
-            .withColumn("day", F.explode(F.sequence(F.date_sub(F.to_date("af_date"), 1),
-                                                    F.date_add(F.to_date("af_date"), 1)))))
-
-    def band(g, a):
-        wide = None
-        for net in R.WIDE_BAND_NETWORKS:
-            for side, col in ((a, "af_source"), (a, "af_medium"), (g, "source"), (g, "medium")):
-                c = F.lower(side[col]).contains(net)
-                wide = c if wide is None else wide | c
-        narrow = R.NARROW_BAND_SECONDS
-        in_wide = ((shift(g["date"], -R.WIDE_BAND_DAYS, "day") <= a["af_date"])
-                   & (shift(g["date"], R.WIDE_BAND_DAYS, "day") >= a["af_date"]))
-        in_narrow = ((shift(g["date"], -narrow, "second") <= a["af_date"])
-                     & (shift(g["date"], narrow, "second") >= a["af_date"]))
-        return F.when(wide, in_wide).otherwise(in_narrow)
-
-    j = salted_bucket_join(direct, inst, ["user_uuid", "day"], how="left", condition=band,
-                           salt_by=["visit_id", "date"])
-    g = lambda c: F.col("big." + c)      # noqa: E731  visit side
-    a = lambda c: F.col("small." + c)    # noqa: E731  install side
-    take = _is_direct(g("medium"), g("source")) & F.coalesce(a("af_source"), a("af_medium")).isNotNull()
-    pick = lambda af, ga: F.when(take, a(af)).otherwise(g(ga))
-    moved = j.select(
-        F.when(a("af_d_source").isNotNull(), a("af_d_source")).otherwise(g("d_source")).alias("d_source_c"),
-        g("user_uuid").alias("user_uuid"), g("gcl_id").alias("gcl_id"),
-        pick("af_medium", "medium").alias("medium_c"),
-        pick("af_source", "source").alias("source_c"),
-        pick("af_campaign", "campaign").alias("campaign_c"),
-        pick("af_adset", "adset").alias("adset_c"),
-        g("keyword").alias("keyword_c"),
-        pick("af_source_clean", "source_clean").alias("source_clean_c"),
-        pick("af_country_code", "country_code").alias("country_code_c"),
-        pick("af_date", "date").alias("date_c"),
-        F.when(take, a("af_visit_id")).otherwise(g("visit_id").cast("string")).alias("visit_id_c"),
-        pick("af_device_mapping", "device_mapping").alias("device_mapping_c"),
-    ).distinct()
+    is_direct = _is_direct(F.col("medium"), F.col("source"))
+
+    def as_visit(c) -> list[Column]:
+        return [c("d_source").alias("d_source_c"), c("user_uuid").alias("user_uuid"), c("gcl_id").alias("gcl_id"),
+                c("medium").alias("medium_c"), c("source").alias("source_c"), c("campaign").alias("campaign_c"),
+                c("adset").alias("adset_c"), c("keyword").alias("keyword_c"), c("source_clean").alias("source_clean_c"),
+                c("country_code").alias("country_code_c"), c("date").alias("date_c"),
+                c("visit_id").cast("string").alias("visit_id_c"), c("device_mapping").alias("device_mapping_c")]
+
+    kept = touches.where(~F.coalesce(is_direct, F.lit(False))).select(*as_visit(F.col))
+    direct = touches.where(is_direct).drop("n_rows")
+    inst = (installs.drop("n_rows").select(*[F.col(c).alias("af_" + c) for c in INSTALL_COLUMNS])
+            .withColumnRenamed("af_uuid", "user_uuid"))
+    j = install_matches(direct, inst)
+    g = lambda c: F.col("left." + c)     # noqa: E731  visit side
+    a = lambda c: F.col("right." + c)    # noqa: E731  install side
+    take = F.coalesce(a("af_source"), a("af_medium")).isNotNull()
+    pick = lambda c: F.when(take, a("af_" + c)).otherwise(g(c))
+    moved = [F.coalesce(a("af_d_source"), g("d_source")).alias("d_source_c"), g("user_uuid").alias("user_uuid"), g("gcl_id").alias("gcl_id"),
+             pick("medium").alias("medium_c"), pick("source").alias("source_c"), pick("campaign").alias("campaign_c"), pick("adset").alias("adset_c"),
+             g("keyword").alias("keyword_c"), pick("source_clean").alias("source_clean_c"), pick("country_code").alias("country_code_c"),
+             pick("date").alias("date_c"), F.when(take, a("af_visit_id")).otherwise(g("visit_id").cast("string")).alias("visit_id_c"),
+             pick("device_mapping").alias("device_mapping_c")]
+    # One grouping gives the distinct moved rows and the direct visits that no match has marked.
+    both = F.array(F.struct(F.lit(True).alias("_moved"), *moved), F.struct(F.lit(False).alias("_moved"), *as_visit(g)))
+    marked = j.select(F.explode(both).alias("row")).select("row.*").withColumn("_matched", F.lit(True))
+    asked = direct.select(F.lit(False).alias("_moved"), *as_visit(F.col), F.lit(False).alias("_matched"))
+    found = marked.unionByName(asked).groupBy("_moved", *ENHANCED_COLUMNS).agg(F.max("_matched").alias("_matched"))
+    out = found.where(F.col("_moved") | ~F.col("_matched")).select(*ENHANCED_COLUMNS)
     # Direct rows always differ from kept rows (source/medium or d_source), so
     # the union is already duplicate-free.
-    return kept.unionByName(moved).select(*ENHANCED_COLUMNS)
+    return kept.select(*ENHANCED_COLUMNS).unionByName(out)

@@ -46,8 +46,10 @@ class Attribution:
 
     @cached_property
     def eligible(self) -> DataFrame:
-        return self._cut(orders.eligible_orders(self.t, self.bounds, with_purchase_price=self.variant == "new",
-                                                cut=self._cut if self.checkpoint else None))
+        """Eligible orders with the surrogate order key that later stages meet on."""
+        found = orders.eligible_orders(self.t, self.bounds, with_purchase_price=self.variant == "new",
+                                       cut=self._cut if self.checkpoint else None)
+        return self._cut(linear.with_order_key(found))
 
     @cached_property
     def first_orders(self) -> DataFrame:
@@ -56,7 +58,7 @@ class Attribution:
         return orders.first_orders(bids)
 
     @cached_property
-    def trades(self) -> DataFrame:
+    def keyed(self) -> DataFrame:
         """Eligible orders; the new-buyer variant keeps first orders only.
 
         Restricting before the touch join is exact: an order's touches and
@@ -67,9 +69,13 @@ class Attribution:
                                                 "id", "left_semi"))
         return self.eligible
 
+    @property
+    def trades(self) -> DataFrame:
+        return self.keyed.drop("okey")
+
     @cached_property
     def buyers(self) -> DataFrame:
-        return orders.buyers(self.trades)
+        return orders.buyers(self.keyed)
 
     @cached_property
     def buyer_keys(self) -> DataFrame:
@@ -97,17 +103,17 @@ class Attribution:
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return self._cut(linear.touch_pairs(self.trades, self.touches, self.window_days))
+        return self._cut(linear.touch_pairs(self.keyed, self.touches, self.window_days))
 
     @cached_property
     def touch_count(self) -> DataFrame:
-        return linear.touch_count(self.trades, self.pairs)
+        return linear.touch_count(self.keyed, self.pairs)
 
     @cached_property
     def fact(self) -> DataFrame:
         new = self.variant == "new"
         return linear.linear_attribution(
-            self.trades, self.touches, self.first_orders, self.countries,
+            self.keyed, self.touches, self.first_orders, self.countries,
             self.window_days, new_buyers_only=new,
             extra_keys=["buyer_purchase_price"] if new else None, pairs=self.pairs)
 

@@ -162,7 +162,7 @@ def q_touch_rank(spark, sf_dir):
     """Every joined (order row, touch) numbered within its order by touch time."""
     a = _run(spark, sf_dir)
     joined = linear.joined_order_touches(a.trades, a.touches, a.window_days)
-    return linear.touch_rank(joined, cut=a._cut)
+    return linear.touch_rank(a._cut(joined))
 
 
 def q_touch_count(spark, sf_dir):

@@ -73,7 +73,7 @@ def test_touch_rank_spans_partitions(spark):
     rows = [(1, base + dt.timedelta(minutes=i), f"v{i:04d}") for i in range(300)]
     rows += [(2, base + dt.timedelta(minutes=5), "a"), (2, None, "b"), (2, base, "c")]
     df = spark.createDataFrame(rows, "id long, date_c timestamp_ntz, visit_id_c string")
-    out = {(r.id, r.visit_id_c): r.touch_rank for r in touch_rank(df, partitions=8).collect()}
+    out = {(r.id, r.visit_id_c): r.touch_rank for r in touch_rank(df).collect()}
     assert [out[(1, f"v{i:04d}")] for i in range(300)] == list(range(1, 301))
     assert (out[(2, "c")], out[(2, "a")], out[(2, "b")]) == (1, 2, 3)   # NULL time last
 
