@@ -3,7 +3,8 @@
 The file is written by the executors as ordered text part files: the three
 preamble lines sort first, then the data rows in a stable order, and the
 output is range-partitioned so that the part files, concatenated in name
-order, form the file (no single task or the driver ever holds all rows).
+order, form the file (no single task or the driver ever holds all rows).  A
+delivery is written beside the one before and takes its place when it is whole.
 Lines end with CRLF and fields are quoted like Python's ``csv`` module
 (minimal quoting, doubled quotes, NULL as an empty field).
 
@@ -14,11 +15,15 @@ form that reads back as the same value (``0.5``, ``30.0``,
 
 from __future__ import annotations
 
+import json
 import math
+import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from creditflow.sources.versions import Folder
+
 # The parameter lines and column labels of the delivery file.
 PREAMBLE = ["Parameters:Attribution Model = linear", "Parameters:TimeZone=America/Detroit"]
 HEADER = ["Google Click ID", "Conversion Name", "Conversion Time", "Attributed Credit",
@@ -75,18 +80,75 @@ def _plain_line(fields: list[str]) -> str:
     return ",".join(out)
 
 
+MANIFEST = "_manifest.json"
+
+
+def _totals(lines: DataFrame) -> tuple[int, int, int]:
+    """Rows, physical lines (a quoted field may hold line ends) and the sum of their CRC-32s (in any order)."""
+    pieces = F.split("line", "\r\n", -1)
+    sums = F.aggregate(pieces, F.lit(0).cast("long"), lambda acc, x: acc + F.crc32(x.cast("binary")))
+    return tuple(lines.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size(pieces)), F.lit(0)), F.coalesce(F.sum(sums), F.lit(0))).first())
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The physical lines (column ``line``) of a delivery's part files."""
+    return spark.read.option("lineSep", "\r\n").text(path).select(F.col("value").alias("line"))
+
+
+def _split(path: str) -> tuple[str, str]:
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return parent or ".", name
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish or undo what a killed ``write_delivery`` left: the delivery before it stays unless the new one is whole."""
+    parent, name = _split(path)
+    folder = Folder(spark, parent)
+    for old in [n for n in folder.names() if n.startswith(f"{name}.previous-")]:
+        if folder.exists(name):
+            folder.delete(old)
+        else:
+            folder.move(old, name)
+    for draft in [n for n in folder.names() if n.startswith(f"{name}.staging-")]:
+        folder.delete(draft)
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict:
+    """Parts, rows, lines and checksum of the delivery at ``path``."""
+    return json.loads(Folder(spark, path).read(MANIFEST))
+
+
 def write_delivery(undelivered: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> int:
     """S4 + S5: write the delivery file under ``path``; skip (keep the old one) when empty.
 
-    Returns the number of data rows written (0 = skipped).
+    The parts go to a sibling folder, are read back and compared with the lines
+    by number and checksum, and get a manifest; only then two renames put the
+    folder in place of the one before.  One writer a path; ``recover``, called
+    first, settles what a killed one left.  Returns the number of data rows
+    written (0 = skipped).
     """
-    n = undelivered.count()
-    if n == 0:
-        return 0
-    parts = max(1, math.ceil(n / rows_per_file))
+    spark = undelivered.sparkSession
+    recover(spark, path)
     lines = delivery_lines(undelivered)
+    n, physical, checksum = _totals(lines)
+    rows = n - len(PREAMBLE) - 1
+    if rows == 0:
+        return 0
+    parts = max(1, math.ceil(rows / rows_per_file))
+    parent, name = _split(path)
+    folder, run = Folder(spark, parent), uuid.uuid4().hex
+    staged = f"{parent}/{name}.staging-{run}"
     (lines.repartitionByRange(parts, "section", "seq", "line")
      .sortWithinPartitions("section", "seq", "line")
      .select("line")
-     .write.mode("overwrite").option("lineSep", "\r\n").text(path))
-    return n
+     .write.option("lineSep", "\r\n").text(staged))
+    written = Folder(spark, staged)
+    if _totals(read_lines(spark, staged))[1:] != (physical, checksum):
+        raise RuntimeError(f"{staged} does not hold the lines of this delivery")
+    written.write(MANIFEST, json.dumps({"parts": sorted(x for x in written.names() if x.startswith("part-")), "rows": rows, "lines": physical, "checksum": checksum}))
+    if folder.exists(name):
+        folder.move(name, f"{name}.previous-{run}")
+    if not folder.move(f"{name}.staging-{run}", name):
+        raise RuntimeError(f"{path} was written by someone else")
+    folder.delete(f"{name}.previous-{run}")
+    return rows

@@ -11,28 +11,31 @@ Persistent form
 Plain parquet has no UPDATE, and rewriting the whole (ever-growing) ledger
 for every state change would cost O(history) per run.  ``Ledger`` therefore
 stores rows once, grouped in *batches* (one per insert), and keeps the
-delivery state per batch in a small side table that is rewritten as a new
-version for every change.  All rows of a batch always share one state: an
-insert starts a batch in NULL, marking moves every NULL batch to FALSE,
-delivery moves every FALSE batch to TRUE, which is exactly the row-level
-UPDATE semantics.  A seeded ledger with mixed states is split into one
-batch per state.
+delivery state per batch in a small manifest.  All rows of a batch always
+share one state: an insert starts a batch in NULL, marking moves every NULL
+batch to FALSE, delivery moves every FALSE batch to TRUE, which is exactly the
+row-level UPDATE semantics.  A seeded ledger with mixed states is split into
+one batch per state.
 
 Layout under ``root``::
 
     rows/batch=<n>/part-*.parquet      ledger columns without ``sftp``
-    states/v=<m>/part-*.parquet        batch, sftp, n_rows, max_time
-
-Every step writes one new directory (a rows partition or a states version)
-through Spark's job commit, so a failed step leaves the previous state
-readable and can simply be rerun.  Every insert writes under a batch number
-that no earlier attempt has used, and registers the rows of that number only:
-rows that a crashed insert left behind are never read, and an insert without
-rows registers nothing.
+    claims/<n>.json                    batch numbers that an insert has taken
+    states/<version>.json              batch, sftp, n_rows, max_time of every batch
+
+Every change publishes one new manifest by compare and set
+(``creditflow.sources.versions``), worked out again when another writer came
+first, so concurrent writers lose nothing and a step that fails anywhere leaves
+the state before it and can be rerun.  An insert claims a batch number of its
+own before it writes and registers the rows of that number only: rows that a
+crashed insert left behind are never read, and an insert without rows
+registers nothing.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,6 +43,7 @@ from pyspark.sql import types as T
 from creditflow.functions.timeutil import format_ts
 from creditflow.operators.joins import bounded_broadcast
 from creditflow.schemas import LEDGER, LEDGER_COLUMNS
+from creditflow.sources.versions import Folder, Versions
 
 ROW_COLUMNS = [c for c in LEDGER_COLUMNS if c != "sftp"]
 ROWS = T.StructType([f for f in LEDGER.fields if f.name != "sftp"]
@@ -89,49 +93,39 @@ def undelivered(ledger: DataFrame) -> DataFrame:
 class Ledger:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self.rows_path, self.states_path = f"{self.root}/rows", f"{self.root}/states"
+        self.rows_path = f"{self.root}/rows"
+        self._states = Versions(spark, f"{self.root}/states")
+        self._claims = Versions(spark, f"{self.root}/claims", keep=1 << 31)
 
     # -- reading ---------------------------------------------------------
-    def _version(self) -> int | None:
-        try:
-            v = self.spark.read.parquet(self.states_path).agg(F.max("v").alias("v")).first()["v"]
-        except Exception as exc:  # no states written yet
-            if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-                return None
-            raise
-        return v
+    def _batches(self) -> list[dict]:
+        return (self._states.newest()[1] or {"batches": []})["batches"]
 
     def states(self) -> DataFrame:
-        v = self._version()
-        if v is None:
-            return self.spark.createDataFrame([], STATES)
-        return (self.spark.read.schema(T.StructType(STATES.fields + [T.StructField("v", T.IntegerType())]))
-                .parquet(self.states_path).where(F.col("v") == v).drop("v"))
+        rows = [(b["batch"], b["sftp"], b["n_rows"], _time(b["max_time"])) for b in self._batches()]
+        return self.spark.createDataFrame(rows, STATES)
 
     def read(self) -> DataFrame:
         """The ledger (``LEDGER`` schema): rows joined to their batch state."""
         st = self.states()
-        if self._version() is None:
+        if not Folder(self.spark, self.rows_path).exists():
             return self.spark.createDataFrame([], LEDGER)
         rows = self.spark.read.schema(ROWS).parquet(self.rows_path)
         return rows.join(bounded_broadcast(st.select("batch", "sftp")), "batch").select(*LEDGER_COLUMNS)
 
     def high_water_mark(self):
         """C1 from the batch metadata (no scan of the rows)."""
-        return self.states().agg(F.max("max_time").alias("date")).first()["date"]
+        return max((t for t in (_time(b["max_time"]) for b in self._batches()) if t is not None), default=None)
 
     # -- writing ---------------------------------------------------------
-    def _write_states(self, states: DataFrame) -> None:
-        v = (self._version() or 0) + 1
-        (states.select(*[f.name for f in STATES.fields]).withColumn("v", F.lit(v))
-         .coalesce(1).write.mode("append").partitionBy("v").parquet(self.states_path))
-
-    def _fresh_batch(self) -> int:
-        """One more than the largest batch number of any attempt, from a directory listing."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.rows_path)
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
-        return 1 + max([int(n.partition("=")[2]) for n in names if n.startswith("batch=")], default=-1)
+    def _claim(self) -> int:
+        """A batch number that no other attempt has or will get."""
+        while True:
+            written = [int(n.partition("=")[2]) for n in Folder(self.spark, self.rows_path).names() if n.startswith("batch=")]
+            taken = [*written, *self._claims.numbers(), *(b["batch"] for b in self._batches())]
+            number = 1 + max(taken, default=-1)
+            if self._claims.publish(number, {}):
+                return number
 
     def _write_batch(self, rows: DataFrame, batch: int) -> DataFrame:
         (rows.select(*ROW_COLUMNS).withColumn("batch", F.lit(batch))
@@ -141,32 +135,50 @@ class Ledger:
                                          F.max("conversion_time").alias("max_time")))
         return written
 
+    def _new_batch(self, rows: DataFrame, state: bool | None) -> tuple[int, list[dict]]:
+        """Rows written under a number of their own, and what the manifest will say of them."""
+        batch = self._claim()
+        meta = [{"batch": batch, "sftp": state, "n_rows": r["n_rows"], "max_time": r["max_time"] and r["max_time"].isoformat()}
+                for r in self._write_batch(rows, batch).collect()]
+        if not meta:
+            self._claims.folder.delete(f"{batch:012d}.json")
+        return batch, meta
+
     def create(self, initial: DataFrame | None = None) -> "Ledger":
-        """Start a ledger, optionally seeded with rows in any delivery state."""
-        states = self.spark.createDataFrame([], STATES)
-        if initial is not None:
-            for batch, state in enumerate([None, False, True]):
-                part = initial.where(F.col("sftp").isNull() if state is None else F.col("sftp") == state)
-                meta = self._write_batch(part, batch).select(
-                    F.col("batch").cast("int"), F.lit(state).cast("boolean").alias("sftp"), "n_rows", "max_time")
-                states = states.unionByName(meta)
-        self._write_states(states)
+        """Start a ledger, optionally seeded with rows in any delivery state; refuses where one exists."""
+        if self._states.numbers():
+            raise FileExistsError(f"{self.root} holds a ledger")
+        batches = []
+        for state in (None, False, True) if initial is not None else ():
+            part = initial.where(F.col("sftp").isNull() if state is None else F.col("sftp") == state)
+            batches += self._new_batch(part, state)[1]
+        if not self._states.publish(1, {"batches": batches}):
+            raise FileExistsError(f"{self.root} holds a ledger")
         return self
 
     def append(self, conversions: DataFrame) -> int:
         """Insert conversion rows as a new batch in state NULL; returns the batch id."""
-        prev = self.states()
-        registered = prev.agg(F.max("batch")).first()[0]
-        batch = max(self._fresh_batch(), 0 if registered is None else registered + 1)
-        meta = self._write_batch(to_ledger_rows(conversions), batch).select(
-            F.col("batch").cast("int"), F.lit(None).cast("boolean").alias("sftp"), "n_rows", "max_time")
-        self._write_states(prev.unionByName(meta))
+        batch, meta = self._new_batch(to_ledger_rows(conversions), None)
+        if meta:
+            self._states.change(lambda m: {"batches": (m or {"batches": []})["batches"] + meta})
         return batch
 
+    def _move(self, old: bool | None, new: bool) -> None:
+        def work(m):
+            batches = (m or {"batches": []})["batches"]
+            if not any(b["sftp"] is old for b in batches):
+                return None
+            return {"batches": [dict(b, sftp=new) if b["sftp"] is old else b for b in batches]}
+        self._states.change(work)
+
     def mark_in_flight(self) -> None:
         """D1 on the batch states."""
-        self._write_states(mark_in_flight(self.states()))
+        self._move(None, False)
 
     def mark_delivered(self) -> None:
         """D2 on the batch states."""
-        self._write_states(mark_delivered(self.states()))
+        self._move(False, True)
+
+
+def _time(text: str | None) -> dt.datetime | None:
+    return None if text is None else dt.datetime.fromisoformat(text)
