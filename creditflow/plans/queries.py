@@ -8,14 +8,20 @@ results compare exactly with the DuckDB oracle (``creditflow.plans.oracle``).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditflow.functions import rules as R
-from creditflow.functions.timeutil import local_order_time
+from creditflow.functions.timeutil import format_ts, local_order_time
 from creditflow.operators import linear, orders, touches
 from creditflow.plans.attribution import Attribution
-from creditflow.sources import export, ledger, standin
+from creditflow.plans.daily import run_delivery
+from creditflow.session import checkpoint_dir
+from creditflow.sources import export, standin
+from creditflow.sources.ledger import Ledger, undelivered
+
 
 def round6(c):
     """Half-up rounding to 6 decimals by plain IEEE arithmetic (after snapping to 8).
@@ -27,6 +33,11 @@ def round6(c):
     return F.floor(F.floor(c * F.lit(1e8) + F.lit(0.5)) / F.lit(100) + F.lit(0.5)) / F.lit(1e6)
 
 
+def round9(c):
+    """The same to 9 decimals, where small credits must not vanish."""
+    return F.floor(F.floor(c * F.lit(1e11) + F.lit(0.5)) / F.lit(100) + F.lit(0.5)) / F.lit(1e9)
+
+
 def _r(df: DataFrame, *cols: str) -> DataFrame:
     for c in cols:
         df = df.withColumn(c, round6(F.col(c)))
@@ -241,34 +252,76 @@ def q_conversions_new_buyers(spark, sf_dir):
     return _r(_run(spark, sf_dir, "new").conversions, "attributed_credit", "conversion_value")
 
 
-# -- S2-S5, D1-D2 -------------------------------------------------------------
+# -- S2-S5, D1-D3 -------------------------------------------------------------
+
+def _scratch(spark, name):
+    """A new path under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/creditflow/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
-def _appended(spark, sf_dir):
+
+def _appended(spark, sf_dir) -> Ledger:
+    """The persistent ledger, seeded and with the run's conversions inserted."""
     a = _run(spark, sf_dir)
-    return ledger.append_rows(a.t["ledger"], a.conversions)
+    ledger = Ledger(spark, _scratch(spark, "ledger")).create(a.t["ledger"])
+    ledger.append(a.conversions)
+    return ledger
+
+
+def _marked(spark, sf_dir) -> Ledger:
+    ledger = _appended(spark, sf_dir)
+    ledger.mark_in_flight()
+    return ledger
 
 
 def q_ledger_append(spark, sf_dir):
-    return _r(_appended(spark, sf_dir), "attributed_credit", "conversion_value")
+    return _r(_appended(spark, sf_dir).read(), "attributed_credit", "conversion_value")
 
 
 def q_mark_in_flight(spark, sf_dir):
-    return _r(ledger.mark_in_flight(_appended(spark, sf_dir)), "attributed_credit", "conversion_value")
+    return _r(_marked(spark, sf_dir).read(), "attributed_credit", "conversion_value")
 
 
 def q_mark_delivered(spark, sf_dir):
-    return _r(ledger.mark_delivered(ledger.mark_in_flight(_appended(spark, sf_dir))),
-              "attributed_credit", "conversion_value")
+    ledger = _marked(spark, sf_dir)
+    ledger.mark_delivered()
+    return _r(ledger.read(), "attributed_credit", "conversion_value")
 
 
 def q_undelivered(spark, sf_dir):
-    return _r(ledger.undelivered(ledger.mark_in_flight(_appended(spark, sf_dir))),
-              "attributed_credit", "conversion_value")
+    return _r(undelivered(_marked(spark, sf_dir).read()), "attributed_credit", "conversion_value")
+
+
+def _parsed(lines: DataFrame) -> DataFrame:
+    """The fields of a delivery's lines, read back as CSV; numbers rounded to 9 places for comparison only."""
+    head = [",".join([p]) for p in export.PREAMBLE] + [",".join(export.HEADER)]
+    fields = F.from_csv("line", ", ".join(f"f{k} string" for k in range(1, 7)), {"escape": '"'}).alias("f")
+    part = F.when(F.col("line").isin(head), "head").otherwise("row").alias("part")
+    rows, row = lines.select(part, fields).select("part", "f.*"), F.col("part") == "row"
+    text = lambda c: F.when(~row, F.col(c)).alias(c)
+    number = lambda c: round9(F.when(row, F.col(c)).cast("double"))
+    return rows.select("part", "f1", "f2", "f3", text("f4"), text("f5"), "f6",
+                       number("f4").alias("attributed_credit"), number("f5").alias("conversion_value"))
 
 
 def q_delivery_file(spark, sf_dir):
-    rows = ledger.undelivered(ledger.mark_in_flight(_appended(spark, sf_dir)))
-    return export.delivery_lines(_r(rows, "attributed_credit", "conversion_value"))
+    """The delivery as written, read back from its part files."""
+    path = _scratch(spark, "delivery")
+    export.write_delivery(undelivered(_marked(spark, sf_dir).read()), path)
+    return _parsed(export.read_lines(spark, path))
+
+
+def q_daily_run(spark, sf_dir):
+    """D3: insert, mark, export, finish; the delivered rows and the ledger after the run."""
+    t, path, root = _t(spark, sf_dir), _scratch(spark, "delivery"), _scratch(spark, "ledger")
+    Ledger(spark, root).create(t["ledger"])
+    run_delivery(spark, t, root, path)
+    rows = _parsed(export.read_lines(spark, path)).where("part = 'row'")
+    numbers = ["attributed_credit", "conversion_value"]
+    file = rows.select(F.lit("file").alias("place"), F.col("f1").alias("gcl_id"), F.col("f2").alias("conversion_name"), F.col("f3").alias("conversion_time"),
+                       *numbers, F.col("f6").alias("conversion_currency"), F.lit(None).cast("boolean").alias("sftp"))
+    kept = Ledger(spark, root).read().select(F.lit("ledger").alias("place"), "gcl_id", "conversion_name", format_ts("conversion_time").alias("conversion_time"),
+                                             *[round9(F.col(c)).alias(c) for c in numbers], "conversion_currency", "sftp")
+    return file.unionByName(kept)
 
 
 QUERIES = {name: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
