@@ -104,7 +104,7 @@ def _bits(key: Column) -> list[Column]:
     h = F.xxhash64(key, F.lit(1))
     words = []
     for w in range(BLOCK_WORDS):
-        masks = [F.shiftleft(F.lit(1).cast("long"), F.shiftrightunsigned(h, 6 * (BITS_PER_WORD * w + i)).bitwiseAND(F.lit(63)).cast("int"))
+        masks = [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 6 * (BITS_PER_WORD * w + i)).bitwiseAND(F.lit(63)).cast("int"))
                  for i in range(BITS_PER_WORD)]
         words.append(reduce(lambda a, b: a.bitwiseOR(b), masks))
     return words

@@ -121,7 +121,7 @@ def _touch_side(pairs: DataFrame, stats: DataFrame) -> DataFrame:
 def linear_attribution(trades: DataFrame, touches: DataFrame, first_orders: DataFrame,
                        countries: DataFrame, window_days: int = WINDOW_DAYS,
                        new_buyers_only: bool = False, extra_keys: list[str] | None = None,
-                       pairs: DataFrame | None = None) -> DataFrame:
+                       pairs: DataFrame | None = None, stats: DataFrame | None = None) -> DataFrame:
     """The linear multi-touch fact, one row per ``FACT_KEYS`` (+ ``extra_keys``).
 
     ``new_buyers_only`` switches the first-order join from left to inner
@@ -137,7 +137,7 @@ def linear_attribution(trades: DataFrame, touches: DataFrame, first_orders: Data
     trades = with_order_key(trades)
     if pairs is None:
         pairs = touch_pairs(trades, touches, window_days)
-    stats = order_key_stats(trades, pairs)
+    stats = order_key_stats(trades, pairs) if stats is None else stats
     n = touch_count(trades, pairs, stats)
     fo = first_orders.select(F.col("order_id").alias("fo_id")).distinct()
     dim = countries.select(F.col("alpha2").alias("iso_alpha2"), "financial_regions")

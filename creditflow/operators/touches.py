@@ -25,18 +25,10 @@ ENHANCED_COLUMNS = ["d_source_c", "user_uuid", "gcl_id", "medium_c", "source_c",
                     "visit_id_c", "device_mapping_c"]
 
 
-def identity_map(sessions: DataFrame, client_ids: DataFrame | None = None) -> DataFrame:
-    """Distinct (client_id, user_uuid) from sessions with a known user.
-
-    ``client_ids`` (one column ``client_id``) optionally restricts the map to
-    the clients that will be looked up; the semi join runs before the
-    deduplication so the full session history is never shuffled whole.
-    """
-    m = (sessions.where(F.col("stitching_user_uuid").isNotNull())
-         .select("client_id", F.col("stitching_user_uuid").alias("user_uuid")))
-    if client_ids is not None:
-        m = semi_reduce(m, "client_id", client_ids, "client_id")
-    return m.distinct()
+def identity_map(sessions: DataFrame) -> DataFrame:
+    """Distinct (client_id, user_uuid) from sessions with a known user."""
+    return (sessions.where(F.col("stitching_user_uuid").isNotNull())
+            .select("client_id", F.col("stitching_user_uuid").alias("user_uuid")).distinct())
 
 
 def buyer_keys(buyers: DataFrame) -> KeySet:
@@ -44,17 +36,38 @@ def buyer_keys(buyers: DataFrame) -> KeySet:
     return key_set(buyers, "uuid")
 
 
+def resolved_installs(installs: DataFrame, people: DataFrame, buyers: KeySet) -> DataFrame:
+    """Installs of buyers with ``r_uuid``, and ``m``: the rows that each stands for.
+
+    An install with a user of its own stands for as many rows as its client has
+    known users, at least one: only their number is joined.  One without becomes
+    a row for each buyer known by its client id; those pairs are cut into cells
+    where one client has many installs or many users.
+    """
+    known = installs.where(F.col("uuid").isNotNull()).withColumn("r_uuid", F.col("uuid"))
+    known = semi_reduce(known, "uuid", buyers)
+    sizes = people.groupBy("client_id").agg(F.count(F.lit(1)).alias("m"))
+    known = known.join(sizes, F.col("customer_user_id") == F.col("client_id"), "left").withColumn("m", F.coalesce("m", F.lit(1)))
+    unknown = installs.where(F.col("uuid").isNull() & F.col("customer_user_id").isNotNull()).withColumn("client_id", F.col("customer_user_id"))
+    pairs = grid_join(unknown, semi_reduce(people, "user_uuid", buyers), ["client_id"])
+    found = pairs.select(*["left." + c for c in installs.columns], F.col("right.user_uuid").alias("r_uuid"), F.lit(1).cast("long").alias("m"))
+    return known.select(*installs.columns, "r_uuid", "m").unionByName(found)
+
+
 def install_touches(installs: DataFrame, sessions: DataFrame, buyers: KeySet,
-                    bounds: Bounds) -> DataFrame:
+                    bounds: Bounds, people: DataFrame | None = None) -> DataFrame:
     """App installs of the run's buyers inside the lookback, classified and deduplicated.
 
-    ``buyers`` is a ``buyer_keys`` key set.
+    ``people`` is the maintained client -> user map (``creditflow.sources.identity``);
+    without it the map of the installing clients is taken from all ``sessions``.
     """
     a = installs.where(after_mark(F.col("attributed_touch_time"), bounds.mark, bounds.lookback_days))
-    m = identity_map(sessions, a.select(F.col("customer_user_id").alias("client_id")))
-    a = (a.join(m, a.customer_user_id == m.client_id, "left")
-         .withColumn("r_uuid", F.coalesce(F.col("uuid"), F.col("user_uuid"))))
-    a = semi_reduce(a, "r_uuid", buyers)
+    clients = key_set(a, "customer_user_id")
+    if people is None:
+        people = identity_map(semi_reduce(sessions, "client_id", clients))  # reduced in the scan, before any shuffle
+    else:
+        people = semi_reduce(people, "client_id", clients)
+    a = resolved_installs(a, people, buyers)
     env = R.cols("campaign", "device_type", source="media_source", medium="af_channel")
     out = a.select(
         F.lit(R.INSTALL_SOURCE_LABEL).alias("d_source"),
@@ -69,8 +82,9 @@ def install_touches(installs: DataFrame, sessions: DataFrame, buyers: KeySet,
         "country_code",
         touch_time("attributed_touch_time").alias("date"),
         F.lit("").alias("visit_id"),
+        "m",
     )
-    return out.groupBy(*INSTALL_COLUMNS).agg(F.count(F.lit(1)).alias("n_rows"))
+    return out.groupBy(*INSTALL_COLUMNS).agg(F.sum("m").alias("n_rows"))
 
 
 def session_touches(sessions: DataFrame, countries: DataFrame, buyers: KeySet,

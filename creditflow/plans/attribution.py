@@ -30,8 +30,10 @@ class Attribution:
     """
 
     def __init__(self, t: dict, bounds: Bounds | None = None, variant: str = "all",
-                 window_days: int = orders.WINDOW_DAYS, checkpoint: bool = False):
+                 window_days: int = orders.WINDOW_DAYS, checkpoint: bool = False, people: DataFrame | None = None):
+        """``people`` is a maintained identity map; without it the map comes from all sessions."""
         assert variant in ("all", "new")
+        self.people = people
         self.t, self.variant, self.window_days, self.checkpoint = t, variant, window_days, checkpoint
         self._bounds = bounds
 
@@ -90,7 +92,7 @@ class Attribution:
     @cached_property
     def install_touches(self) -> DataFrame:
         return touches.install_touches(self.t["appsflyer_data_locker"], self.t["sessions"],
-                                       self.buyer_keys, self.bounds)
+                                       self.buyer_keys, self.bounds, self.people)
 
     @cached_property
     def session_touches(self) -> DataFrame:
@@ -105,9 +107,14 @@ class Attribution:
     def pairs(self) -> DataFrame:
         return self._cut(linear.touch_pairs(self.keyed, self.touches, self.window_days))
 
+    @cached_property
+    def order_stats(self) -> DataFrame:
+        """One row per order key; cut, as the share count and the touch-less orders both come from it."""
+        return self._cut(linear.order_key_stats(self.keyed, self.pairs))
+
     @cached_property
     def touch_count(self) -> DataFrame:
-        return linear.touch_count(self.keyed, self.pairs)
+        return linear.touch_count(self.keyed, self.pairs, self.order_stats)
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -115,7 +122,7 @@ class Attribution:
         return linear.linear_attribution(
             self.keyed, self.touches, self.first_orders, self.countries,
             self.window_days, new_buyers_only=new,
-            extra_keys=["buyer_purchase_price"] if new else None, pairs=self.pairs)
+            extra_keys=["buyer_purchase_price"] if new else None, pairs=self.pairs, stats=self.order_stats)
 
     @cached_property
     def conversions(self) -> DataFrame:

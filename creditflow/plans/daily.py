@@ -20,6 +20,7 @@ from creditflow.operators.orders import WINDOW_DAYS, Bounds, resolve_bounds
 from creditflow.operators.touches import validate_countries
 from creditflow.plans.attribution import Attribution
 from creditflow.sources import export
+from creditflow.sources.identity import IdentityMap
 from creditflow.sources.ledger import Ledger, undelivered
 
 
@@ -32,7 +33,7 @@ class RunReport:
 
 def run_delivery(spark: SparkSession, tables: dict, ledger_root: str, out_path: str,
                  variant: str = "all", window_days: int = WINDOW_DAYS, export_fn=None,
-                 bootstrap_mark=None) -> RunReport:
+                 bootstrap_mark=None, identity_root: str | None = None) -> RunReport:
     """Run one day of the job against the logical ``tables`` and the ledger at ``ledger_root``.
 
     ``export_fn(undelivered_df, out_path) -> int`` defaults to
@@ -40,6 +41,7 @@ def run_delivery(spark: SparkSession, tables: dict, ledger_root: str, out_path:
     the run before the finish step.  ``bootstrap_mark`` is used only while
     the ledger is empty (a cold start would otherwise select nothing).
     The country dimension is validated first (unique name and alpha2).
+    ``identity_root`` names a maintained identity map, brought up to date first.
     """
     validate_countries(tables["iso_2_mapping"])
     ledger = Ledger(spark, ledger_root)
@@ -50,8 +52,13 @@ def run_delivery(spark: SparkSession, tables: dict, ledger_root: str, out_path:
         bounds = Bounds(None, None, window_days)
     else:
         bounds = resolve_bounds(ledger.read(), tables["sessions"], window_days, mark=mark)
+    people = None
+    if identity_root is not None:
+        identities = IdentityMap(spark, identity_root)
+        identities.update(tables["sessions"])
+        people = identities.read()
     run = Attribution(dict(tables, ledger=ledger.read()), bounds=bounds, variant=variant,
-                      window_days=window_days, checkpoint=True)
+                      window_days=window_days, checkpoint=True, people=people)
     batch = ledger.append(run.conversions)          # insert
     ledger.mark_in_flight()                         # mark
     rows = (export_fn or export.write_delivery)(undelivered(ledger.read()), out_path)  # export

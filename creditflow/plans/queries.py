@@ -20,6 +20,7 @@ from creditflow.plans.attribution import Attribution
 from creditflow.plans.daily import run_delivery
 from creditflow.session import checkpoint_dir
 from creditflow.sources import export, standin
+from creditflow.sources.identity import IdentityMap
 from creditflow.sources.ledger import Ledger, undelivered
 
 
@@ -107,8 +108,18 @@ def q_buyer_purchase_price(spark, sf_dir):
 
 # -- C5-C8 -------------------------------------------------------------------
 
+def _identities(spark, sessions) -> IdentityMap:
+    """The maintained map after two updates: the sessions up to the middle of their time, then all."""
+    low, high = sessions.agg(F.min("visit_start_time"), F.max("visit_start_time")).first()
+    people = IdentityMap(spark, _scratch(spark, "identity"))
+    if low is not None:
+        people.update(sessions.where(F.col("visit_start_time") <= orders.ts_lit(low + (high - low) / 2)))
+    people.update(sessions)
+    return people
+
+
 def q_identity_map(spark, sf_dir):
-    return touches.identity_map(_t(spark, sf_dir)["sessions"])
+    return _identities(spark, _t(spark, sf_dir)["sessions"]).read()
 
 
 def q_install_channel(spark, sf_dir):
@@ -151,7 +162,8 @@ def q_country_normalise(spark, sf_dir):
 
 
 def q_install_touches(spark, sf_dir):
-    return _run(spark, sf_dir).install_touches
+    t = _t(spark, sf_dir)
+    return Attribution(t, checkpoint=True, people=_identities(spark, t["sessions"]).read()).install_touches
 
 
 def q_session_touches(spark, sf_dir):
