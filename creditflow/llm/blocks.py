@@ -6,8 +6,12 @@ other in one byte array: ``data`` (uint8) and ``offs`` (row i's text is
 that the arrays made from them stay small; a longer text is a block by itself
 and is never cut.  Null texts are empty.
 
-Hashes are 64-bit polynomials modulo 2**64 with a final mix; two different
-strings share one with a chance of about 2**-64.
+Hashes of short spans are 64-bit polynomials modulo 2**64 with a final mix.
+Such a polynomial can be made to collide by long constructed spans (the
+Thue-Morse word of 2**k symbols and its complement agree in about k * (k + 3) / 2
+low bits before the mix, so surely from 1,024 symbols on); ``spans`` with the
+``values`` themselves takes a keyed BLAKE2b of spans of ``LONG`` elements and
+more, and ``strings`` one of every span.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 1 << 20
+LONG = 64
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_BASE, -1, 1 << 64)
@@ -60,10 +65,30 @@ def prefix(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def spans(pre: np.ndarray, lo: np.ndarray, hi: np.ndarray, seed: int = 0) -> np.ndarray:
-    """Hash of each span [lo, hi) of the sequence behind ``pre``; equal spans hash alike anywhere."""
+def spans(pre: np.ndarray, lo: np.ndarray, hi: np.ndarray, seed: int = 0, values: np.ndarray | None = None) -> np.ndarray:
+    """Hash of each span [lo, hi) of the sequence behind ``pre``; equal spans hash alike anywhere.
+
+    With ``values``, that sequence, spans from ``LONG`` on get a sound hash.
+    """
     h = (pre[hi] - pre[lo]) * _power(_INV, len(pre))[lo]
-    return mix(h ^ ((hi - lo).astype(_U) * _U(0xD6E8FEB86659FD93)) ^ _U(seed))
+    h = mix(h ^ ((hi - lo).astype(_U) * _U(0xD6E8FEB86659FD93)) ^ _U(seed))
+    if values is not None:
+        long = np.flatnonzero(hi - lo >= LONG)
+        if len(long):
+            h[long] = strings(values, lo[long], hi[long], seed)["h"]
+    return h
+
+
+#: What ``strings`` gives: 64 bits and 32 more.
+STRING = np.dtype([("h", "<u8"), ("f", "<i4")])
+
+
+def strings(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, seed: int = 0) -> np.ndarray:
+    """96 bits of the BLAKE2b of each span [lo, hi) of ``values``."""
+    size, view = values.itemsize, memoryview(np.ascontiguousarray(values).tobytes())
+    key = seed.to_bytes(8, "little")
+    out = b"".join([hashlib.blake2b(view[a:b], digest_size=12, key=key).digest() for a, b in zip((lo * size).tolist(), (hi * size).tolist(), strict=True)])
+    return np.frombuffer(out, STRING)
 
 
 def rolling(pre: np.ndarray, k: int) -> np.ndarray:

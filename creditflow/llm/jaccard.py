@@ -54,7 +54,7 @@ def _sets(data: np.ndarray, offs: np.ndarray, k: int) -> Iterator[tuple[np.ndarr
     """Each row's distinct shingle hashes, sorted, and their lengths in bytes."""
     low = B.LOWER[data]
     starts, ends, first = B.words(data, offs)
-    wh = B.spans(B.prefix(low), starts, ends)
+    wh = B.spans(B.prefix(low), starts, ends, values=low)
     pre = B.prefix(wh)
     long, sizes = B.rolling(pre, k), ends - starts
     total = np.concatenate([[0], np.cumsum(sizes)])

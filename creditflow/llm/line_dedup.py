@@ -7,14 +7,14 @@
    fingerprint and a count array.
 3. Each document's keys go to their shard and probe those arrays; a shard is
    loaded once and its probes stream past it.  Keys in over 1/1024 of all
-   document-line pairs (so at most 1024 keys) have their shard copied to
-   ``SALTS`` places and their probes dealt over them.
+   document-line pairs (so at most 1024 keys) have their shard copied to as many
+   places as they hold such shares, and their probes dealt over them.
 4. Keys found in enough documents go back to their documents, which drop them.
 
 Defined results: a null or empty text is one empty line.  Empty keys are never
 dropped.  Every row of the input counts as one document, also rows that repeat
-a doc_id; rows sharing a doc_id get the same treatment, as a dropped key goes
-everywhere.  A null doc_id is an id like any other.  Other columns are ignored.
+a doc_id; a row's dropped keys come back to it by doc_id and text, so rows that
+share an id (or have none) cost no more than others.  A null doc_id is an id like any other.  Other columns are ignored.
 An empty table gives an empty result.
 """
 
@@ -29,10 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditflow.llm import blocks as B
-from creditflow.llm.cuts import Cuts, pieces, shuffle_partitions
+from creditflow.llm.cuts import Cuts, pieces, shuffle_partitions, text_key
 
 SHARD_KEYS = 32_768
-SALTS = 16
 HOT_SHARE = 1024
 _COUNT_MAX = 65_535
 
@@ -118,25 +117,22 @@ def _lines(data: np.ndarray, offs: np.ndarray):
     blank = lo == hi
     a = np.where(blank, starts, begin[np.minimum(lo, len(begin) - 1)] if len(begin) else starts)
     b = np.where(blank, starts, stop[np.maximum(hi, 1) - 1] if len(stop) else starts)
-    low = B.LOWER[data]
-    pre = B.prefix(low)
-    h = B.spans(pre, a, b)
-    pre2 = B.prefix(low.astype(np.uint32) * np.uint32(0x85EBCA6B) >> np.uint32(7))
-    f = (B.spans(pre2, a, b, seed=0x51ED270B) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-    return starts, ends, row, n_lines, B.signed(h), f, blank
+    key = B.strings(B.LOWER[data], a, b)
+    return starts, ends, row, n_lines, np.ascontiguousarray(key["h"]).view(np.int64), np.ascontiguousarray(key["f"]), blank
 
 
 def _emit_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = batch.column(0)
-        for lo, _, data, offs in B.blocks(batch.column(1)):
+        for lo, _, data, offs in B.blocks(batch.column("text")):
             _, _, row, _, h, f, blank = _lines(data, offs)
             keep = np.flatnonzero(~blank)
             order = keep[np.lexsort((f[keep], h[keep], row[keep]))]
             r, hh, ff = row[order], h[order], f[order]
             new = np.ones(len(order), bool)
             new[1:] = (r[1:] != r[:-1]) | (hh[1:] != hh[:-1]) | (ff[1:] != ff[:-1])
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(r[new] + lo)), pa.array(hh[new]), pa.array(ff[new])], ["doc_id", "h", "f"])
+            of = pa.array(r[new] + lo)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(of), batch.column("text_key").take(of), pa.array(hh[new]), pa.array(ff[new])],
+                                             ["doc_id", "text_key", "h", "f"])
 
 
 def _probe(threshold: int):
@@ -163,8 +159,7 @@ def _probe(threshold: int):
                 if rest:
                     hit |= np.fromiter((rest.get(k, 0) >= threshold for k in zip(h.tolist(), f.tolist(), strict=True)), bool, len(h))
                 at = pa.array(np.flatnonzero(hit))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(at), part.column("h").take(at), part.column("f").take(at)],
-                                                 ["doc_id", "h", "f"])
+                yield pa.RecordBatch.from_arrays([part.column(c).take(at) for c in ("doc_id", "text_key", "h", "f")], ["doc_id", "text_key", "h", "f"])
     return run
 
 
@@ -210,27 +205,28 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, with_text: bool = False) ->
         raise ValueError("min_docs must be between 1 and 65535")
     spark, cuts = docs.sparkSession, Cuts()
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
-    docs = docs.select("doc_id", "text", *([F.struct(*others).alias("rest")] if with_text else []))
+    docs = docs.select("doc_id", "text", text_key().alias("text_key"), *([F.struct(*others).alias("rest")] if with_text else []))
     dtype = docs.schema["doc_id"].dataType.simpleString()
-    pairs = cuts.write(docs.mapInArrow(_emit_keys, f"doc_id {dtype}, h long, f int"))
+    pairs = cuts.write(docs.select("doc_id", "text_key", "text").mapInArrow(_emit_keys, f"doc_id {dtype}, text_key long, h long, f int"))
     counts = cuts.write(pairs.groupBy("h", "f").agg(F.count("*").alias("n")))
     n_keys, n_pairs = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    shards = pieces(n_keys, SHARD_KEYS)
-    hot = [r.h for r in counts.where((F.col("n") > max(n_pairs // HOT_SHARE, SHARD_KEYS // SALTS))).select("h").distinct().collect()]
+    shards, each = pieces(n_keys, SHARD_KEYS), max(n_pairs // HOT_SHARE, SHARD_KEYS)
+    hot = counts.where(F.col("n") > each).groupBy("h").agg(F.ceil(F.sum("n") / each).cast("int").alias("salts")).collect()  # HOT_SHARE at most
 
     shard = F.pmod(F.xxhash64("h"), F.lit(shards)).alias("shard")
     index = cuts.write(counts.select(shard, "h", "f", "n").groupBy("shard").applyInPandas(_build_shard, _INDEX))
-    hot_shards = spark.createDataFrame([(h,) for h in hot], "h long").select(shard).distinct()
-    copies = hot_shards.select("shard", F.explode(F.sequence(F.lit(1), F.lit(SALTS - 1))).alias("salt"))
-    placed = index.withColumn("salt", F.lit(0)).unionByName(index.join(copies, "shard").select("*"))
-    salt = F.when(F.col("h").isin(hot), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0)) if hot else F.lit(0)
-    probes = pairs.select(shard, salt.alias("salt"), F.lit(1).alias("is_probe"), "doc_id", "h", "f")
+    hot = spark.createDataFrame([(r.h, r.salts) for r in hot], "h long, salts int")
+    copies = hot.groupBy(shard).agg(F.max("salts").alias("salts")).select("shard", F.explode(F.sequence(F.lit(1), F.col("salts") - 1)).alias("salt")) \
+        .where("salt > 0")
+    placed = index.withColumn("salt", F.lit(0)).unionByName(index.join(F.broadcast(copies), "shard").select("*"))
+    salt = F.pmod(F.xxhash64("doc_id", "text_key"), F.coalesce("salts", F.lit(1))).cast("int")
+    probes = pairs.join(F.broadcast(hot), "h", "left").select(shard, salt.alias("salt"), F.lit(1).alias("is_probe"), "doc_id", "text_key", "h", "f")
     both = placed.withColumn("is_probe", F.lit(0)).unionByName(probes, allowMissingColumns=True)
     both = both.repartition(max(shards, shuffle_partitions(docs)), "shard", "salt").sortWithinPartitions("shard", "salt", "is_probe")
-    bad = both.mapInArrow(_probe(min_docs), f"doc_id {dtype}, h long, f int")
-    bad = bad.groupBy("doc_id").agg(F.collect_list("h").alias("bad_h"), F.collect_list("f").alias("bad_f"))
-    bad = bad.withColumnRenamed("doc_id", "bad_id")
-    joined = docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left").drop("bad_id")
+    bad = both.mapInArrow(_probe(min_docs), f"doc_id {dtype}, text_key long, h long, f int")
+    bad = bad.groupBy(F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key")).agg(F.collect_set(F.struct("h", "f")).alias("bad"))
+    bad = bad.select("bad_id", "bad_key", F.col("bad.h").alias("bad_h"), F.col("bad.f").alias("bad_f"))
+    joined = docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.col("text_key") == F.col("bad_key")), "left").drop("bad_id", "bad_key")
     out = f"doc_id {dtype}, n_lines long, n_dropped long, kept_sha256 string"
     if with_text:
         out += f", kept_text string, rest {docs.schema['rest'].dataType.simpleString()}"

@@ -45,7 +45,7 @@ _CHECK = np.uint64(0xA24BAED4963EE407)
 
 def _word_hashes(data: np.ndarray, offs: np.ndarray):
     starts, ends, first = B.words(data, offs)
-    return starts, ends, first, B.spans(B.prefix(data), starts, ends)
+    return starts, ends, first, B.spans(B.prefix(data), starts, ends, values=data)
 
 
 def _fragments(k: int):
@@ -64,7 +64,7 @@ def _fragments(k: int):
                 at = np.flatnonzero(begin)
                 end = np.concatenate([at[1:], [len(least)]])
                 end = np.minimum(end, first[row[at] + 1] - k + 1)
-                frag = B.spans(pre, at, end + k - 1)
+                frag = B.spans(pre, at, end + k - 1, values=wh)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c).take(pa.array(row[at] + lo)) for c in ("doc_id", "text_key")]
                     + [pa.array(B.signed(least[at])), pa.array(B.signed(frag)), pa.array((at - first[row[at]]).astype(np.int32)),
@@ -80,7 +80,8 @@ def _read_sources(k: int):
             start, n, path = (B.lists(batch.column(c))[0] for c in ("starts", "ns", "is_path"))
             for lo, hi, data, offs in B.blocks(batch.column("text")):
                 _, _, first, wh = _word_hashes(data, offs)
-                pre, pre2 = B.prefix(wh), B.prefix(B.mix(wh ^ _CHECK))
+                pre, wh2 = B.prefix(wh), B.mix(wh ^ _CHECK)
+                pre2 = B.prefix(wh2)
                 a, b = frag_first[lo], frag_first[hi]
                 row = np.repeat(np.arange(hi - lo), np.diff(frag_first[lo:hi + 1]))
                 left, count = first[row] + start[a:b], n[a:b].astype(np.int64)
@@ -92,7 +93,7 @@ def _read_sources(k: int):
                 end = np.where(whole[which], begin + count[which] + k - 1, begin + k)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(frag[a:b][which]), pa.array(shift.astype(np.int32)), pa.array(whole[which].astype(np.int32)),
-                     pa.array(B.signed(B.spans(pre, begin, end))), pa.array(B.signed(B.spans(pre2, begin, end)))],
+                     pa.array(B.signed(B.spans(pre, begin, end, values=wh))), pa.array(B.signed(B.spans(pre2, begin, end, values=wh2)))],
                     ["frag", "i", "is_path", "h", "h2"])
     return run
 
@@ -121,10 +122,11 @@ def _remove(k: int, with_text: bool):
                     row = np.repeat(np.arange(hi - lo), np.diff(span_first[lo:hi + 1]))
                     begin = first[row] + start[a:b]
                     end = begin + n[a:b] + k - 1
-                    pre2 = B.prefix(B.mix(wh ^ _CHECK))
+                    wh2 = B.mix(wh ^ _CHECK)
+                    pre2 = B.prefix(wh2)
                     inside = end <= first[row + 1]
                     same = np.zeros(b - a, bool)
-                    same[inside] = B.signed(B.spans(pre2, begin[inside], end[inside])) == check[a:b][inside]
+                    same[inside] = B.signed(B.spans(pre2, begin[inside], end[inside], values=wh2)) == check[a:b][inside]
                     gone = B.cover(len(starts), begin[same], end[same])
                 out, at = remove_words(data, offs, starts, ends, first, gone)
                 removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[first])

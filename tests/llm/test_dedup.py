@@ -146,3 +146,25 @@ def test_components(spark):
             root[max(x, y)] = min(x, y)
     out = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert out == {x: find(x) for x in list(root)}
+
+
+def thue_morse(a: str, b: str, bits: int) -> tuple[list, list]:
+    one = [a if i.bit_count() % 2 == 0 else b for i in range(1 << bits)]
+    return one, [a if x == b else b for x in one]
+
+
+def test_constructed_strings_do_not_collide(spark):
+    """The Thue-Morse word and its complement agree under any polynomial modulo 2**64 with an odd base."""
+    one, other = ("".join(x) for x in thue_morse("a", "b", 11))
+    rows = [(i, one) for i in range(10)] + [(10, other), (11, one + " " + other), (12, other + "\nx")]
+    assert got(line_dedup(frame(spark, rows)), *LINES) == sorted(brute.line_dedup(rows), key=repr)
+    words = [" ".join(x) for x in thue_morse("up", "down", 11)]
+    rows = [(1, words[0]), (2, words[1]), (3, f"{one} x " * 30), (4, f"{other} x " * 30)]
+    assert got(substring_dedup(frame(spark, rows)), *WORDS) == sorted(brute.substring_dedup(rows), key=repr)
+    assert got(jaccard.jaccard_components(frame(spark, rows), shingle=3, percent=90), "doc_id", "n_shingles", "component_id") == sorted(brute.jaccard(rows), key=repr)
+
+
+def test_line_dedup_many_rows_without_an_id(spark):
+    rows = [(None, f"common\nown line {i}\ncommon {i // 20}") for i in range(20_000)]
+    out = line_dedup(frame(spark, rows).repartition(4))
+    assert out.groupBy("n_lines", "n_dropped").count().collect() == [(3, 2, 20_000)]
