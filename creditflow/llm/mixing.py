@@ -153,6 +153,7 @@ def _fit(taught: DataFrame, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     held = taught.mapInArrow(_features(told), f"label_id {dtype}, text_key long, domain int, features array<int>")
     one = held.groupBy("label_id").agg(F.min_by(F.struct("domain", "features"), "text_key").alias("held"))  # FIT_ROWS at most
     table = one.select("label_id", "held.domain", "held.features").toArrow().sort_by("label_id").combine_chunks()
+    told.destroy()
     feature, first = (np.zeros(0, np.int64), np.zeros(1, np.int64)) if not len(table) else B.lists(table["features"].combine_chunks())
     bias, fitted = fit_regression(table["domain"].to_numpy().astype(int), first, feature, len(chosen))
     weights[:, chosen] = fitted
@@ -168,12 +169,15 @@ def domain_posteriors(docs: DataFrame, labels: DataFrame) -> DataFrame:
     domain = F.when(F.col("toxic") == 1, 2).when(F.col("quality") == 1, 0).otherwise(1).alias("domain")
     drawn = known.orderBy(F.xxhash64("label_id"), "label_id").limit(FIT_ROWS)  # bounds what is broadcast
     taught = docs.join(F.broadcast(drawn), F.col("doc_id") == F.col("label_id")).select("label_id", "text_key", domain, "text")
-    rows = taught.select("domain", "text").mapInArrow(_count, "domain int, bucket int, n long").groupBy("domain", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    rows = taught.select("domain", "text").mapInArrow(_count, "domain int, bucket int, n long").groupBy("domain", "bucket").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros((len(DOMAINS), BUCKETS + 1), np.int64)  # the bound of what comes to the driver
-    counts[rows["domain"].to_numpy(int), rows["bucket"].to_numpy(int)] = rows["n"].to_numpy()
+    counts[rows["domain"].to_numpy(), rows["bucket"].to_numpy()] = rows["n"].to_numpy()
+    del rows
     model = spark.sparkContext.broadcast(_fit(taught, counts))
     dtype = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(_posteriors(model), f"doc_id {dtype}, text_key long, n_tokens long, " + ", ".join(f"p_{d} double" for d in DOMAINS))
+    out = Cuts().write(docs.mapInArrow(_posteriors(model), f"doc_id {dtype}, text_key long, n_tokens long, " + ", ".join(f"p_{d} double" for d in DOMAINS)))
+    model.destroy()
+    return out
 
 
 def fit_rates(members: DataFrame, targets: dict[str, float]) -> DataFrame:
@@ -202,5 +206,4 @@ def fit_rates(members: DataFrame, targets: dict[str, float]) -> DataFrame:
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
     """doc_id, text_key, n_tokens, p_good, p_low, p_toxic and the rate of every row of ``docs``."""
-    cuts = Cuts()
-    return fit_rates(cuts.write(domain_posteriors(docs, labels)), targets or TARGETS)
+    return fit_rates(domain_posteriors(docs, labels), targets or TARGETS)
