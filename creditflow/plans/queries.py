@@ -9,17 +9,19 @@ results compare exactly with the DuckDB oracle (``creditflow.plans.oracle``).
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from creditflow import schemas
 from creditflow.functions import rules as R
 from creditflow.functions.timeutil import format_ts, local_order_time
 from creditflow.operators import linear, orders, touches
 from creditflow.plans.attribution import Attribution
 from creditflow.plans.daily import run_delivery
 from creditflow.session import checkpoint_dir
-from creditflow.sources import export, standin
+from creditflow.sources import export, standin, tables
 from creditflow.sources.identity import IdentityMap
 from creditflow.sources.ledger import Ledger, undelivered
 
@@ -264,6 +266,25 @@ def q_conversions_new_buyers(spark, sf_dir):
     return _r(_run(spark, sf_dir, "new").conversions, "attributed_credit", "conversion_value")
 
 
+# -- S1 ------------------------------------------------------------------------
+
+def q_source_contract(spark, sf_dir):
+    """What each logical column of the sources holds, and what its cast loses."""
+    t = _t(spark, sf_dir)
+    parts = [tables.contract_report(t[name], name) for name in schemas.LOGICAL_TABLES]
+    return reduce(DataFrame.unionByName, parts).select("table_name", "column_name", "is_missing", "n_rows", "n_values", "n_lost", "n_changed")
+
+
+def q_pruned_sources(spark, sf_dir):
+    """Session touches from tables laid out by day and read by the mark."""
+    t, root = _t(spark, sf_dir), _scratch(spark, "sources")
+    for name in tables.BY_DAY:
+        tables.write_by_day(t[name], name, f"{root}/{name}")
+    bounds = orders.resolve_bounds(t["ledger"], t["sessions"])
+    read = tables.read_tables(spark, {name: f"{root}/{name}" for name in tables.BY_DAY}, bounds.mark)
+    return Attribution(dict(t, **read), bounds=bounds, checkpoint=True).session_touches
+
+
 # -- S2-S5, D1-D3 -------------------------------------------------------------
 
 def _scratch(spark, name):
