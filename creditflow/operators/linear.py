@@ -23,6 +23,8 @@ order keeping one row of NULL touch columns):
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -159,7 +161,7 @@ def linear_attribution(trades: DataFrame, touches: DataFrame, first_orders: Data
                               "country_id", "fo_id"] + extra
     orders_n = (trades.join(fo, F.col("id") == F.col("fo_id"), "inner" if new_buyers_only else "left")
                 .groupBy(*order_keys)
-                .agg(F.count(F.lit(1)).alias("r_rows"), F.sum(F.col("fees").cast("double")).alias("fees_sum"))
+                .agg(F.count(F.lit(1)).alias("r_rows"), F.sum("fees").cast("double").alias("fees_sum"))
                 .join(n, "id"))
     country = F.coalesce("country_code_c", "country_id")
     rows = orders_n.join(side, "okey").withColumns({
@@ -237,8 +239,8 @@ def conversions_new_buyers(fact: DataFrame) -> DataFrame:
     ``fact`` is the new-buyer variant of ``linear_attribution`` (inner join
     to first orders, ``buyer_purchase_price`` as extra key).
     """
-    value = F.greatest(F.lit(float(R.NEW_BUYER_VALUE_FLOOR)),
-                       F.lit(R.NEW_BUYER_VALUE_RATE) * F.col("buyer_purchase_price"))
+    rate = F.lit(Decimal(str(R.NEW_BUYER_VALUE_RATE)))
+    value = F.greatest(F.lit(R.NEW_BUYER_VALUE_FLOOR), rate * F.col("buyer_purchase_price")).cast("double")
     return (fact.where((F.col("type") == R.NEW_BUYER) & F.col("gcl_id").isNotNull())
             .select("gcl_id",
                     F.lit(R.NEW_BUYER_CONVERSION).alias("conversion_name"),

@@ -113,11 +113,11 @@ def adjustment_pivot(adjustments: DataFrame) -> DataFrame:
 
 
 def buyer_purchase_price(pivot_prefix: str = "", bid_amount: str = "bid_amount") -> Column:
-    """(original shipping else shipping else 0) + (revised else original buyer fee else 0) + bid."""
+    """(original shipping else shipping else 0) + (revised else original buyer fee else 0) + bid, in decimals."""
     p = pivot_prefix
-    return (F.coalesce(F.col(p + "shipping_original_amount"), F.col(p + "shipping_amount"), F.lit(0.0))
-            + F.coalesce(F.col(p + "buyfee_rev_amount"), F.col(p + "buyfee_orig_amount"), F.lit(0.0))
-            + F.coalesce(F.col(bid_amount), F.lit(0.0)))
+    return (F.coalesce(F.col(p + "shipping_original_amount"), F.col(p + "shipping_amount"), F.lit(0))
+            + F.coalesce(F.col(p + "buyfee_rev_amount"), F.col(p + "buyfee_orig_amount"), F.lit(0))
+            + F.coalesce(F.col(bid_amount), F.lit(0)))
 
 
 def eligible_orders(t: dict, bounds: Bounds, with_purchase_price: bool = False, cut=None) -> DataFrame:

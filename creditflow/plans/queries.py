@@ -47,6 +47,11 @@ def _r(df: DataFrame, *cols: str) -> DataFrame:
     return df
 
 
+def _doubles(df: DataFrame) -> DataFrame:
+    """Decimals as the nearest doubles, for a comparison that knows no decimals."""
+    return df.select(*[F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name) for f in df.schema.fields])
+
+
 def _t(spark: SparkSession, sf_dir: str) -> dict:
     return standin.load(spark, sf_dir)
 
@@ -70,7 +75,7 @@ def q_incremental_orders(spark, sf_dir):
 
 
 def q_eligible_orders(spark, sf_dir):
-    return _run(spark, sf_dir).trades
+    return _doubles(_run(spark, sf_dir).trades)
 
 
 def q_buyers(spark, sf_dir):
@@ -95,7 +100,7 @@ def q_logic_flag(spark, sf_dir):
 
 
 def q_adjustment_pivot(spark, sf_dir):
-    return orders.adjustment_pivot(_t(spark, sf_dir)["order_adjustments"])
+    return _doubles(orders.adjustment_pivot(_t(spark, sf_dir)["order_adjustments"]))
 
 
 def q_buyer_purchase_price(spark, sf_dir):
@@ -104,8 +109,7 @@ def q_buyer_purchase_price(spark, sf_dir):
     piv = piv.select(*[F.col(c).alias("g_" + c) for c in piv.columns])
     o = t["orders"]
     j = o.join(piv, (F.col("g_chain_id") == F.col("ask_chain_id")) & (F.col("g_order_id") == F.col("id")), "left")
-    return _r(j.select("id", orders.buyer_purchase_price("g_").alias("buyer_purchase_price")),
-              "buyer_purchase_price")
+    return _doubles(j.select("id", orders.buyer_purchase_price("g_").alias("buyer_purchase_price")))
 
 
 # -- C5-C8 -------------------------------------------------------------------
@@ -187,7 +191,7 @@ def q_touch_rank(spark, sf_dir):
     """Every joined (order row, touch) numbered within its order by touch time."""
     a = _run(spark, sf_dir)
     joined = linear.joined_order_touches(a.trades, a.touches, a.window_days)
-    return linear.touch_rank(a._cut(joined))
+    return _doubles(linear.touch_rank(a._cut(joined)))
 
 
 def q_touch_count(spark, sf_dir):
@@ -246,7 +250,7 @@ def q_buyer_type(spark, sf_dir):
 
 
 def q_linear_attribution(spark, sf_dir):
-    return _r(_run(spark, sf_dir).fact, *linear.MEASURES)
+    return _doubles(_r(_run(spark, sf_dir).fact, *linear.MEASURES))
 
 
 def q_channel_credit(spark, sf_dir):

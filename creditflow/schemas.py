@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+#: Money from the sources: exact to a millionth, under 10**12.  Shares of money (credits) are doubles.
+M = T.DecimalType(18, 6)
 S, L, I, D, B, TS = (T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType(),
                      T.BooleanType(), T.TimestampNTZType())
 
@@ -16,15 +18,15 @@ def _struct(*fields):
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
-ORDERS = _struct(("id", L), ("subtotal", D), ("created_at", TS), ("bid_user_id", L),
-                 ("bid_chain_id", S), ("ask_chain_id", S), ("status", S), ("bid_amount", D))
+ORDERS = _struct(("id", L), ("subtotal", M), ("created_at", TS), ("bid_user_id", L),
+                 ("bid_chain_id", S), ("ask_chain_id", S), ("status", S), ("bid_amount", M))
 ORDER_ADDRESSES = _struct(("order_id", L), ("address_type", S), ("country_id", S))
 USERS = _struct(("id", L), ("uuid", S))
 BIDS = _struct(("chain_id", S), ("state", I), ("created_at", TS))
 ORDER_ITEMS = _struct(("order_id", L), ("sku_uuid_bin", S))
 PRODUCTS = _struct(("sku_uuid", S), ("product_category", I), ("product_uuid", S),
                    ("release_date", TS))
-ADJUSTMENTS = _struct(("order_id", L), ("chain_id", S), ("type", S), ("code", S), ("amount", D))
+ADJUSTMENTS = _struct(("order_id", L), ("chain_id", S), ("type", S), ("code", S), ("amount", M))
 SESSIONS = _struct(("client_id", S), ("stitching_user_uuid", S), ("datasource", S), ("medium", S),
                    ("source", S), ("campaign", S), ("ad_content", S), ("keyword", S),
                    ("browser", S), ("operating_system", S), ("device_category", S),

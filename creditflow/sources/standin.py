@@ -215,7 +215,7 @@ def _spec(d: str) -> dict:
 
 def _typed(name: str, cols, d: str) -> list[str]:
     types = {f.name: f.dataType.simpleString() for f in schemas.LOGICAL_TABLES[name].fields}
-    return [f"CAST({e} AS {_TYPES[d][types[c]]}) AS {c}" for c, e in cols]
+    return [f"CAST({e} AS {_TYPES[d].get(types[c], types[c])}) AS {c}" for c, e in cols]
 
 
 # ---------------------------------------------------------------------------

@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import types as T_
+
 from creditflow import schemas
+from creditflow.sources import tables
 
 
 def T(s: str) -> dt.datetime:
@@ -106,7 +109,13 @@ ROWS = {
 
 
 def frames(spark) -> dict:
-    return {n: spark.createDataFrame(rows, schemas.LOGICAL_TABLES[n]) for n, rows in ROWS.items()}
+    return {n: tables.conform(spark.createDataFrame(rows, _written(n)), n) for n, rows in ROWS.items()}
+
+
+def _written(name: str) -> T_.StructType:
+    """The logical schema with doubles for decimals, as the rows above are written."""
+    return T_.StructType([T_.StructField(f.name, T_.DoubleType() if isinstance(f.dataType, T_.DecimalType) else f.dataType)
+                          for f in schemas.LOGICAL_TABLES[name].fields])
 
 
 def duckdb_prefix(con) -> str:
@@ -119,6 +128,6 @@ def duckdb_prefix(con) -> str:
         types = {f.name: f.dataType.simpleString() for f in schemas.LOGICAL_TABLES[n].fields}
         dmap = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
-        sel = ", ".join(f"CAST({c} AS {dmap[types[c]]}) AS {c}" for c in cols)
+        sel = ", ".join(f"CAST({c} AS {dmap.get(types[c], types[c])}) AS {c}" for c in cols)
         con.execute(f"CREATE OR REPLACE TABLE x_{n} AS SELECT {sel} FROM p_{n}")
     return "WITH fixture_marker AS (SELECT 1 AS one)"
