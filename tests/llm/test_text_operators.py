@@ -39,6 +39,33 @@ def test_base_rules_and_perplexity(spark):
         assert abs(r.nats - want) < 1e-4
 
 
+def test_bands_reject_on_both_sides(spark):
+    """``kept`` recomputed from the scores; random letters go, clean documents stay."""
+    rng = np.random.default_rng(7)
+    docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang").collect()]
+    noise = [(100_000 + i, " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(30 + 10 * i)), "en") for i in range(50)]
+    rows = quality.quality_rules(spark.createDataFrame(docs + noise, "doc_id long, text string, lang string")).collect()
+    bands = {}
+    for lang in {r.lang for r in rows}:
+        bins = np.sort([math.floor(r.nats / quality.BIN) for r in rows if r.lang == lang and not r.base_failed])
+        bands[lang] = [(bins[max(0, math.ceil(q * len(bins)) - 1)] + edge) * quality.BIN for q, edge in ((0.25, 0), (0.75, 1))]
+    for r in rows:
+        q1, q3 = bands[r.lang]
+        wide = (q3 - q1) * math.sqrt(1 + 100 / max(r.n_words, 1))
+        inside = q1 - quality.LOW_IQRS * wide <= r.nats <= q3 + quality.HIGH_IQRS * wide
+        assert r.kept == (not r.base_failed and inside), (r.doc_id, r.nats, r.lang)
+    assert sum(r.kept for r in rows if r.doc_id >= 100_000) <= 5
+    passing = [r for r in rows if r.doc_id < 100_000 and not r.base_failed]
+    assert sum(r.kept for r in passing) >= 0.97 * len(passing)
+
+
+def test_null_and_empty_languages_are_two(spark):
+    text = "one text of some words that is scored under two languages or more"
+    rows = [(1, text, None), (2, "qq zz xx " * 20, ""), (3, text, "xx"), (4, "qq zz xx " * 20, "\0")] + [(i, f"short row {i}", f"l{i}") for i in range(10, 200)]
+    out = {r.doc_id: r.nats for r in quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert out[1] == out[3] and out[2] == out[4] and len(out) == len(rows)
+
+
 def test_model_is_a_distribution():
     rng = np.random.default_rng(4)
     raw = np.unique(rng.integers(0, 1 << 24, 3000) & 0x0C3_0C3)
