@@ -8,8 +8,9 @@ posterior over one half: unreachable targets cost no clean document.
 
 Documents without text, with a null doc_id or given twice pass as the operators'
 docstrings say; near-duplicate classes leave the row with the smallest doc_id,
-null after all others, and of equal ids that with the smallest text hash.
-An empty table passes as an empty table.
+null after all others, and of equal ids that with the smallest text hash.  A
+column of the documents named ``rate`` gives way to the last stage's.  An empty
+table passes as an empty table.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from creditflow.llm.mixing import mix
 from creditflow.llm.quality import quality_rules
 
 MIN_RATE = 0.25
-_ID, _KEY = "__own_doc_id", "__own_text_key"
+_ID, _KEY, _RATE = "__own_doc_id", "__own_text_key", "__own_rate"
 
 
 def _matching(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
@@ -68,7 +69,8 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rates = mix(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).where((F.col("rate") >= MIN_RATE) | (F.col("p_good") > 0.5))
-    return _matching(docs, rates.select("doc_id", "text_key", "rate"), "inner").select(*(docs[c] for c in docs.columns), "rate")
+    rates = rates.select("doc_id", "text_key", F.col("rate").alias(_RATE))
+    return _matching(docs, rates, "inner").select(*(docs[c] for c in docs.columns if c != "rate"), F.col(_RATE).alias("rate"))
 
 
 STAGES = [
