@@ -251,15 +251,20 @@ def _in_cells(df: DataFrame, hot: DataFrame, keys: list[str], own: str, other: s
     return out.select(*df.columns, salt.alias(own), copies.alias(other))
 
 
+_COUNT = object()
+
+
 def grid_join(left: DataFrame, right: DataFrame, keys: list[str], condition=None, pairs: int | None = None,
-              max_hot_keys: int | None = None) -> DataFrame:
+              max_hot_keys: int | None = None, hot: DataFrame | None = _COUNT) -> DataFrame:
     """Inner join (aliases ``left`` and ``right``) on equal ``keys`` plus an optional residual ``condition``.
 
     Without hot keys a plain equi-join.  Every pair of rows meets in exactly one
     cell, so the result is the unsalted join's.  ``condition`` is a function of
-    the two aliased frames.
+    the two aliased frames.  ``hot`` takes the cells from an earlier
+    ``hot_cells`` of the same keys, None for none.
     """
-    hot = hot_cells(left, right, keys, pairs, max_hot_keys)
+    if hot is _COUNT:
+        hot = hot_cells(left, right, keys, pairs, max_hot_keys)
     join_keys = list(keys)
     if hot is not None:
         left = _in_cells(left, hot, keys, "_l", "_r")

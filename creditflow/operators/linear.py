@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from creditflow.functions import rules as R
 from creditflow.functions.timeutil import shift
-from creditflow.operators.joins import grid_join
+from creditflow.operators.joins import grid_join, hot_cells
 from creditflow.operators.orders import WINDOW_DAYS
 
 ORDER_KEY = ["id", "uuid", "bid_date_time"]
@@ -84,16 +84,19 @@ def touch_pairs(trades: DataFrame, touches: DataFrame, window_days: int = WINDOW
     orders = _windows(with_order_key(trades), ["okey"], window_days)
     dated = touches.withColumn("date", F.to_date("date_c"))
     attrs = [c for c in PAIR_ATTRS if c != "date"]
+    # One count serves both joins: no day has more touches or orders in either.
+    days = orders.select("user_uuid", F.explode(F.sequence("first_day", "last_day")).alias("date"))
+    hot = hot_cells(dated.select("user_uuid", "date"), days, ["user_uuid", "date"])
 
     edges = orders.select("okey", "user_uuid", "lo", "bid_date_time", F.explode(F.array_distinct(F.array("first_day", "last_day"))).alias("date"))
-    edge = grid_join(dated.select("user_uuid", "date", "date_c", *attrs), edges, ["user_uuid", "date"], _in_window)
+    edge = grid_join(dated.select("user_uuid", "date", "date_c", *attrs), edges, ["user_uuid", "date"], _in_window, hot=hot)
     edge = edge.groupBy("right.okey", *["left." + c for c in PAIR_ATTRS]).agg(F.count(F.lit(1)).alias("m"))
 
     # Days between them: a group lies on one day, so nothing is left to add up.
     first, last = F.date_add("first_day", 1), F.date_sub("last_day", 1)
     inner = orders.where(first <= last).select("okey", "user_uuid", F.explode(F.sequence(first, last)).alias("date"))
     daily = dated.groupBy("user_uuid", *PAIR_ATTRS).agg(F.count(F.lit(1)).alias("m"))
-    whole = grid_join(daily, inner, ["user_uuid", "date"]).select("right.okey", *["left." + c for c in PAIR_ATTRS], "left.m")
+    whole = grid_join(daily, inner, ["user_uuid", "date"], hot=hot).select("right.okey", *["left." + c for c in PAIR_ATTRS], "left.m")
     return edge.unionByName(whole)
 
 

@@ -42,6 +42,10 @@ SESSION_TRAFFIC = [  # (source, medium)
     ("googleads", "video"), ("editorial_site", "editorial"), ("instagram", "social"),
     ("sendgrid", "email"), ("lyst", "cpc"), ("x_int", "display"), ("xyint", "display"),
     ("curalate", "ugc"), ("manage", "cpm"), ("(direct)", "(none)"),
+    ("af/rak", "link"), ("haitao", "blog"), ("mifanli", "link"), ("ebates", "link"), ("slickdeals", "forum"),
+    ("suplexed", "blog"), ("srvtrck", "link"), ("modesens", "link"), ("fkdeals", "link"), ("thedropdate", "blog"),
+    ("duomai", "link"), ("rstyle", "link"), ("shopstyle", "link"), ("solsense", "link"), ("hypeanalyzer", "link"),
+    ("twitter", "social"), ("Facebook Ads", "social"), ("partner", "googleads"), ("snapchat_int", "organic"),
 ]
 SESSION_CAMPAIGNS = ["stockx_launch", "brand", None, "Spring Sale", "stockx_retarget", "generic"]
 SESSION_AD_CONTENT = ["ad_a", None, "ad_b", "carousel"]

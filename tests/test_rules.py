@@ -156,3 +156,41 @@ def test_rules_render_sql_matches_spark(spark):
     senv = {"source": "s", "medium": "m", "path": "lower(s || '/' || m)", "campaign": "c"}
     sql_out = [r[0] for r in con.execute(f"SELECT {R.session_channel().sql(senv)} FROM t").fetchall()]
     assert spark_out == sql_out
+
+
+AFFILIATES = ["af/imp", "af/rak", "haitao", "mifanli", "rakuten", "ebates", "slickdeals", "suplexed", "lyst", "srvtrck", "modesens",
+              "fkdeals", "thedropdate", "duomai", "rstyle", "shopstyle", "solsense", "hypeanalyzer"]
+COUNTRIES = [("Czechia", "Czech Republic"), ("DE", "Germany"), ("Myanmar (Burma)", "Myanmar"), ("Russia", "Russian Federation"),
+             ("UK", "United Kingdom"), ("GB", "United Kingdom"), ("US", "United States"), ("Atlantis", "Atlantis"), (None, None)]
+
+
+def test_every_affiliate_needle_and_country_name(spark):
+    """One hand case each, in source and in medium, in capitals too."""
+    rows = [(f"Www.{a.upper()}.com", "link") for a in AFFILIATES] + [("partner", f"x-{a}") for a in AFFILIATES]
+    df = spark.createDataFrame(rows, "source string, medium string").withColumn("path", R.session_path(F.col("source"), F.col("medium")))
+    got = df.select(R.session_channel().spark(R.cols("source", "medium", "path")).alias("c")).collect()
+    assert [r.c for r in got] == ["Affiliate"] * len(rows)
+    df = spark.createDataFrame(COUNTRIES, "country string, want string").select("want", R.country_name().spark(R.cols("country")).alias("got"))
+    assert all(r.got == r.want for r in df.collect())
+
+
+def test_a_wrong_needle_or_order_turns_the_oracle_red(spark, monkeypatch):
+    """The oracle has rules of its own: a misspelt needle and two swapped rules both show."""
+    from creditflow.plans import oracle, queries
+    from tests.compare import compare, duck
+    sf = "/root/testdata/sf0.001"
+    con = duck(sf)
+
+    def green():
+        return compare(spark, con, "q_session_channel", queries.q_session_channel, oracle.queries()["q_session_channel"], sf)[0]
+
+    assert green()
+    with monkeypatch.context() as m:
+        m.setattr(R, "AFFILIATE_NEEDLES", [n.replace("duomai", "duomia") for n in R.AFFILIATE_NEEDLES])
+        assert not green()
+    with monkeypatch.context() as m:
+        swapped = R.session_channel().rules
+        swapped[0], swapped[2] = swapped[2], swapped[0]
+        real = R.RuleSet
+        m.setattr(R, "session_channel", lambda: real([(c, o) for c, o in swapped], "Other"))
+        assert not green()
