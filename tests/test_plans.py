@@ -90,6 +90,7 @@ def test_pipeline_with_forced_salting_is_unchanged(spark, monkeypatch):
 
     plain = fact_rows()
     monkeypatch.setattr(joins, "HOT_KEY_ROWS", 1)
+    monkeypatch.setattr(joins, "PAIRS_PER_CELL", 3)   # what the pipeline's own joins go by
     hot, _ = joins.hot_keys(t["sessions"].withColumn("day", F.to_date("visit_start_time")),
                             ["stitching_user_uuid", "day"])
     assert hot is not None                     # the tiny threshold really salts
