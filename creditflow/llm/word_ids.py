@@ -17,24 +17,31 @@ SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _PIECES = re.compile("[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\\sa-z0-9ß-öø-ÿ]+", re.ASCII)  # letters first: most pieces are words
 _LATIN = bytes([*range(128), *(c for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7))])
 _KEPT = "creditflow_llm_worker_cache"
-_MOST = 300_000
+_MOST = 600_000
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letter that byte-level models write for each byte: itself where printable, else the next one from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in plain)
+    return {b: 256 + k for k, b in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
 
 
 class _Pieces(dict):
     """Ids, as little-endian bytes, of each piece seen by this worker; emptied when full."""
 
-    def __init__(self, tokenizer):
+    def __init__(self, model):
         super().__init__()
-        self.model, self.encode = tokenizer.model, tokenizer.encode
+        self.model = model
 
     def __missing__(self, piece: str) -> bytes:
-        if piece.isascii() and piece.isprintable():
-            ids = [t.id for t in self.model.tokenize(piece)]
-        else:
-            ids = self.encode(piece, add_special_tokens=False).ids
+        letters = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(_LETTERS)
         if len(self) >= _MOST:
             self.clear()
-        found = self[piece] = array.array("I", ids).tobytes()
+        found = self[piece] = array.array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
         return found
 
 
@@ -51,7 +58,7 @@ class WordIds:
                      and steps[0].get("behavior") == "Removed" and steps[0].get("invert") is True and len(steps) == 2
                      and steps[1].get("type") == "ByteLevel" and not steps[1].get("use_regex") and not steps[1].get("add_prefix_space")
                      and not parts.get("post_processor") and not parts.get("truncation") and not parts["model"].get("dropout"))
-        self.pieces, self.words = _Pieces(self.tokenizer), _Pieces(self.tokenizer)
+        self.pieces, self.words = _Pieces(self.tokenizer.model), {}
 
     def _whole(self, text: str) -> bytes:
         return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
