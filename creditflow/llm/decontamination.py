@@ -4,7 +4,10 @@
    stand) are replaced by typed placeholders; the rest is lowered.  Words keep
    their places, so a template's words line up with the text's.
 2. Templates are cut into windows of ``WINDOW`` words (a shorter template is
-   one window) and hash-joined: documents' windows with the benchmark's.
+   one window) and hash-joined: documents' windows with the benchmark's.  A
+   window without a literal word (one with a letter and no placeholder) would
+   equal every other of its kind, so it stands for its own values, lowered:
+   numbers or names alone match where they are the same ones.
 3. Hits are gathered for each document, item and offset between them, and
    offsets in regions, so that inserted and deleted words split nothing: two
    offsets at most a third of the item's windows (``WINDOW`` at least) apart
@@ -22,6 +25,9 @@ windows.  Repeated items and repeated rows match each on their own.  Of several
 candidates of one pair the one with most hits counts, the smallest ``at_word``
 of equals; a region's is its offset with most hits.
 Extra columns are ignored; an empty table on either side gives no rows.
+
+Units are those of ``UNITS`` and names are words that start with a capital:
+other units are literal words, and names in scripts without capitals too.
 """
 
 from __future__ import annotations
@@ -54,8 +60,12 @@ def _words(text: Column) -> Column:
     return let(bare, lambda b: F.when(b == "", F.array().cast("array<string>")).otherwise(F.split(b, SPACE)))
 
 
-def _windows(words: Column) -> Column:
-    """Hash of every WINDOW words, joined pair by pair; of the whole when there are fewer, none of nothing."""
+def _literal(word: Column) -> Column:
+    return ~word.contains("\u0001") & word.rlike("\\p{L}")
+
+
+def _windows(marks: Column, words: Column) -> Column:
+    """Hash of every WINDOW marks, of the words where no mark is literal; of the whole when there are fewer, none of nothing."""
     tail = lambda a, k: F.slice(a, k + 1, F.greatest(F.size(a) - k, F.lit(0)))
     head = lambda a, k: F.slice(a, 1, F.greatest(F.size(a) - k, F.lit(0)))
     pair = lambda a, b, k: F.zip_with(head(a, k), tail(b, k), lambda x, y: F.xxhash64(x, y))
@@ -64,8 +74,12 @@ def _windows(words: Column) -> Column:
         return let(pair(ones, ones, 1), lambda twos: let(pair(twos, twos, 2), lambda fours: F.zip_with(
             head(fours, 1), tail(ones, WINDOW - 1), lambda x, y: F.xxhash64(x, y))))
 
-    whole = lambda w: F.array(F.xxhash64(F.lit("short"), F.array_join(w, " ")))
-    return let(words, lambda w: F.when(F.size(w) >= WINDOW, let(F.transform(w, lambda x: F.xxhash64(x)), fives))
+    def by_value(hashes: Column, literal: Column) -> Column:
+        own = lambda i: F.xxhash64(F.lit("values"), F.lower(F.array_join(F.slice(words, i + 1, WINDOW), " ")))
+        return F.transform(hashes, lambda h, i: F.when(F.exists(F.slice(literal, i + 1, WINDOW), lambda x: x), h).otherwise(own(i)))
+
+    whole = lambda w: F.array(F.xxhash64(F.lit("short"), F.when(F.exists(w, _literal), F.array_join(w, " ")).otherwise(F.lower(F.array_join(words, " ")))))
+    return let(marks, lambda w: F.when(F.size(w) >= WINDOW, let(F.transform(w, _literal), lambda ok: by_value(let(F.transform(w, lambda x: F.xxhash64(x)), fives), ok)))
                .when(F.size(w) > 0, whole(w)).otherwise(F.array().cast("array<bigint>")))
 
 
@@ -98,13 +112,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT)
     """
     cuts = Cuts()
     items = benchmark.select("item_id", "text").withColumn("item_key", F.xxhash64("item_id", "text"))
-    items = items.withColumn("marks", _words(template(F.col("text")))).withColumn("windows", _windows(F.col("marks")))
-    items = cuts.write(items.select("item_id", "item_key", _words(F.col("text")).alias("words"), "marks", "windows", F.size("windows").alias("n_windows")).distinct())
+    items = items.withColumn("marks", _words(template(F.col("text")))).withColumn("words", _words(F.col("text")))
+    items = items.withColumn("windows", _windows(F.col("marks"), F.col("words")))
+    items = cuts.write(items.select("item_id", "item_key", "words", "marks", "windows", F.size("windows").alias("n_windows")).distinct())
     cells = cuts.write(items.select("item_key", "n_windows", F.posexplode("windows").alias("item_at", "h")).distinct())
 
     docs = docs.select("doc_id", text_key().alias("text_key"), "text")
-    marked = docs.select("doc_id", "text_key", _words(template(F.col("text"))).alias("marks"))
-    spots = marked.select("doc_id", "text_key", F.posexplode(_windows(F.col("marks"))).alias("doc_at", "h"))
+    marked = docs.select("doc_id", "text_key", _words(template(F.col("text"))).alias("marks"), _words(F.col("text")).alias("words"))
+    spots = marked.select("doc_id", "text_key", F.posexplode(_windows(F.col("marks"), F.col("words"))).alias("doc_at", "h"))
     pair = ("doc_id", "text_key", "item_key", "n_windows")
     hits = spots.join(cells, "h").groupBy(*pair, (F.col("doc_at") - F.col("item_at")).alias("at")).agg(F.collect_set("item_at").alias("hit"))
     enough = lambda n: F.lit(100) * n >= F.lit(percent) * F.col("n_windows")

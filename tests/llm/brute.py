@@ -7,6 +7,10 @@ import hashlib
 import re
 import zlib
 
+import regex
+
+from creditflow.llm.decontamination import UNITS
+
 WORD = r"[^\x20\x09-\x0D]+"
 STRIP = " \t\n\x0b\x0c\r"
 LOW = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
@@ -156,3 +160,55 @@ def merkle(rows, fan=16):
             for left, right in path + above:
                 folded = sha(left + folded + right)
             yield doc_id, source, key[2], subroot, root, sha("".join(a + b for a, b in path + above)), folded, folded == root
+
+
+def template_marks(text):
+    units = "|".join(sorted(UNITS, key=len, reverse=True))
+    text = regex.sub(r"[0-9]+(?:[.,:/][0-9]+)*", "\x01n", text or "")
+    text = regex.sub(rf"(\x01n[ \t]?)(?i:{units})(?![\p{{L}}/])", "\\1\x01u", text)
+    return re.findall(WORD, regex.sub(r"(?<![\p{L}\p{N}'’-])\p{Lu}[\p{L}'’-]*", "\x01p", text).lower())
+
+
+def decontaminate(docs, items, width=5, percent=80):
+    """(doc_id, item_id) -> n_windows, n_hits, at_word, same_values."""
+    def windows(text):
+        marks, words = template_marks(text), [w.lower() for w in re.findall(WORD, text or "")]
+        keys = [(tuple(marks[i:i + width]), tuple(words[i:i + width])) for i in range(max(1, len(marks) - width + 1))] if marks else []
+        return marks, words, [m if any(regex.search(r"^[^\x01]*\p{L}[^\x01]*$", x) for x in m) else ("values", w) for m, w in keys]
+
+    out = {}
+    cut = [(i, *windows(t)) for i, t in items]
+    for doc, text in docs:
+        _, own, keys = windows(text)
+        where = collections.defaultdict(list)
+        for at, k in enumerate(keys):
+            where[k].append(at)
+        for item, marks, words, wanted in cut:
+            n, hits = len(wanted), collections.defaultdict(set)
+            for i, k in enumerate(wanted):
+                for at in where[k]:
+                    hits[at - i].add(i)
+            reach, regions = max(width, n // 3), collections.defaultdict(list)
+            for at, hit in hits.items():
+                for s in (at // reach, at // reach - 1):
+                    regions[s].append((-len(hit), at, sorted(hit)))
+            kept = [r for r in regions.values() if len(r) > 1] + [[(-len(h), at, sorted(h))] for at, h in hits.items()]
+            best = None
+            for parts in kept:
+                spots = {}
+                for _, at, hit in sorted(parts):
+                    for i in hit:
+                        spots.setdefault(i, at)
+                if 100 * len(spots) < percent * n:
+                    continue
+                slots = [[(marks[j], words[j], own[j + at]) for j in range(i, min(i + width, len(words))) if "\x01" in marks[j]] for i, at in spots.items()]
+                same = sum(all(a == b for _, a, b in w) for w in slots)
+                pairs = {x for w in slots for x in w}
+                clear = len({(m, a) for m, a, _ in pairs}) == len(pairs) == len({(m, b) for m, _, b in pairs})
+                count = len(slots) if clear else same
+                if 100 * count >= percent * n:
+                    rank = (count, -min(parts)[1], same == count)
+                    best = max(best, rank) if best else rank
+            if best:
+                out[doc, item] = (n, best[0], -best[1], best[2])
+    return out

@@ -123,6 +123,37 @@ def test_decontaminate_finds_planted_items(spark):
     assert planted and {(r.doc_id, r.item_id) for r in Q.op4_benchmark_decontamination(spark, SF).collect()} == planted
 
 
+def test_decontaminate_asks_for_literal_words(spark):
+    items = [(0, "1 2 3 4 5 6 7 8"), (1, "Berlin Paris London Madrid Rome Vienna"), (2, "5 + 3 = 8 and so on"), (3, "7 km")]
+    texts = ["10 20 30 40 50 60 70 80", "Alpha Beta Gamma Delta Epsilon Zeta", "so 1 2 3 4 5 6 7 8 9", "in BERLIN Paris London Madrid Rome Vienna", "9 + 4 = 13", "9 + 4 = 13 and so on", "7 km", "8 km"]
+    docs = spark.createDataFrame([(i, x, "en", 0) for i, x in enumerate(texts)], DOCS)
+    out = {(r.doc_id, r.item_id, r.same_values) for r in decontaminate(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    # 5: the one window of the item's four that is all slots has other values, three of four are under 80 %
+    assert out == {(2, 0, True), (3, 1, True), (6, 3, True)}
+
+
+def test_decontaminate_against_brute_force(spark):
+    rng = np.random.default_rng(11)
+    words = ["the", "of", "pears", "red", "Anna", "Tom", "Rome", "3", "14", "km", "+", "runs", "to", "7,5"]
+    pick = lambda n: " ".join(words[k] for k in rng.integers(0, len(words), n))
+    items = [(i, pick(int(n))) for i, n in enumerate(rng.integers(1, 30, 25))]
+    docs = []
+    other = {"Anna": "Otto", "Tom": "Ida", "Rome": "Oslo", "3": "9", "14": "21", "7,5": "8,1"}
+    for i in range(500):
+        own = items[i % 25][1].split()
+        if i % 3 == 0:
+            own = [other.get(w, w) for w in own]
+        for _ in range(i % 4):
+            own[int(rng.integers(len(own)))] = words[int(rng.integers(len(words)))]
+        docs.append((i, f"{pick(i % 7)} {' '.join(own)} {pick(i % 5)}"))
+    docs += [(1000, None), (1001, " \n"), (1002, pick(20_000))]
+    docs += [(2000 + r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").limit(40).collect()]
+    out = decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = brute.decontaminate(docs, items)
+    assert {(r.doc_id, r.item_id): (r.n_windows, r.n_hits, r.at_word, r.same_values) for r in out} == want
+    assert len(want) > 100 and len({v[3] for v in want.values()}) == 2
+
+
 def _luhn(s):
     d = [int(c) for c in s if c.isdigit()][::-1]
     return sum(x if i % 2 == 0 else x * 2 - 9 * (x > 4) for i, x in enumerate(d)) % 10 == 0
