@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import re
 import zlib
 
@@ -212,3 +213,41 @@ def decontaminate(docs, items, width=5, percent=80):
             if best:
                 out[doc, item] = (n, best[0], -best[1], best[2])
     return out
+
+
+def quotations(rows, width=4, percent=80):
+    """(conv_id, turn) -> reply_to, position, n_passages, n_linked, text; turns are distinct."""
+    level = lambda x: re.match(r"^[ ]*(?:>[ ]?)*", x)[0].count(">")
+    words = lambda xs: re.findall(WORD, " ".join(re.sub(r"^[ ]*(?:>[ ]?)+", "", x) for x in xs).lower())
+    grams = lambda w, k: [tuple(w[i:i + k]) for i in range(len(w) - k + 1)]
+    out = {}
+    for conv in {r[0] for r in rows}:
+        cut = {turn: [(k, list(g)) for k, g in itertools.groupby(text.split("\n"), key=level)] for turn, text in sorted(r[1:3] for r in rows if r[0] == conv)}
+        own = {}
+        for turn, runs in cut.items():
+            mine = words([x for k, run in runs if not k for x in run])
+            own[turn] = {g for k in range(1, width + 1) for g in grams(mine, k)}
+        replies, seen = [], []
+        for turn, runs in cut.items():
+            best = {}
+            for at, (k, run) in enumerate(runs):
+                w = words(run)
+                asked = grams(w, width) if len(w) >= width else [tuple(w)] if w else []
+                last = [(max((t for t in seen if g in own[t]), default=None), i, g) for i, g in enumerate(asked)]
+                last = [x for x in last if x[0] is not None]
+                if not k or not last:
+                    continue
+                votes = collections.Counter(t for t, _, _ in last)
+                candidates = {max((n, t) for t, n in votes.items())[1], min((sum(g in own[m] for m in own), i, t) for t, i, g in last)[2]}
+                n, owner = max((sum(g in own[t] for g in asked), t) for t in candidates)
+                if 100 * n >= percent * len(asked):
+                    best[k, at] = owner
+            reply = best[min(best)] if best else seen[-1] if seen else None
+            gone = {at for _, at in best}
+            left = "\n".join(x for i, (_, run) in enumerate(runs) if i not in gone for x in run)
+            out[conv, turn] = [reply, None, sum(k > 0 for k, _ in runs), len(best), left]
+            replies.append((-1 if reply is None else reply, turn))
+            seen.append(turn)
+        for at, (_, turn) in enumerate(sorted(replies)):
+            out[conv, turn][1] = at
+    return {k: tuple(v) for k, v in out.items()}

@@ -247,7 +247,7 @@ CHAT = "conv_id long, turn long, role string, text string, at int"
 
 def test_quotations(spark):
     rows = [(1, 0, "u", "Hello there\nHow are you?"), (1, 1, "a", "fine"), (1, 2, "u", "> how  ARE you?\n\nI am ok"), (1, 3, "a", ">> How are you?\n> I am ok\ngood"),
-            (1, 4, "u", None), (1, 5, "a", "> hello there\n> fine\n> how are you?\nhm"), (2, 0, "u", "> nothing"), (None, 1, "u", "> x"), (2, None, "u", "> y")]
+            (1, 4, "u", None), (1, 5, "a", "> hello there\n> how are\n> you?\nhm"), (2, 0, "u", "> nothing"), (None, 1, "u", "> x"), (2, None, "u", "> y")]
     out = {(r.conv_id, r.turn): r for r in link_quotations(spark.createDataFrame([(*r, 9) for r in rows], CHAT)).collect()}
     pick = lambda k: (out[k].reply_to, out[k].position, out[k].n_passages, out[k].n_linked, out[k].max_level, out[k].text)
     assert pick((1, 0)) == (None, 0, 0, 0, 0, "Hello there\nHow are you?")
@@ -255,11 +255,46 @@ def test_quotations(spark):
     assert pick((1, 3)) == (2, 4, 2, 2, 2, "good")
     assert pick((1, 4)) == (3, 5, 0, 0, 0, None)
     assert pick((1, 5)) == (0, 3, 1, 1, 1, "hm")
-    assert pick((2, 0)) == (None, 0, 1, 0, 1, "")
+    assert pick((2, 0)) == (None, 0, 1, 0, 1, "> nothing")  # a quote of nobody stays
     assert pick((None, 1))[:2] == (None, None) == pick((2, None))[:2]
     assert link_quotations(spark.createDataFrame([(*r, 9) for r in rows], CHAT).limit(0)).collect() == []
 
 
+def test_quotations_against_brute_force(spark):
+    """Re-wrapped, partial, edited and nested quotes, and words that many messages share."""
+    rng = np.random.default_rng(5)
+    vocab = [f"W{i}" for i in range(25)] + ["thanks,", "the"]
+    rows, planted = [], []
+    for conv in range(12):
+        said = []
+        for turn in range(40):
+            lines = [" ".join(vocab[k] for k in rng.integers(0, len(vocab), rng.integers(1, 14))) for _ in range(rng.integers(1, 4))]
+            own, at = list(lines), turn * 37 % (2500 if conv == 0 else 37 * 41)
+            for _ in range(int(rng.integers(0, 3)) if said else 0):
+                old, source = said[int(rng.integers(len(said)))]
+                words = " ".join(source).split()
+                cut = int(rng.integers(0, max(1, len(words) - 3)))
+                words = words[cut:cut + int(rng.integers(1, 16))]
+                if rng.random() < 0.2:
+                    words[int(rng.integers(len(words)))] = "edited"
+                elif len(words) >= 8:
+                    planted.append((conv, at, old))
+                mark, wide = "> " * int(rng.integers(1, 4)), int(rng.integers(2, 9))
+                lines[int(rng.integers(0, len(lines) + 1)):0] = [mark + " ".join(words[i:i + wide]).lower() for i in range(0, len(words), wide)]
+            said.append((at, own))
+            rows.append((conv, at, "\n".join(lines)))
+    # turns over several blocks, and one conversation where all say and quote the same
+    rows = [(c, t * 97 if c == 1 else t, x) for c, t, x in rows]
+    rows += [(99, t, "thanks\n> thanks" if t % 2 else "thanks") for t in range(3000)]
+    frame = spark.createDataFrame([(c, t, "u", x, 0) for c, t, x in rows], CHAT)
+    out = {(r.conv_id, r.turn): (r.reply_to, r.position, r.n_passages, r.n_linked, r.text) for r in link_quotations(frame).collect()}
+    small = [r for r in rows if r[0] != 99]
+    want = brute.quotations(small)
+    assert {k: v for k, v in out.items() if k[0] != 99} == want and len(planted) > 50
+    assert sum(v[3] for v in want.values()) >= 0.9 * len(planted)
+    assert all(out[99, t][0] == t - 1 and out[99, t][3:] == (t % 2, "thanks") for t in range(1, 3000))
+
+
 def test_unquoted_conversations_keep_their_order(spark):
     out = Q.op1_chat_formatting(spark, SF)
     assert out.count() == spark.read.parquet(f"{SF}/conversations.parquet").count()
