@@ -64,8 +64,8 @@ def _literal(word: Column) -> Column:
     return ~word.contains("\u0001") & word.rlike("\\p{L}")
 
 
-def _windows(marks: Column, words: Column) -> Column:
-    """Hash of every WINDOW marks, of the words where no mark is literal; of the whole when there are fewer, none of nothing."""
+def shingles(words: Column) -> Column:
+    """Hash of every WINDOW words; none of fewer."""
     tail = lambda a, k: F.slice(a, k + 1, F.greatest(F.size(a) - k, F.lit(0)))
     head = lambda a, k: F.slice(a, 1, F.greatest(F.size(a) - k, F.lit(0)))
     pair = lambda a, b, k: F.zip_with(head(a, k), tail(b, k), lambda x, y: F.xxhash64(x, y))
@@ -74,12 +74,17 @@ def _windows(marks: Column, words: Column) -> Column:
         return let(pair(ones, ones, 1), lambda twos: let(pair(twos, twos, 2), lambda fours: F.zip_with(
             head(fours, 1), tail(ones, WINDOW - 1), lambda x, y: F.xxhash64(x, y))))
 
+    return let(F.transform(words, lambda x: F.xxhash64(x)), fives)
+
+
+def _windows(marks: Column, words: Column) -> Column:
+    """Hash of every WINDOW marks, of the words where no mark is literal; of the whole when there are fewer, none of nothing."""
     def by_value(hashes: Column, literal: Column) -> Column:
         own = lambda i: F.xxhash64(F.lit("values"), F.lower(F.array_join(F.slice(words, i + 1, WINDOW), " ")))
         return F.transform(hashes, lambda h, i: F.when(F.exists(F.slice(literal, i + 1, WINDOW), lambda x: x), h).otherwise(own(i)))
 
     whole = lambda w: F.array(F.xxhash64(F.lit("short"), F.when(F.exists(w, _literal), F.array_join(w, " ")).otherwise(F.lower(F.array_join(words, " ")))))
-    return let(marks, lambda w: F.when(F.size(w) >= WINDOW, let(F.transform(w, _literal), lambda ok: by_value(let(F.transform(w, lambda x: F.xxhash64(x)), fives), ok)))
+    return let(marks, lambda w: F.when(F.size(w) >= WINDOW, let(F.transform(w, _literal), lambda ok: by_value(shingles(w), ok)))
                .when(F.size(w) > 0, whole(w)).otherwise(F.array().cast("array<bigint>")))
 
 

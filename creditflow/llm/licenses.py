@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditflow.llm.cuts import Cuts, let, text_key
-from creditflow.llm.decontamination import WINDOW, _windows, _words
+from creditflow.llm.decontamination import WINDOW, _words, shingles
 
 LONG = 16
 SPAN = 8
@@ -86,14 +86,14 @@ def scan_licenses(docs: DataFrame, templates: DataFrame, percent: int = PERCENT)
     """doc_id, text_key, license_id, n_shingles, n_shared of each licence found in a document."""
     cuts = Cuts()
     templates = templates.select("license_id", "text", _words(F.lower("text")).alias("words")).where(F.size("words") >= WINDOW)
-    templates = templates.withColumns({"template": F.xxhash64("license_id", "text"), "shingles": _windows(F.col("words")), "texts": _shingle_texts(F.col("words"))})
+    templates = templates.withColumns({"template": F.xxhash64("license_id", "text"), "shingles": shingles(F.col("words")), "texts": _shingle_texts(F.col("words"))})
     templates = cuts.write(templates)
     long = F.size("shingles") >= LONG
     keys = templates.select("template", F.explode(F.when(long, _bands(F.col("shingles"), 1)).otherwise(F.col("shingles"))).alias("band"))
     keys = cuts.write(keys.distinct())
 
     docs = docs.select("doc_id", text_key().alias("text_key"), "text")
-    shingled = docs.select("doc_id", "text_key", _windows(_words(F.lower("text"))).alias("shingles"))
+    shingled = docs.select("doc_id", "text_key", let(_words(F.lower("text")), shingles).alias("shingles"))
     bands = shingled.select("doc_id", "text_key", F.explode(F.concat(F.col("shingles"), _bands(F.col("shingles"), STRIDE))).alias("band"))
     near = cuts.write(bands.join(keys, "band").select(F.col("doc_id").alias("near_id"), F.col("text_key").alias("near_key"), "template").distinct())
 

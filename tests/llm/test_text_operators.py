@@ -211,6 +211,12 @@ def test_licenses(spark):
     assert licenses.scan_licenses(docs.limit(0), licenses.notices(spark)).collect() == []
 
 
+def test_licenses_without_a_literal_word(spark):
+    templates = spark.createDataFrame([("N", "1 2 3 4 5 6"), ("S", "one two three")], "license_id string, text string")
+    docs = spark.createDataFrame([(1, "x 1 2 3 4 5 6 y"), (2, "1 2 3 4 5 7"), (3, "one two three"), (4, "1 2"), (5, "1 2 3 4 5 6")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.license_id, r.n_shingles, r.n_shared) for r in licenses.scan_licenses(docs, templates).collect()) == [(1, "N", 2, 2), (5, "N", 2, 2)]
+
+
 def test_mixing_moves_towards_its_targets(spark):
     out = Q.op7_source_mixing(spark, SF).toPandas()
     goal = np.array([TARGETS[d] for d in DOMAINS]) * out["n_tokens"].sum()
