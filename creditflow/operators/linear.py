@@ -123,6 +123,12 @@ def _touch_side(pairs: DataFrame, stats: DataFrame) -> DataFrame:
     return pairs.unionByName(nulls)
 
 
+def one_key_each(trades: DataFrame) -> bool:
+    """Whether every order id has one order key (one small job); rows that share an id then share their key's partition."""
+    keys = trades.groupBy("id").agg(F.min("okey").alias("least"), F.max("okey").alias("most"))
+    return keys.where("least <> most").isEmpty()
+
+
 def linear_attribution(trades: DataFrame, touches: DataFrame, first_orders: DataFrame,
                        countries: DataFrame, window_days: int = WINDOW_DAYS,
                        new_buyers_only: bool = False, extra_keys: list[str] | None = None,
@@ -135,8 +141,9 @@ def linear_attribution(trades: DataFrame, touches: DataFrame, first_orders: Data
     carry a broadcast hint (it is used as given).  Order-level columns (first
     order, ``n``) are joined to the small, pre-aggregated order side on
     ``id``; the touch groups then join on ``okey``, straight from their shuffle,
-    so that AQE can split a hot order; the grouping combines map-side before its
-    one shuffle on all fact keys.
+    so that AQE can split a hot order; the grouping stays where that join left the
+    rows, with ``okey`` as a further key.  Only where some order id has several
+    order keys does it shuffle on all fact keys, map-side combined.
     """
     extra = list(extra_keys or [])
     trades = with_order_key(trades)
@@ -176,18 +183,28 @@ def linear_attribution(trades: DataFrame, touches: DataFrame, first_orders: Data
     rows = rows.join(dim, F.col("iso_alpha2") == F.col("country_key"), "left")
     rows = rows.withColumn("financial_region", R.financial_region().spark(
         {"alpha2": F.col("iso_alpha2"), "financial_regions": F.col("financial_regions")}))
-    # The grouping combines map-side and shuffles once on all its keys, which
-    # also spreads the groups of a hot order over reducers.
-    return (rows.groupBy(*FACT_KEYS, *extra)
+    # The fact rows are wide and many times the touches: with one order key an
+    # id, no group spans two of them and nothing is shuffled again.
+    dealt = ["okey"] if one_key_each(stats) else []
+    return (rows.groupBy(*dealt, *FACT_KEYS, *extra)
             .agg(F.sum(F.col("r_rows") * F.col("w")).alias("source_attr"),
                  F.sum(F.col("subtotal").cast("double") * F.col("r_rows") * F.col("w")).alias("gmv_source_attr"),
-                 F.sum(F.col("fees_sum") * F.col("w")).alias("fees_source_attr")))
+                 F.sum(F.col("fees_sum") * F.col("w")).alias("fees_source_attr"))
+            .drop("okey"))
 
 
 RANK_TOUCH_COLUMNS = ["d_source_c", "gcl_id", "medium_c", "source_c", "campaign_c", "adset_c", "keyword_c",
                       "source_clean_c", "country_code_c", "date_c", "visit_id_c", "device_mapping_c"]
 
 
+def _rank_side(trades: DataFrame, touches: DataFrame, window_days: int) -> DataFrame:
+    """Per order key: its touches in the window, or one row of NULLs."""
+    pairs = order_touches(trades, touches, window_days).withColumn("okey", order_key())
+    bare = trades.select("okey").distinct().join(pairs.select("okey").distinct(), "okey", "left_anti")
+    nulls = bare.select("okey", *[F.lit(None).cast(pairs.schema[c].dataType).alias(c) for c in RANK_TOUCH_COLUMNS])
+    return pairs.select("okey", *RANK_TOUCH_COLUMNS).unionByName(nulls)
+
+
 def joined_order_touches(trades: DataFrame, touches: DataFrame, window_days: int = WINDOW_DAYS) -> DataFrame:
     """The left join of every eligible-order row to its buyer's touches in the window.
 
@@ -195,33 +212,64 @@ def joined_order_touches(trades: DataFrame, touches: DataFrame, window_days: int
     from the bucketed pairs, so no buyer's history is compared as a whole.
     """
     trades = with_order_key(trades)
-    pairs = order_touches(trades, touches, window_days).withColumn("okey", order_key())
-    bare = trades.select("okey").distinct().join(pairs.select("okey").distinct(), "okey", "left_anti")
-    nulls = bare.select("okey", *[F.lit(None).cast(pairs.schema[c].dataType).alias(c) for c in RANK_TOUCH_COLUMNS])
-    side = pairs.select("okey", *RANK_TOUCH_COLUMNS).unionByName(nulls)
+    side = _rank_side(trades, touches, window_days)
     return grid_join(trades, side, ["okey"]).select(*["left." + c for c in trades.columns if c != "okey"], *["right." + c for c in RANK_TOUCH_COLUMNS])
 
 
+def _hour(at: str) -> Column:
+    return F.coalesce(F.date_trunc("hour", at).cast("timestamp_ntz"), F.lit("9999-12-31 23:00:00").cast("timestamp_ntz"))
+
+
+def _inside(columns: list[str], keys: list[str]) -> Column:
+    """Number of a joined row inside its hour: by touch time, ties by every other column."""
+    rest = [c for c in columns if c not in ("id", "date_c")]
+    return F.row_number().over(Window.partitionBy(*keys, "_hour").orderBy(*[F.col(c).asc_nulls_last() for c in ("date_c", *rest)]))
+
+
+def _earlier(keys: list[str]) -> Column:
+    before = Window.partitionBy(*keys).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("_c").over(before), F.lit(0))
+
+
 def touch_rank(joined: DataFrame) -> DataFrame:
     """Number each order's joined rows 1..n by touch time (NULL times last).
 
     Ties are broken by every other column, so only identical rows tie.  Rows
     are numbered inside (order, hour), and an hour starts behind the sum of the
     order's earlier hours (a window of a few hundred counts an order), so a hot
-    order is spread over its hours.
+    order is spread over its hours.  The join to the starts goes by the window's
+    own keys, a NULL id inside a struct, so the rows are shuffled once.
     """
-    rest = [c for c in joined.columns if c not in ("id", "date_c")]
-    hour = F.coalesce(F.date_trunc("hour", "date_c").cast("timestamp_ntz"), F.lit("9999-12-31 23:00:00").cast("timestamp_ntz"))
-    r = joined.withColumn("_hour", hour)
-    order = [F.col(c).asc_nulls_last() for c in ("date_c", *rest)]
-    inside = F.row_number().over(Window.partitionBy("id", "_hour").orderBy(*order))
-    earlier = Window.partitionBy("_id").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    starts = r.groupBy(F.col("id").alias("_id"), F.col("_hour").alias("_at")).agg(F.count(F.lit(1)).alias("_c"))
-    starts = starts.select("_id", "_at", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_start"))
-    numbered = r.withColumn("_inside", inside)
-    return (numbered.join(starts, numbered["id"].eqNullSafe(starts["_id"]) & (F.col("_hour") == F.col("_at")))
-            .withColumn("touch_rank", (F.col("_start") + F.col("_inside")).cast("int"))
-            .drop("_hour", "_at", "_id", "_start", "_inside"))
+    r = joined.withColumns({"_id": F.struct("id"), "_hour": _hour("date_c")})
+    starts = r.groupBy("_id", "_hour").agg(F.count(F.lit(1)).alias("_c"))
+    starts = starts.select("_id", "_hour", _earlier(["_id"]).alias("_start"))
+    numbered = r.withColumn("_inside", _inside(joined.columns, ["_id"]))
+    return numbered.join(starts, ["_id", "_hour"]).select(*joined.columns, (F.col("_start") + F.col("_inside")).cast("int").alias("touch_rank"))
+
+
+def ranked_order_touches(trades: DataFrame, touches: DataFrame, window_days: int = WINDOW_DAYS, cut=None) -> DataFrame:
+    """``touch_rank`` of ``joined_order_touches``, numbered where the join left the rows.
+
+    With one order key an id, an hour's start follows from the touches of the
+    order key and the number of its rows.  The starts (at most one an hour of
+    the window) go to the join with the order rows, and the joined rows, many
+    times the touches, are neither shuffled nor written before they are numbered.
+    """
+    cut = cut or (lambda df: df)
+    trades = with_order_key(trades)
+    if not one_key_each(trades):
+        return touch_rank(cut(joined_order_touches(trades, touches, window_days)))
+    side = cut(_rank_side(trades, touches, window_days).withColumn("_hour", _hour("date_c")))
+    counts = side.groupBy("okey", "_hour").agg(F.count(F.lit(1)).alias("_c"))
+    starts = counts.select("okey", "_hour", _earlier(["okey"]).alias("_start"))
+    starts = starts.groupBy("okey").agg(F.collect_list(F.struct("_hour", "_start")).alias("_starts"))
+    sizes = trades.groupBy("okey").agg(F.count(F.lit(1)).alias("_rows"))
+    orders = trades.join(sizes.join(starts, "okey"), "okey")
+    columns = [c for c in trades.columns if c != "okey"] + RANK_TOUCH_COLUMNS
+    rows = grid_join(orders, side, ["okey"]).select(
+        "left.okey", *["left." + c for c in trades.columns if c != "okey"], *["right." + c for c in RANK_TOUCH_COLUMNS], "right._hour",
+        (F.col("left._rows") * F.element_at(F.map_from_entries("left._starts"), F.col("right._hour"))).alias("_start"))
+    return rows.withColumn("_inside", _inside(columns, ["okey"])).select(*columns, (F.col("_start") + F.col("_inside")).cast("int").alias("touch_rank"))
 
 
 def conversions_all_buyers(fact: DataFrame) -> DataFrame:

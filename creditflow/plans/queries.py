@@ -190,8 +190,7 @@ def q_order_touches(spark, sf_dir):
 def q_touch_rank(spark, sf_dir):
     """Every joined (order row, touch) numbered within its order by touch time."""
     a = _run(spark, sf_dir)
-    joined = linear.joined_order_touches(a.trades, a.touches, a.window_days)
-    return _doubles(linear.touch_rank(a._cut(joined)))
+    return _doubles(linear.ranked_order_touches(a.trades, a.touches, a.window_days, a._cut))
 
 
 def q_touch_count(spark, sf_dir):

@@ -175,6 +175,41 @@ def test_fact_plan_shuffles(spark):
 
 # ---- identity map ----------------------------------------------------------------------
 
+def test_joined_rows_are_dealt_once(spark):
+    """One order key an id: neither the fact's grouping nor the rank shuffles the joined rows again."""
+    a = Attribution(standin.load(spark, SF), checkpoint=True)
+    a.fact, a.touches
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Exchange hashpartitioning(d_source_c" not in _plan(a.fact)
+        ranked = linear.ranked_order_touches(a.trades, a.touches, a.window_days, a._cut)
+        assert not [x for x in _plan(ranked).split("\n") if "Exchange hashpartitioning" in x and "_hour" in x.split("ENSURE")[0] and "okey" not in x]
+        assert _plan(ranked).index("Window") < _plan(ranked).index("SortMergeJoin") < _plan(ranked).index("Exchange hashpartitioning")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("several", [False, True])
+def test_ranks_and_credits_with_one_or_several_order_keys_an_id(spark, several):
+    """Rows that share an id, with equal and (several) with different bid times; touches within an hour, none, NULL touch attributes."""
+    base = T("2024-07-20 10:30:00")
+    bids = [(1, "u", base), (1, "u", base), (2, "u", base + dt.timedelta(days=1)), (3, "w", base), (4, None, base), (5, "u", None)]
+    bids += [(1, "u", base + dt.timedelta(days=2)), (2, "w", base)] if several else []
+    trades = spark.createDataFrame([(*b, k % 3) for k, b in enumerate(bids)], "id long, uuid string, bid_date_time timestamp_ntz, fees int")
+    visits = [("u", base - dt.timedelta(hours=h, minutes=m), s) for h in (0, 1, 30, 400) for m, s in ((1, "a"), (2, None), (2, "b"))]
+    seen = _touches(spark, visits)
+    keyed = linear.with_order_key(trades)
+    assert linear.one_key_each(keyed) != several
+    got = linear.ranked_order_touches(trades, seen, 14)
+    want = []
+    joined = [(r, v) for r in trades.collect() for v in [x for x in visits if r.uuid == x[0] and r.bid_date_time and r.bid_date_time - dt.timedelta(days=14) <= x[1] <= r.bid_date_time] or [(None, None, None)]]
+    for i in {r.id for r, _ in joined}:
+        own = sorted((v[1] or T("9999-12-31"), r.uuid or "~", r.bid_date_time or T("9999-12-31"), r.fees, v[2] or "~") for r, v in joined if r.id == i)
+        want += [(i, k + 1, o[0], o[3], o[4]) for k, o in enumerate(own)]
+    rows = [(r.id, r.touch_rank, r.date_c or T("9999-12-31"), r.fees, r.source_c or "~") for r in got.collect()]
+    assert sorted(rows) == sorted(want)
+
+
 def test_identity_map_after_increments_equals_a_full_build(spark, scratch):
     sessions = standin.load(spark, SF)["sessions"].cache()
     low, high = sessions.agg(F.min("visit_start_time"), F.max("visit_start_time")).first()
