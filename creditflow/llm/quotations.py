@@ -7,12 +7,14 @@
    window.  So are the own (level 0) words of each message, in windows of up to
    ``WINDOW`` words, for those that some passage of the conversation asks for.
    Re-wrapped lines and quoted parts of a line therefore match.
-3. Hashes of the windows are joined: a window goes to the last earlier message
-   of its conversation that has it.  A passage has two candidates, the message
-   that most of its windows go to (the latest of equals) and the one that its
-   rarest window goes to (held by the fewest messages; the first such window).
-   Both are compared with the whole passage; it belongs to the one that has
-   more of its windows, the later of equals, if that is ``PERCENT`` of them.
+3. A passage belongs to the earlier message of its conversation that has most
+   of its windows, the latest of equals, if that is ``PERCENT`` of them.  Hashes
+   of the windows are joined: a window goes to the last earlier message that has
+   it.  Two messages are tried first, the one that most windows go to and the
+   one that the rarest window goes to: one that has all windows is the answer,
+   as no later message has the window that led to it.  For every other passage
+   all messages with one of its rarest windows are counted, as many windows as
+   leave too few for ``PERCENT`` without them, once for equal passages.
 4. A message replies to the message of its first linked passage of the
    lowest level, else to the one before it.  Messages are put in the order of the messages
    they reply to, then of their turns, so a reply never stands before its
@@ -62,22 +64,38 @@ def _before(rows: DataFrame, keys: list[str], value: str) -> Column:
     return F.max(value).over(Window.partitionBy(*keys, "block").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1))
 
 
-def _owners(asks: DataFrame, own: DataFrame) -> DataFrame:
-    """conv_id, h, turn, owner: the last turn before ``turn`` whose message has ``h``; no pairs are made."""
-    keys = ["conv_id", "h"]
-    seen = own.select(*keys, "turn", F.col("turn").alias("own"))
+def _owners(asks: DataFrame, own: DataFrame, keys: tuple[str, ...] = ("conv_id", "h"), value: str = "turn") -> DataFrame:
+    """The keys, turn, owner: the greatest ``value`` (the last turn) of earlier rows of ``own``; no pairs are made."""
+    seen = own.select(*keys, "turn", F.col(value).alias("own"))
     rows = seen.unionByName(asks.select(*keys, "turn", F.lit(None).cast(seen.schema["own"].dataType).alias("own")))
     rows = rows.withColumn("block", F.floor(F.col("turn") / BLOCK))
-    inside = rows.withColumn("near", _before(rows, keys, "own")).where("own is null").drop("own")
+    inside = rows.withColumn("near", _before(rows, list(keys), "own")).where("own is null").drop("own")
     ends = rows.groupBy(*keys, "block").agg(F.max("own").alias("last"))
     ends = ends.select(*keys, "block", F.max("last").over(Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)).alias("far"))
-    return inside.join(ends, [*keys, "block"]).select(*keys, "turn", F.coalesce("near", "far").alias("owner")).where("owner is not null")
+    owner = F.greatest("near", "far") if value != "turn" else F.coalesce("near", "far")
+    return inside.join(ends, [*keys, "block"]).select(*keys, "turn", owner.alias("owner")).where("owner is not null")
+
+
+def _searched(asked: DataFrame, own: DataFrame, held: DataFrame, cuts: Cuts, percent: int) -> DataFrame:
+    """The owners of passages by all messages that have ``percent`` of their windows."""
+    kind = ["conv_id", "words_key"]
+    asks = asked.select(*_MESSAGE, "passage", "words_key").distinct()
+    windows = asked.select(*kind, "place", "h").distinct().join(held, ["conv_id", "h"], "left").withColumn("held", F.coalesce("held", F.lit(0)))
+    sizes = windows.groupBy(*kind).agg(F.count("*").alias("n")).withColumn("least", F.ceil(F.col("n") * percent / 100))
+    ranked = windows.withColumn("rank", F.row_number().over(Window.partitionBy(*kind).orderBy("held", "place"))).join(sizes, kind)
+    rare = ranked.where((F.col("rank") <= F.col("n") - F.greatest("least", F.lit(1)) + 1) & (F.col("held") > 0)).select(*kind, "h")
+    last = asks.groupBy(*kind).agg(F.max("turn").alias("last"))
+    near = rare.join(own, ["conv_id", "h"]).join(last, kind).where("turn < last").select(*kind, "turn").distinct()
+    has = near.join(windows.select(*kind, "h"), kind).join(own, ["conv_id", "h", "turn"]).groupBy(*kind, "turn").agg(F.count("*").alias("n_has"))
+    good = cuts.write(has.join(sizes, kind).where("n_has >= least").select(*kind, "turn", F.struct("n_has", "turn").alias("best")))
+    found = _owners(asks.select(*kind, "turn").distinct(), good, tuple(kind), "best")
+    return asks.join(found, [*kind, "turn"]).select(*_MESSAGE, "passage", F.col("owner.turn").alias("owner"))
 
 
 def _link(passages: DataFrame, messages: DataFrame, cuts: Cuts, percent: int) -> DataFrame:
     """The passages that belong to an earlier message, with its turn as ``owner``."""
     windows = F.when(F.size("words") >= WINDOW, _hashes(F.col("words"), WINDOW)).otherwise(F.array(F.xxhash64(F.array_join("words", " "))))
-    asked = passages.where(F.size("words") > 0).select(*_MESSAGE, "passage", F.posexplode(windows).alias("place", "h"))
+    asked = passages.where(F.size("words") > 0).select(*_MESSAGE, "passage", F.xxhash64("words").alias("words_key"), F.posexplode(windows).alias("place", "h"))
     asked = cuts.write(asked)
     talks = asked.select("conv_id").distinct()
     words = messages.join(talks, "conv_id", "left_semi").select("conv_id", "turn", "words")
@@ -96,8 +114,10 @@ def _link(passages: DataFrame, messages: DataFrame, cuts: Cuts, percent: int) ->
     wanted = candidates.join(asked.select(*_MESSAGE, "passage", "h"), [*_MESSAGE, "passage"])
     there = own.withColumnRenamed("turn", "owner").withColumn("has", F.lit(1))
     shares = wanted.join(there, ["conv_id", "h", "owner"], "left").groupBy(*_MESSAGE, "passage", "owner").agg(F.count("*").alias("n"), F.count("has").alias("n_has"))
-    best = shares.where(F.lit(100) * F.col("n_has") >= F.lit(percent) * F.col("n")).groupBy(*_MESSAGE, "passage")
-    return best.agg(F.max(F.struct("n_has", "owner"))["owner"].alias("owner"))
+    whole = shares.where("n_has = n").groupBy(*_MESSAGE, "passage").agg(F.max("owner").alias("owner"))
+    whole = cuts.write(whole)
+    rest = cuts.write(asked.join(whole, [*_MESSAGE, "passage"], "left_anti"))
+    return whole.unionByName(_searched(rest, own, held, cuts, percent))
 
 
 def _runs(text: Column) -> Column:

@@ -305,3 +305,28 @@ def test_unquoted_conversations_keep_their_order(spark):
     out = Q.op1_chat_formatting(spark, SF)
     assert out.count() == spark.read.parquet(f"{SF}/conversations.parquet").count()
     assert out.where("position <> turn or reply_to <> turn - 1").count() == 0
+
+
+def test_a_passage_finds_the_message_with_most_windows(spark):
+    """Its windows' last holders are all other messages; equal and near-equal owners, the latest wins; repeated windows."""
+    words = [f"w{i}" for i in range(23)]
+    rows = [(1, 0, " ".join(words)), (1, 1, " ".join(words) + " tail")]
+    rows += [(1, 2 + k, " ".join(words[k * 2:k * 2 + 5])) for k in range(10)]
+    rows += [(1, 20, "> " + " ".join(words[:22]) + " other\nyes"), (1, 21, "> " + " ".join(words) + "\nyes")]
+    rows += [(2, 0, "a b c d e f g h i j"), (2, 1, "a b c d"), (2, 2, "g h i j"), (2, 3, "c d e f"), (2, 2500, "> a b c d e f g h i x\nno"), (2, 2501, "> a b c d q r s t u x\nno")]
+    rows += [(3, t, "thanks a lot my friend") for t in range(5)] + [(3, 9, "> thanks a lot my friend\nyes")]
+
+    def windows(text):
+        w = text.lower().split()
+        return [tuple(w[i:i + 4]) for i in range(len(w) - 3)]
+
+    want = {}
+    for c, t, text in rows:
+        if text.startswith("> "):
+            asked = windows(text.split("\n")[0][2:])
+            has = [(sum(w in windows(x) for w in asked), u) for d, u, x in rows if d == c and u < t and not x.startswith("> ")]
+            best = max(has)
+            want[c, t] = best[1] if 100 * best[0] >= 80 * len(asked) else None
+    out = {(r.conv_id, r.turn): r for r in link_quotations(spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")).collect()}
+    assert want[1, 20] == 1 and want[2, 2500] == 0 and want[2, 2501] is None
+    assert {k: out[k].reply_to if out[k].n_linked else None for k in want} == want
