@@ -55,18 +55,22 @@ def resolved_installs(installs: DataFrame, people: DataFrame, buyers: KeySet) ->
 
 
 def install_touches(installs: DataFrame, sessions: DataFrame, buyers: KeySet,
-                    bounds: Bounds, people: DataFrame | None = None) -> DataFrame:
+                    bounds: Bounds, people: DataFrame | None = None, cut=None) -> DataFrame:
     """App installs of the run's buyers inside the lookback, classified and deduplicated.
 
     ``people`` is the maintained client -> user map (``creditflow.sources.identity``);
     without it the map of the installing clients is taken from all ``sessions``.
+    ``cut`` writes the lookback's installs and the map of their clients once, as
+    key set, counts and joins all read them.
     """
-    a = installs.where(after_mark(F.col("attributed_touch_time"), bounds.mark, bounds.lookback_days))
+    cut = cut or (lambda df: df)
+    a = cut(installs.where(after_mark(F.col("attributed_touch_time"), bounds.mark, bounds.lookback_days)))
     clients = key_set(a, "customer_user_id")
     if people is None:
         people = identity_map(semi_reduce(sessions, "client_id", clients))  # reduced in the scan, before any shuffle
     else:
         people = semi_reduce(people, "client_id", clients)
+    people = cut(people)
     a = resolved_installs(a, people, buyers)
     env = R.cols("campaign", "device_type", source="media_source", medium="af_channel")
     out = a.select(

@@ -2,8 +2,8 @@
 
 ``Attribution`` holds the lazily built stages of one run so that tests,
 the oracle queries and the daily job share one definition.  The
-intermediates that are read more than once (eligible orders, session
-touches, enhanced touches, order-touch pairs) are cut from their
+intermediates that are read more than once (eligible orders, session and
+install touches, enhanced touches, order-touch pairs) are cut from their
 lineage with a reliable checkpoint when ``checkpoint=True`` (the daily
 job), so later stages and a lost executor re-read them instead of
 recomputing the scans and joins above them.
@@ -91,8 +91,8 @@ class Attribution:
 
     @cached_property
     def install_touches(self) -> DataFrame:
-        return touches.install_touches(self.t["appsflyer_data_locker"], self.t["sessions"],
-                                       self.buyer_keys, self.bounds, self.people)
+        return self._cut(touches.install_touches(self.t["appsflyer_data_locker"], self.t["sessions"],
+                                                 self.buyer_keys, self.bounds, self.people, self._cut if self.checkpoint else None))
 
     @cached_property
     def session_touches(self) -> DataFrame:

@@ -175,6 +175,12 @@ def test_fact_plan_shuffles(spark):
 
 # ---- identity map ----------------------------------------------------------------------
 
+def test_install_touches_are_written_once(spark):
+    """Counts and joins of later stages read the written install touches, not the sources again."""
+    a = Attribution(standin.load(spark, SF), checkpoint=True)
+    assert a.install_touches.inputFiles() and all("/cut-" in f for f in a.install_touches.inputFiles())
+
+
 def test_joined_rows_are_dealt_once(spark):
     """One order key an id: neither the fact's grouping nor the rank shuffles the joined rows again."""
     a = Attribution(standin.load(spark, SF), checkpoint=True)
