@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
@@ -126,6 +126,21 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def _lower(env, name: str) -> Column:
+    """The lower-cased value: its own column where ``lowered`` has made one."""
+    return env[name + ".lower"] if name + ".lower" in env else F.lower(env[name])
+
+
+def lowered(df: DataFrame, env: dict, *names: str) -> tuple[DataFrame, dict]:
+    """``df`` with the lower-cased values of ``names`` as columns, made once a row, and ``env`` with them.
+
+    A chain tests a value against dozens of needles, and Spark shares nothing
+    between the branches of a chain.
+    """
+    made = {f"_lower_{n}": F.lower(env[n]) for n in names}
+    return df.withColumns(made), env | {n + ".lower": F.col(f"_lower_{n}") for n in names}
+
+
 class Cond:
     def __and__(self, other: "Cond") -> "Cond":
         return _Bool("AND", [self, other])
@@ -161,7 +176,7 @@ class Has(Cond):
         self.name, self.needle, self.lowered = name, needle, lowered
 
     def spark(self, env):
-        c = env[self.name] if self.lowered else F.lower(env[self.name])
+        c = env[self.name] if self.lowered else _lower(env, self.name)
         return c.contains(self.needle)
 
     def sql(self, env):
@@ -174,7 +189,7 @@ class Starts(Cond):
         self.name, self.prefix = name, prefix
 
     def spark(self, env):
-        return F.lower(env[self.name]).startswith(self.prefix)
+        return _lower(env, self.name).startswith(self.prefix)
 
     def sql(self, env):
         return f"starts_with(lower({env[self.name]}), {_q(self.prefix)})"
@@ -187,7 +202,7 @@ class Like(Cond):
         self.name, self.pattern = name, pattern
 
     def spark(self, env):
-        return F.lower(env[self.name]).like(self.pattern)
+        return _lower(env, self.name).like(self.pattern)
 
     def sql(self, env):
         return f"(lower({env[self.name]}) LIKE {_q(self.pattern)})"
@@ -198,7 +213,7 @@ class Eq(Cond):
         self.name, self.value, self.lower = name, value, lower
 
     def spark(self, env):
-        c = F.lower(env[self.name]) if self.lower else env[self.name]
+        c = _lower(env, self.name) if self.lower else env[self.name]
         return c == F.lit(self.value)
 
     def sql(self, env):
@@ -212,7 +227,7 @@ class In(Cond):
         self.name, self.values, self.lower = name, list(values), lower
 
     def spark(self, env):
-        c = F.lower(env[self.name]) if self.lower else env[self.name]
+        c = _lower(env, self.name) if self.lower else env[self.name]
         return c.isin(self.values)
 
     def sql(self, env):

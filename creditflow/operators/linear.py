@@ -43,15 +43,22 @@ FACT_KEYS = ["d_source_c", "uuid", "id", "subtotal", "order_date", "date", "gcl_
              "device_mapping_c", "vertical_name", "product_uuid", "sale_ind",
              "financial_region", "type"]
 MEASURES = ["source_attr", "gmv_source_attr", "fees_source_attr"]
+# What a conversion reads of a touch; ``rest`` stands for the attributes that only part fact rows.
+CLICK_ATTRS = ["gcl_id", "country_code_c", "rest", "date"]
 
 
-def order_key() -> Column:
-    """Non-null surrogate of ``ORDER_KEY``: 128-bit hash of an encoding that keeps NULL and text apart."""
+def _surrogate(columns: list[str]) -> Column:
+    """128-bit hash of an encoding of ``columns`` that keeps NULL and text apart."""
     parts = [F.coalesce(F.concat(F.octet_length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-"))
-             for c in ORDER_KEY]
+             for c in columns]
     return F.unhex(F.md5(F.concat(*parts)))
 
 
+def order_key() -> Column:
+    """Non-null surrogate of ``ORDER_KEY``."""
+    return _surrogate(ORDER_KEY)
+
+
 def with_order_key(trades: DataFrame) -> DataFrame:
     return trades if "okey" in trades.columns else trades.withColumn("okey", order_key())
 
@@ -79,24 +86,41 @@ def order_touches(trades: DataFrame, touches: DataFrame, window_days: int = WIND
                     *["left." + c for c in touches.columns if c != "user_uuid"])
 
 
-def touch_pairs(trades: DataFrame, touches: DataFrame, window_days: int = WINDOW_DAYS) -> DataFrame:
-    """C9 counted: ``okey``, the attributes that reach the fact, and ``m`` touches that share them."""
+def click_touches(touches: DataFrame) -> DataFrame:
+    """Every touch with what the conversions read of it (``CLICK_ATTRS``).
+
+    The other attributes part the fact's rows without being read, so their
+    surrogate ``rest`` does for them.  Touches without a click id are but
+    counted in an order's shares: those of a buyer and day are left alike.
+    """
+    click = F.col("gcl_id").isNotNull()
+    rest = [c for c in PAIR_ATTRS if c not in CLICK_ATTRS]
+    return touches.select("user_uuid", "date_c", "gcl_id", F.when(click, F.col("country_code_c")).alias("country_code_c"),
+                          F.when(click, _surrogate(rest)).alias("rest"))
+
+
+def touch_pairs(trades: DataFrame, touches: DataFrame, window_days: int = WINDOW_DAYS, pair_attrs: list[str] | None = None) -> DataFrame:
+    """C9 counted: ``okey``, the attributes that reach the fact, and ``m`` touches that share them.
+
+    ``pair_attrs`` is ``CLICK_ATTRS`` for ``click_touches``.
+    """
+    pair_attrs = pair_attrs or PAIR_ATTRS
     orders = _windows(with_order_key(trades), ["okey"], window_days)
     dated = touches.withColumn("date", F.to_date("date_c"))
-    attrs = [c for c in PAIR_ATTRS if c != "date"]
+    attrs = [c for c in pair_attrs if c != "date"]
     # One count serves both joins: no day has more touches or orders in either.
     days = orders.select("user_uuid", F.explode(F.sequence("first_day", "last_day")).alias("date"))
     hot = hot_cells(dated.select("user_uuid", "date"), days, ["user_uuid", "date"])
 
     edges = orders.select("okey", "user_uuid", "lo", "bid_date_time", F.explode(F.array_distinct(F.array("first_day", "last_day"))).alias("date"))
     edge = grid_join(dated.select("user_uuid", "date", "date_c", *attrs), edges, ["user_uuid", "date"], _in_window, hot=hot)
-    edge = edge.groupBy("right.okey", *["left." + c for c in PAIR_ATTRS]).agg(F.count(F.lit(1)).alias("m"))
+    edge = edge.groupBy("right.okey", *["left." + c for c in pair_attrs]).agg(F.count(F.lit(1)).alias("m"))
 
     # Days between them: a group lies on one day, so nothing is left to add up.
     first, last = F.date_add("first_day", 1), F.date_sub("last_day", 1)
     inner = orders.where(first <= last).select("okey", "user_uuid", F.explode(F.sequence(first, last)).alias("date"))
-    daily = dated.groupBy("user_uuid", *PAIR_ATTRS).agg(F.count(F.lit(1)).alias("m"))
-    whole = grid_join(daily, inner, ["user_uuid", "date"], hot=hot).select("right.okey", *["left." + c for c in PAIR_ATTRS], "left.m")
+    daily = dated.groupBy("user_uuid", *pair_attrs).agg(F.count(F.lit(1)).alias("m"))
+    whole = grid_join(daily, inner, ["user_uuid", "date"], hot=hot).select("right.okey", *["left." + c for c in pair_attrs], "left.m")
     return edge.unionByName(whole)
 
 
@@ -118,11 +142,23 @@ def touch_count(trades: DataFrame, pairs: DataFrame, stats: DataFrame | None = N
 def _touch_side(pairs: DataFrame, stats: DataFrame) -> DataFrame:
     """Per order key: its touch groups, or one NULL group (m = 1) when it has none."""
     nulls = stats.where(F.col("t").isNull()).select(
-        "okey", *[F.lit(None).cast(pairs.schema[c].dataType).alias(c) for c in PAIR_ATTRS],
+        "okey", *[F.lit(None).cast(pairs.schema[c].dataType).alias(c) for c in pairs.columns if c not in ("okey", "m")],
         F.lit(1).cast("long").alias("m"))
     return pairs.unionByName(nulls)
 
 
+def _with_channels(side: DataFrame) -> DataFrame:
+    """The channel rules depend on touch attributes only: once per touch group, before the fan-out to order rows."""
+    env = R.cols("source_clean_c", source="source_c", medium="medium_c", campaign="campaign_c",
+                 source_clean="source_clean_c")
+    side, env = R.lowered(side, env, "source", "medium", "campaign")
+    side = side.withColumn("map", R.channel_map().spark(env))
+    env["map"] = F.col("map")
+    side = side.withColumn("group_raw", R.channel_group().spark(env)).drop("_lower_source", "_lower_medium", "_lower_campaign")
+    return side.withColumns({"group_raw_1": F.trim(F.split_part("group_raw", F.lit("-"), F.lit(1))),
+                             "group_raw_2": F.trim(F.split_part("group_raw", F.lit("-"), F.lit(2)))})
+
+
 def one_key_each(trades: DataFrame) -> bool:
     """Whether every order id has one order key (one small job); rows that share an id then share their key's partition."""
     keys = trades.groupBy("id").agg(F.min("okey").alias("least"), F.max("okey").alias("most"))
@@ -144,6 +180,9 @@ def linear_attribution(trades: DataFrame, touches: DataFrame, first_orders: Data
     so that AQE can split a hot order; the grouping stays where that join left the
     rows, with ``okey`` as a further key.  Only where some order id has several
     order keys does it shuffle on all fact keys, map-side combined.
+
+    With the pairs of ``click_touches`` the rows are the same, without the touch
+    attributes that those lack and the channel columns that follow from them.
     """
     extra = list(extra_keys or [])
     trades = with_order_key(trades)
@@ -154,15 +193,9 @@ def linear_attribution(trades: DataFrame, touches: DataFrame, first_orders: Data
     fo = first_orders.select(F.col("order_id").alias("fo_id")).distinct()
     dim = countries.select(F.col("alpha2").alias("iso_alpha2"), "financial_regions")
 
-    # Touch side: channel rules depend on touch attributes only, so they are
-    # evaluated once per touch group, before the fan-out to order rows.
-    env = R.cols("source_clean_c", source="source_c", medium="medium_c", campaign="campaign_c",
-                 source_clean="source_clean_c")
-    side = _touch_side(pairs, stats).withColumn("map", R.channel_map().spark(env))
-    env["map"] = F.col("map")
-    side = side.withColumn("group_raw", R.channel_group().spark(env))
-    side = side.withColumns({"group_raw_1": F.trim(F.split_part("group_raw", F.lit("-"), F.lit(1))),
-                             "group_raw_2": F.trim(F.split_part("group_raw", F.lit("-"), F.lit(2)))})
+    side = _touch_side(pairs, stats)
+    if "rest" not in pairs.columns:
+        side = _with_channels(side)
 
     # Order side: rows of one order that differ only in columns the fact does
     # not keep (fees, logic flag) are pre-aggregated, exactly:
@@ -186,11 +219,12 @@ def linear_attribution(trades: DataFrame, touches: DataFrame, first_orders: Data
     # The fact rows are wide and many times the touches: with one order key an
     # id, no group spans two of them and nothing is shuffled again.
     dealt = ["okey"] if one_key_each(stats) else []
-    return (rows.groupBy(*dealt, *FACT_KEYS, *extra)
+    keys = [c for c in [*FACT_KEYS, "rest"] if c in rows.columns]
+    return (rows.groupBy(*dealt, *keys, *extra)
             .agg(F.sum(F.col("r_rows") * F.col("w")).alias("source_attr"),
                  F.sum(F.col("subtotal").cast("double") * F.col("r_rows") * F.col("w")).alias("gmv_source_attr"),
                  F.sum(F.col("fees_sum") * F.col("w")).alias("fees_source_attr"))
-            .drop("okey"))
+            .drop("okey", "rest"))
 
 
 RANK_TOUCH_COLUMNS = ["d_source_c", "gcl_id", "medium_c", "source_c", "campaign_c", "adset_c", "keyword_c",

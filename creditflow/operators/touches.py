@@ -73,6 +73,7 @@ def install_touches(installs: DataFrame, sessions: DataFrame, buyers: KeySet,
     people = cut(people)
     a = resolved_installs(a, people, buyers)
     env = R.cols("campaign", "device_type", source="media_source", medium="af_channel")
+    a, env = R.lowered(a, env, "source", "medium")
     out = a.select(
         F.lit(R.INSTALL_SOURCE_LABEL).alias("d_source"),
         F.col("r_uuid").alias("uuid"),
@@ -107,6 +108,7 @@ def session_touches(sessions: DataFrame, countries: DataFrame, buyers: KeySet,
          .withColumn("path", R.session_path(F.col("source"), F.col("medium"))))
     env = R.cols("source", "medium", "path", "browser", "datasource", "device_category",
                  "operating_system", "alpha2")
+    s, env = R.lowered(s, env, "source", "medium")
     out = s.select(
         R.session_source_label().spark(env).alias("d_source"),
         F.col("stitching_user_uuid").alias("user_uuid"),

@@ -116,16 +116,23 @@ class Attribution:
     def touch_count(self) -> DataFrame:
         return linear.touch_count(self.keyed, self.pairs, self.order_stats)
 
-    @cached_property
-    def fact(self) -> DataFrame:
+    def _attributed(self, touches: DataFrame, pairs: DataFrame, stats: DataFrame) -> DataFrame:
         new = self.variant == "new"
         return linear.linear_attribution(
-            self.keyed, self.touches, self.first_orders, self.countries,
+            self.keyed, touches, self.first_orders, self.countries,
             self.window_days, new_buyers_only=new,
-            extra_keys=["buyer_purchase_price"] if new else None, pairs=self.pairs, stats=self.order_stats)
+            extra_keys=["buyer_purchase_price"] if new else None, pairs=pairs, stats=stats)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return self._attributed(self.touches, self.pairs, self.order_stats)
 
     @cached_property
     def conversions(self) -> DataFrame:
+        """From the fact's rows with the columns that conversions read; all touches count in the shares."""
+        clicks = linear.click_touches(self.touches)
+        pairs = self._cut(linear.touch_pairs(self.keyed, clicks, self.window_days, linear.CLICK_ATTRS))
+        fact = self._attributed(clicks, pairs, self._cut(linear.order_key_stats(self.keyed, pairs)))
         if self.variant == "new":
-            return linear.conversions_new_buyers(self.fact)
-        return linear.conversions_all_buyers(self.fact)
+            return linear.conversions_new_buyers(fact)
+        return linear.conversions_all_buyers(fact)

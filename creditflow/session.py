@@ -21,6 +21,9 @@ JOB_CONF = {
     # grouping above the order join would otherwise pin a hot order to one task).
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # The JVM never compiles a method of over 8000 bytes: a stage whose rule
+    # chains would make one runs as a chain of smaller generated projections.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
 }
 
