@@ -17,7 +17,7 @@ from creditflow.llm.merkle import tampered_manifest
 from creditflow.llm.mixing import mix
 from creditflow.llm.packing import pack
 from creditflow.llm.pseudonyms import pseudonymise
-from creditflow.llm.quality import quality_rules
+from creditflow.llm.quality import WORD_SHARE, quality_rules
 from creditflow.llm.quotations import link_quotations
 from creditflow.llm.substring_dedup import substring_dedup
 from creditflow.llm.suffix_dedup import suffix_dedup
@@ -65,7 +65,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(_documents(spark, sf_dir)).drop("text_key")
+    return quality_rules(_documents(spark, sf_dir), word_share=WORD_SHARE).drop("text_key")
 
 
 def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
