@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from creditflow.llm import blocks as B
 from creditflow.llm.cuts import Cuts
 
-BLOCK_WORDS = 1 << 21
+BLOCK_WORDS = 1 << 22
 BUCKET_WORDS = 1 << 21
 LEAST_BITS = 6
 _U = np.uint64

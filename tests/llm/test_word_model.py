@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 
+import corpus_pipeline as P
 from creditflow.llm import quality
 from creditflow.llm import queries as Q
 from creditflow.llm import word_model as W
@@ -85,5 +86,6 @@ def test_invented_words_are_left_out(spark, scratch):
     assert len([i for i in symbols if 1000 <= i < 2000]) >= 18
     out = {r.doc_id: r for r in Q.op10_quality_rules(spark, scratch).collect()}
     assert {i for i, r in out.items() if r.kept} == {i for i in symbols if not 1000 <= i < 2000}
+    assert {r.doc_id for r in P.quality(spark, docs, scratch).collect()} == {i for i, r in out.items() if r.kept}
     want, _ = _plain(rows + invented + alone)
     assert all(abs(out[r[0]].word_nats - w) < 1e-5 for r, w in zip(rows + invented + alone, want, strict=True))
