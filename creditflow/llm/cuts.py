@@ -18,8 +18,9 @@ class Cuts:
     system, so that only what the returned frame still reads stays behind.
     """
 
-    def write(self, df: DataFrame) -> DataFrame:
-        return cut_lineage(df)
+    def write(self, df: DataFrame, free: bool = False) -> DataFrame:
+        """With ``free``, the shuffle files of this write are removed at its end, not when the driver collects garbage."""
+        return cut_lineage(df, free)
 
     def drop(self, *frames: DataFrame) -> None:
         for df in frames:

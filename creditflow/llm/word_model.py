@@ -17,12 +17,18 @@ all blocks' counts meet, and each block gets its own pairs' counts back, one
 number a pair.  Words' sums and answers go the same way.  A bucket sees a pair
 at most once a block, so frequent words and pairs, or many copies of a text,
 make no bucket larger; there are as many buckets as the words ask for.
+
+All buckets are counted, and all blocks scored, in ``PASSES`` equal parts one
+after the other, and a part's shuffle files are removed behind it: the disk
+holds the coded texts and the counts, but never all pairs or all answers at
+once.  Inside a block, pairs are made for about ``RUN_WORDS`` words at a time.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +39,10 @@ from pyspark.sql import functions as F
 from creditflow.llm import blocks as B
 from creditflow.llm.cuts import Cuts
 
-BLOCK_WORDS = 1 << 22
-BUCKET_WORDS = 1 << 21
+BLOCK_WORDS = 1 << 21
+BUCKET_WORDS = 1 << 20
+RUN_WORDS = 1 << 18
+PASSES = 4
 LEAST_BITS = 6
 _U = np.uint64
 _ROWS = "kind int, block long, bucket int, keys binary, vals binary, docs binary, n long"
@@ -98,15 +106,23 @@ def _slices(keys: np.ndarray, width: int, bits: int) -> Iterator[tuple[int, int,
     yield from zip(top[cuts].tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(keys)], strict=False)
 
 
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted different values, and the place of each value among them."""
+    own, at = np.unique(values, return_inverse=True)
+    return own, at.astype(np.uint32)
+
+
 def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (key, seed, text) as blocks: sorted word codes, each word's place among them, and the texts' keys, sizes and heads."""
     part, made, held, n = TaskContext.get().partitionId(), 0, [], 0
 
     def block() -> pa.RecordBatch:
-        codes, heads, keys, sizes = (np.concatenate(c) for c in zip(*held, strict=True))
-        words, at = np.unique(np.concatenate([codes, heads]), return_inverse=True)
-        docs = np.concatenate([keys, sizes, at[len(codes):].astype(np.int64)])
-        return _rows([(_TEXT, (part << 32) + made, None, _pack_sorted(words), _pack(at[:len(codes)].astype(np.uint32)), _pack(docs), len(codes))])
+        coded, *rest = zip(*held, strict=True)
+        heads, keys, sizes = map(np.concatenate, rest)
+        words = np.unique(np.concatenate([*(own for own, _ in coded), heads]))
+        places = np.concatenate([np.searchsorted(words, own).astype(np.uint32)[at] for own, at in coded])
+        docs = np.concatenate([keys, sizes, np.searchsorted(words, heads)])
+        return _rows([(_TEXT, (part << 32) + made, None, _pack_sorted(words), _pack(places), _pack(docs), len(places))])
 
     for batch in batches:
         keys, seeds = (np.asarray(batch.column(c)).astype(np.int64) for c in ("key", "seed"))
@@ -114,7 +130,7 @@ def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts, ends, first = B.words(data, offs)
             seed = seeds[lo:hi].view(_U)
             codes = B.mix(B.spans(B.prefix(data), starts, ends, values=data) ^ seed[B.row_of(first)]) >> _U(32)
-            held.append((codes.astype(np.uint32), (B.mix(seed) >> _U(32)).astype(np.uint32), keys[lo:hi], np.diff(first).astype(np.int64)))
+            held.append((_distinct(codes.astype(np.uint32)), (B.mix(seed) >> _U(32)).astype(np.uint32), keys[lo:hi], np.diff(first).astype(np.int64)))
             n += len(codes)
             if n >= BLOCK_WORDS:
                 yield block()
@@ -123,37 +139,53 @@ def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield block()
 
 
-def _pairs(words: np.ndarray, places: np.ndarray, sizes: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Key of the pair that ends at each word, the place of its first word, and the text that it is in."""
-    text = np.repeat(np.arange(len(sizes)), sizes)
-    left = np.empty(len(places), np.int64)
-    left[1:] = places[:-1]
-    begin = (np.cumsum(sizes) - sizes)[sizes > 0]
-    left[begin] = heads[sizes > 0]
-    return B.mix((words[left].astype(_U) << _U(32)) | words[places].astype(_U)), left, text
+def _pairs(words: np.ndarray, places: np.ndarray, sizes: np.ndarray, heads: np.ndarray) -> Iterator[tuple[slice, slice, np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of whole texts: their words, the texts, and for each word the key of the pair that ends there, its first word's place and its text in the run."""
+    ends, lo = np.cumsum(sizes), 0
+    while lo < len(sizes):
+        a = int(ends[lo] - sizes[lo])
+        hi = max(lo + 1, int(np.searchsorted(ends, a + RUN_WORDS, side="right")))
+        own, b = sizes[lo:hi], int(ends[hi - 1])
+        if b > a:
+            left = np.empty(b - a, np.uint32)
+            left[1:] = places[a:b - 1]
+            left[(np.cumsum(own) - own)[own > 0]] = heads[lo:hi][own > 0]
+            yield slice(a, b), slice(lo, hi), B.mix((words[left].astype(_U) << _U(32)) | words[places[a:b]]), left, np.repeat(np.arange(hi - lo), own)
+        lo = hi
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where sorted rows differ from those before them."""
+    out = np.zeros(len(columns[0]), bool)
+    out[:1] = True
+    for c in columns:
+        out[1:] |= c[1:] != c[:-1]
+    return out
 
 
 def _block(row: dict) -> tuple[np.ndarray, ...]:
     docs = _unpack(row["docs"], np.int64).reshape(3, -1)
-    return _unpack_sorted(row["keys"], np.uint32), _unpack(row["vals"], np.uint32).astype(np.int64), *docs
+    return _unpack_sorted(row["keys"], np.uint32), _unpack(row["vals"], np.uint32), *docs
 
 
-def _ask_pairs(bits: int):
+def _ask_pairs(bits: int, at_pass: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
                 row = batch.slice(at, 1).to_pylist()[0]
                 words, places, _, sizes, heads = _block(row)
-                key, _, text = _pairs(words, places, sizes, heads)
-                if not len(key):
-                    continue
-                order = np.argsort(key, kind="stable")
-                key, text = key[order], text[order]
-                new = np.concatenate([[True], key[1:] != key[:-1]])
-                own = new | np.concatenate([[True], text[1:] != text[:-1]])
-                first = np.flatnonzero(new)
-                docs, key = np.add.reduceat(own.astype(np.int64), first).astype(np.uint32), key[first]
-                yield _rows([(_PAIRS, row["block"], b, _pack_sorted(key[i:j]), _pack(docs[i:j]), None, None) for b, i, j in _slices(key, 64, bits)])
+                found = []
+                for _, _, key, _, text in _pairs(words, places, sizes, heads):
+                    mine = np.flatnonzero((key >> _U(64 - bits)) % _U(PASSES) == at_pass)
+                    mine = mine[np.argsort(key[mine], kind="stable")]
+                    found.append(key[mine[_starts(key[mine], text[mine])]])
+                key = np.concatenate([np.empty(0, _U), *found])
+                del found, places
+                key.sort()
+                first = np.flatnonzero(_starts(key))
+                docs, key = np.diff(first, append=len(key)).astype(np.uint32), key[first]
+                if len(key):
+                    yield _rows([(_PAIRS, row["block"], b, _pack_sorted(key[i:j]), _pack(docs[i:j]), None, None) for b, i, j in _slices(key, 64, bits)])
     return run
 
 
@@ -170,11 +202,18 @@ def _count_pairs(bits: int):
     """Each block's counts of its pairs, and what a bucket's pairs add to the sums of their words."""
     def run(table: pa.Table) -> pa.Table:
         rows = table.select(["block", "bucket", "keys", "vals"]).to_pylist()
-        keys = [_unpack_sorted(r["keys"], _U) for r in rows]
-        key, at = np.unique(np.concatenate(keys), return_inverse=True)
-        count = np.bincount(at, np.concatenate([_unpack(r["vals"], np.uint32) for r in rows])).astype(np.int64) - 1
-        mine, edges = count[at].astype(np.uint32), np.cumsum([0, *map(len, keys)])
+        keys = [_unpack_sorted(r.pop("keys"), _U) for r in rows]
+        edges, key = np.cumsum([0, *map(len, keys)]), np.concatenate(keys)
+        del keys
+        order = np.argsort(key)
+        key = key[order]
+        first = np.flatnonzero(_starts(key))
+        count = np.add.reduceat(np.concatenate([_unpack(r.pop("vals"), np.uint32) for r in rows])[order], first, dtype=np.int64) - 1
+        mine = np.empty(len(key), np.uint32)
+        mine[order] = np.repeat(count, np.diff(first, append=len(key)))
         out = [(_PAIRS, r["block"], r["bucket"], None, _pack(mine[i:j]), None, None) for r, i, j in zip(rows, edges[:-1], edges[1:], strict=True)]
+        key = key[first]
+        del order, mine, first
         pair, count = _unmix(key[count > 0]), count[count > 0]
         words, at = np.unique(np.concatenate([pair >> _U(32), pair & _U(0xFFFFFFFF)]).astype(np.uint32), return_inverse=True)
         first, last = at[:len(pair)], at[len(pair):]
@@ -233,15 +272,20 @@ def _score(d: np.ndarray):
     def run(table: pa.Table) -> pa.Table:
         rows = sorted(table.select(["kind", "bucket", "keys", "vals", "docs"]).to_pylist(), key=lambda r: (r["kind"], r["bucket"] or 0))
         words, places, keys, sizes, heads = _block(rows[0])
-        total, left, low = np.concatenate([_unpack(r["vals"], np.float32).reshape(3, -1) for r in rows if r["kind"] == _WORDS], axis=1).astype(np.float64)
-        counts = np.concatenate([np.empty(0, np.uint32), *(_unpack(r["vals"], np.uint32) for r in rows if r["kind"] == _PAIRS)]).astype(np.int64)
-        key, first, text = _pairs(words, places, sizes, heads)
-        count = counts[np.unique(key, return_inverse=True)[1]]
-        p = left[first] * low[places]
-        seen = np.flatnonzero(count)
-        p[seen] += (count[seen] - d[np.minimum(count[seen], 3)]) / total[first[seen]]
-        nats = np.bincount(text, -np.log(p), len(sizes)) / np.maximum(sizes, 1)
-        return pa.table({"key": pa.array(keys, pa.int64()), "word_nats": pa.array(np.round(nats, 6))})
+        total, left, low = np.concatenate([_unpack(r["vals"], np.float32).reshape(3, -1) for r in rows if r["kind"] == _WORDS], axis=1)
+        counts = np.concatenate([np.empty(0, np.uint32), *(_unpack(r["vals"], np.uint32) for r in rows if r["kind"] == _PAIRS)])
+        runs = [(at, texts, _distinct(key), first, text.astype(np.uint32)) for at, texts, key, first, text in _pairs(words, places, sizes, heads)]
+        known = np.concatenate([np.empty(0, _U), *(own for _, _, (own, _), _, _ in runs)])
+        known.sort()
+        known = known[_starts(known)]
+        nats = np.zeros(len(sizes))
+        for at, texts, (own, key), first, text in runs:
+            count = counts[np.searchsorted(known, own)].astype(np.int64)[key]
+            p = left[first].astype(np.float64) * low[places[at]]
+            seen = np.flatnonzero(count)
+            p[seen] += (count[seen] - d[np.minimum(count[seen], 3)]) / total[first[seen]]
+            nats[texts] = np.bincount(text, -np.log(p), len(sizes[texts]))
+        return pa.table({"key": pa.array(keys, pa.int64()), "word_nats": pa.array(np.round(nats / np.maximum(sizes, 1), 6))})
     return run
 
 
@@ -255,17 +299,22 @@ def word_nats(docs: DataFrame) -> tuple[DataFrame, float]:
     coded = cuts.write(docs.select(row_key().alias("key"), seed.alias("seed"), "text").mapInArrow(_code, _ROWS))
     n = coded.agg(F.sum("n")).first()[0] or 0
     bits = max(LEAST_BITS, (n // BUCKET_WORDS).bit_length())
-    counted = cuts.write(coded.mapInArrow(_ask_pairs(bits), _ROWS).groupBy("bucket").applyInArrow(_count_pairs(bits), _ROWS))
-    sums = counted.where(F.col("kind") == _SUMS).groupBy("bucket").applyInArrow(
+    counted = [cuts.write(coded.mapInArrow(_ask_pairs(bits, i), _ROWS).groupBy("bucket").applyInArrow(_count_pairs(bits), _ROWS), free=True) for i in range(PASSES)]
+    every = reduce(DataFrame.unionByName, counted)
+    sums = every.where(F.col("kind") == _SUMS).groupBy("bucket").applyInArrow(
         _add_sums, "bucket int, keys binary, vals binary, " + ", ".join(f"{c} long" for c in _TOTALS))
-    sums = cuts.write(sums)
+    sums = cuts.write(sums, free=True)
     have = sums.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _TOTALS)).first()
     d, m = discounts([have[f"n{k}"] for k in range(1, 5)]), discounts([have[f"m{k}"] for k in range(1, 5)])
     known = [have["m1"], have["m2"], have["words"] - have["m1"] - have["m2"]]
     unseen = (float(m[1:] @ known) / have["pairs"] if have["pairs"] else 1.0) / (have["words"] + 1)
-    told = coded.mapInArrow(_ask_words(bits), _ROWS).unionByName(sums.select(F.lit(_SUMS).alias("kind"), "bucket", "keys", "vals"), allowMissingColumns=True)
-    told = told.groupBy("bucket").applyInArrow(_tell_words(d, m, unseen, have["pairs"]), _ROWS)
-    meet = coded.unionByName(counted.where(F.col("kind") == _PAIRS)).unionByName(told)
-    scored = cuts.write(meet.groupBy("block").applyInArrow(_score(d), "key long, word_nats double"))
-    cuts.drop(coded, counted, sums)
-    return scored.groupBy("key").agg(F.max("word_nats").alias("word_nats")), -math.log(unseen)
+    told_of = sums.select(F.lit(_SUMS).alias("kind"), "bucket", "keys", "vals")
+    scored = []
+    for i in range(PASSES):
+        texts, pairs = (df.where(F.pmod(F.xxhash64("block"), F.lit(PASSES)) == i) for df in (coded, every.where(F.col("kind") == _PAIRS)))
+        told = texts.mapInArrow(_ask_words(bits), _ROWS).unionByName(told_of, allowMissingColumns=True)
+        told = told.groupBy("bucket").applyInArrow(_tell_words(d, m, unseen, have["pairs"]), _ROWS)
+        meet = texts.unionByName(pairs).unionByName(told)
+        scored.append(cuts.write(meet.groupBy("block").applyInArrow(_score(d), "key long, word_nats double"), free=True))
+    cuts.drop(coded, *counted, sums)
+    return reduce(DataFrame.unionByName, scored).groupBy("key").agg(F.max("word_nats").alias("word_nats")), -math.log(unseen)

@@ -69,7 +69,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+#: Shuffle files go when the write that made them ends.
+FREE_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def cut_lineage(df: DataFrame, free: bool = False) -> DataFrame:
     """Write ``df`` as a parquet table in the shared checkpoint folder and read it back.
 
     The plan above is computed exactly once (``DataFrame.checkpoint`` would
@@ -79,9 +83,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     pushdown for its readers.  Never a machine-local folder on a cluster:
     the folder is ``spark.checkpoint.dir``; tables of one application sit
     under ``creditflow/<application id>/`` so they can be expired together.
+    With ``free`` the write's own shuffle files are removed at its end.
     """
     spark = df.sparkSession
     app = spark.sparkContext.applicationId
     path = f"{checkpoint_dir(spark).rstrip('/')}/creditflow/{app}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(FREE_CONF, None)
+    if free:
+        spark.conf.set(FREE_CONF, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if free:
+            spark.conf.unset(FREE_CONF) if before is None else spark.conf.set(FREE_CONF, before)
     return spark.read.parquet(path)

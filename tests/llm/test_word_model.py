@@ -3,8 +3,12 @@
 import collections
 import math
 import re
+import time
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 
 import corpus_pipeline as P
 from creditflow.llm import quality
@@ -89,3 +93,38 @@ def test_invented_words_are_left_out(spark, scratch):
     assert {r.doc_id for r in P.quality(spark, docs, scratch).collect()} == {i for i, r in out.items() if r.kept}
     want, _ = _plain(rows + invented + alone)
     assert all(abs(out[r[0]].word_nats - w) < 1e-5 for r, w in zip(rows + invented + alone, want, strict=True))
+
+
+def test_a_block_is_scored_in_runs(monkeypatch):
+    """Memory follows the block's coded words, not ten arrays of 64 bits a word."""
+    rng = np.random.default_rng(3)
+    rows = pa.table({"key": pa.array(range(1000), pa.int64()), "seed": pa.array([7] * 1000, pa.int64()),
+                     "text": [" ".join(f"w{i}" for i in rng.zipf(1.3, 1500) % 50_000) for _ in range(1000)]})
+    monkeypatch.setattr(W, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    block, = (r for b in W._code(iter(rows.to_batches())) for r in b.to_pylist())
+    n = len(W._unpack_sorted(block["keys"], np.uint32))
+    told = W._pack(np.full(3 * n, 0.5, np.float32))
+    counts = W._pack(np.zeros(1_500_000, np.uint32))
+    table = W._table([tuple(block.values()), (W._WORDS, 0, 0, None, told, None, None), (W._PAIRS, 0, 0, None, counts, None, None)])
+    tracemalloc.start()
+    try:
+        out = W._score(np.array([0.0, 0.5, 0.5, 0.5]))(table)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert np.allclose(out["word_nats"].to_numpy(), -math.log(0.25), atol=1e-6)
+    assert peak < 75 * block["n"], peak / block["n"]
+
+
+def test_shuffle_files_are_removed_behind_each_pass(spark):
+    files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    docs = spark.createDataFrame([(i, f"a{i % 7} b{i % 5} c d{i}", "en") for i in range(100)], DOCS).withColumn("text_key", text_key())
+    before = files()
+    scored, _ = W.word_nats(docs)
+    for _ in range(50):
+        if not (left := files() - before):
+            break
+        time.sleep(0.2)
+    assert len({f.split("_")[1] for f in left}) <= 1  # the sums of sizes and of counts are collected, not written
+    assert scored.count() == 100
