@@ -57,6 +57,7 @@ HIGH_IQRS = 10.0
 WORD_SHARE = 0.93
 JUDGED_SHARE = 0.75
 HELD_MODELS = 8
+SCORED_BYTES = 1 << 18
 BAND_WORDS = 100
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -252,7 +253,7 @@ def _score(counted):
 
         for batch in batches:
             langs, which = _languages(batch.column("lang"))
-            for lo, hi, data, offs in B.blocks(batch.column("text")):
+            for lo, hi, data, offs in B.blocks(batch.column("text"), SCORED_BYTES):
                 counts = base_counts(data, offs)
                 code, sizes = grams(data, offs), np.diff(offs)
                 total = np.zeros(hi - lo)

@@ -112,8 +112,13 @@ def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return own, at.astype(np.uint32)
 
 
+def _by_count(counts: np.ndarray) -> np.ndarray:
+    """The order that puts frequent words first: their ranks are short numbers."""
+    return np.argsort(-counts, kind="stable")
+
+
 def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, seed, text) as blocks: sorted word codes, each word's place among them, and the texts' keys, sizes and heads."""
+    """Rows (key, seed, text) as blocks: sorted word codes, each word's rank among them by its count, and the texts' keys, sizes and heads with the counts."""
     part, made, held, n = TaskContext.get().partitionId(), 0, [], 0
 
     def block() -> pa.RecordBatch:
@@ -121,8 +126,11 @@ def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heads, keys, sizes = map(np.concatenate, rest)
         words = np.unique(np.concatenate([*(own for own, _ in coded), heads]))
         places = np.concatenate([np.searchsorted(words, own).astype(np.uint32)[at] for own, at in coded])
-        docs = np.concatenate([keys, sizes, np.searchsorted(words, heads)])
-        return _rows([(_TEXT, (part << 32) + made, None, _pack_sorted(words), _pack(places), _pack(docs), len(places))])
+        counts = np.bincount(places, minlength=len(words))
+        rank = np.empty(len(words), np.uint32)
+        rank[_by_count(counts)] = np.arange(len(words), dtype=np.uint32)
+        docs = np.concatenate([keys, sizes, rank[np.searchsorted(words, heads)], counts])
+        return _rows([(_TEXT, (part << 32) + made, None, _pack_sorted(words), _pack(rank[places]), _pack(docs), len(places))])
 
     for batch in batches:
         keys, seeds = (np.asarray(batch.column(c)).astype(np.int64) for c in ("key", "seed"))
@@ -164,8 +172,10 @@ def _starts(*columns: np.ndarray) -> np.ndarray:
 
 
 def _block(row: dict) -> tuple[np.ndarray, ...]:
-    docs = _unpack(row["docs"], np.int64).reshape(3, -1)
-    return _unpack_sorted(row["keys"], np.uint32), _unpack(row["vals"], np.uint32), *docs
+    """A block's sorted words, their order by rank, each word's rank, and the texts' keys, sizes and heads."""
+    words, docs = _unpack_sorted(row["keys"], np.uint32), _unpack(row["docs"], np.int64)
+    texts = len(docs) - len(words)
+    return words, _by_count(docs[texts:]), _unpack(row["vals"], np.uint32), *docs[:texts].reshape(3, -1)
 
 
 def _ask_pairs(bits: int, at_pass: int):
@@ -173,9 +183,9 @@ def _ask_pairs(bits: int, at_pass: int):
         for batch in batches:
             for at in range(batch.num_rows):
                 row = batch.slice(at, 1).to_pylist()[0]
-                words, places, _, sizes, heads = _block(row)
+                words, order, places, _, sizes, heads = _block(row)
                 found = []
-                for _, _, key, _, text in _pairs(words, places, sizes, heads):
+                for _, _, key, _, text in _pairs(words[order], places, sizes, heads):
                     mine = np.flatnonzero((key >> _U(64 - bits)) % _U(PASSES) == at_pass)
                     mine = mine[np.argsort(key[mine], kind="stable")]
                     found.append(key[mine[_starts(key[mine], text[mine])]])
@@ -271,10 +281,10 @@ def _tell_words(d: np.ndarray, m: np.ndarray, unseen: float, pairs: int):
 def _score(d: np.ndarray):
     def run(table: pa.Table) -> pa.Table:
         rows = sorted(table.select(["kind", "bucket", "keys", "vals", "docs"]).to_pylist(), key=lambda r: (r["kind"], r["bucket"] or 0))
-        words, places, keys, sizes, heads = _block(rows[0])
-        total, left, low = np.concatenate([_unpack(r["vals"], np.float32).reshape(3, -1) for r in rows if r["kind"] == _WORDS], axis=1)
+        words, order, places, keys, sizes, heads = _block(rows[0])
+        total, left, low = np.concatenate([_unpack(r["vals"], np.float32).reshape(3, -1) for r in rows if r["kind"] == _WORDS], axis=1)[:, order]
         counts = np.concatenate([np.empty(0, np.uint32), *(_unpack(r["vals"], np.uint32) for r in rows if r["kind"] == _PAIRS)])
-        runs = [(at, texts, _distinct(key), first, text.astype(np.uint32)) for at, texts, key, first, text in _pairs(words, places, sizes, heads)]
+        runs = [(at, texts, _distinct(key), first, text.astype(np.uint32)) for at, texts, key, first, text in _pairs(words[order], places, sizes, heads)]
         known = np.concatenate([np.empty(0, _U), *(own for _, _, (own, _), _, _ in runs)])
         known.sort()
         known = known[_starts(known)]
